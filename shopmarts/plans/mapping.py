@@ -247,3 +247,26 @@ def raw_frames(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         "sellers": sellers,
         "product_category_translation": translation,
     }
+
+
+def write_csv(df: DataFrame, path: str) -> None:
+    """RFC 4180 CSV with a header: doubled quotes, quoted newlines, NULL as an empty field."""
+    df.write.mode("overwrite").option("header", True).option("escape", '"').option("quote", '"').csv(path)
+
+
+def export_raw_files(spark: SparkSession, sf_dir: str, raw_dir: str, prefix: str = "") -> dict[str, str]:
+    """Write the nine raw files (one CSV folder each) derived from the driver tables.
+
+    The translation file is written in category-then-key order across ordered part files, so "first
+    in file order" is well defined for the keep-first step.
+    """
+    from shopmarts.sources.contracts import BY_TABLE
+
+    paths = {}
+    for table, df in raw_frames(spark, sf_dir).items():
+        path = f"{raw_dir.rstrip('/')}/{BY_TABLE[table].file_name(prefix)}"
+        if "_file_order" in df.columns:
+            df = df.repartitionByRange(4, "_file_order").sortWithinPartitions("_file_order").drop("_file_order")
+        write_csv(df, path)
+        paths[table] = path
+    return paths
