@@ -52,6 +52,236 @@ def q_case_bucket(spark, sf_dir):
     return o.select("order_id", d.alias("delay_days"), marts.delay_bucket(d).alias("delivery_bucket"))
 
 
+
+# --------------------------------------------------------------------------- raw files in memory
+def _raw_typed(spark, sf_dir, table: str, na: bool = True) -> DataFrame:
+    """Raw text frame -> NA tokens as NULL -> typed by name, the same steps the CSV path takes."""
+    from shopmarts.functions.exprs import na_to_null
+    from shopmarts.sources import csv_source
+    from shopmarts.sources.contracts import BY_TABLE
+
+    raw = mapping.raw_frames(spark, sf_dir)[table]
+    if na:
+        raw = raw.select(*[na_to_null(c).alias(c) if c != "_file_order" else F.col(c) for c in raw.columns])
+    return csv_source.conform(raw, BY_TABLE[table])
+
+
+def _money_as_double(df: DataFrame) -> DataFrame:
+    from pyspark.sql import types as T
+
+    return df.select(*[F.col(f.name).cast("double").alias(f.name) if isinstance(f.dataType, T.DecimalType)
+                       else F.col(f.name) for f in df.schema.fields])
+
+
+def _transform(table: str):
+    from shopmarts.operators import clean
+    from shopmarts.sources.contracts import BY_TABLE
+
+    def run(spark, sf_dir):
+        out = clean.TRANSFORMS[table](_raw_typed(spark, sf_dir, table))
+        return _money_as_double(out.select(*BY_TABLE[table].schema.fieldNames()))
+
+    run.__name__ = f"t_{table}"
+    return run
+
+
+def q_clean_text(spark, sf_dir):
+    from shopmarts.functions.exprs import clean_text
+
+    raw = mapping.raw_frames(spark, sf_dir)["customers"]
+    return raw.select("customer_id", clean_text("customer_city").alias("customer_city"))
+
+
+def q_clean_state(spark, sf_dir):
+    from shopmarts.functions.exprs import clean_code
+
+    raw = _raw_typed(spark, sf_dir, "customers")
+    return raw.select("customer_id", clean_code("customer_state").alias("customer_state"))
+
+
+def q_clean_to_datetime(spark, sf_dir):
+    from shopmarts.functions.exprs import to_datetime
+
+    raw = mapping.raw_frames(spark, sf_dir)["orders"]
+    return raw.select("order_id", to_datetime("order_approved_at").alias("order_approved_at"))
+
+
+def q_clean_rename(spark, sf_dir):
+    from shopmarts.operators import clean
+
+    out = clean.transform_products(_raw_typed(spark, sf_dir, "products"))
+    return out.select("product_id", "product_name_length", "product_description_length")
+
+
+def q_dedup_full_row(spark, sf_dir):
+    from shopmarts.operators import clean
+
+    return clean.drop_identical(mapping.m_raw_reviews(spark, sf_dir))
+
+
+def q_dedup_keep_latest(spark, sf_dir):
+    from shopmarts.operators import clean
+
+    return clean.keep_latest(mapping.m_raw_reviews(spark, sf_dir), ["review_id", "order_id"], "review_answer_timestamp")
+
+
+def q_dedup_keep_first(spark, sf_dir):
+    from shopmarts.operators import clean
+
+    tr = mapping.raw_frames(spark, sf_dir)["product_category_translation"]
+    return clean.keep_first(tr, ["product_category_name"], order_col="_file_order")
+
+
+def q_geo_collapse(spark, sf_dir):
+    from shopmarts.operators import clean
+
+    g = clean.collapse_by_key(mapping.m_raw_geo(spark, sf_dir), "zip", means=("lat",), firsts=("city",), order_col="ord")
+    return g.select("zip", F.col("lat").cast("double").alias("lat"), "city")
+
+
+# --------------------------------------------------------------------------- CSV round trips
+def _exported(spark, sf_dir, table: str, columns=None) -> tuple[str, object]:
+    """Write one raw file as CSV below the shared scratch folder; returns (raw_dir, contract)."""
+    from shopmarts.session import scratch_path
+    from shopmarts.sources.contracts import BY_TABLE
+
+    c = BY_TABLE[table]
+    raw_dir = scratch_path(spark, f"raw-{table}")
+    df = mapping.raw_frames(spark, sf_dir)[table]
+    df = df.select(*(columns or c.columns))
+    mapping.write_csv(df, f"{raw_dir}/{c.file_name()}")
+    return raw_dir, c
+
+
+def q_src_csv_scan(spark, sf_dir):
+    from shopmarts.sources import csv_source
+
+    raw_dir, c = _exported(spark, sf_dir, "order_reviews")
+    df = csv_source.read_contract(spark, raw_dir, c, na_tokens=False, ordinal=False)
+    return df.select("review_id", "order_id", "review_comment_title", "review_comment_message")
+
+
+def q_src_na_tokens(spark, sf_dir):
+    from shopmarts.sources import csv_source
+
+    raw_dir, c = _exported(spark, sf_dir, "order_reviews")
+    df = csv_source.read_contract(spark, raw_dir, c, na_tokens=True, ordinal=False)
+    return df.select("review_id", "order_id", "review_comment_title", "review_comment_message")
+
+
+def q_src_header_check(spark, sf_dir):
+    """Payments file written with its columns in reverse order: values must land under their names."""
+    from shopmarts.operators import clean
+    from shopmarts.sources import csv_source
+    from shopmarts.sources.contracts import BY_TABLE
+
+    c = BY_TABLE["order_payments"]
+    raw_dir, _ = _exported(spark, sf_dir, "order_payments", columns=list(reversed(c.columns)))
+    df = csv_source.conform(csv_source.read_contract(spark, raw_dir, c, ordinal=False), c)
+    return _money_as_double(clean.transform_payments(df).select(*c.schema.fieldNames()))
+
+
+def q_src_presence(spark, sf_dir):
+    from shopmarts.session import scratch_path
+    from shopmarts.sources import csv_source
+
+    raw_dir = scratch_path(spark, "raw-all")
+    mapping.export_raw_files(spark, sf_dir, raw_dir)
+    return csv_source.presence_report(spark, raw_dir)
+
+
+def q_conform_types(spark, sf_dir):
+    from shopmarts.sources import csv_source
+
+    raw_dir, c = _exported(spark, sf_dir, "order_items")
+    df = csv_source.conform(csv_source.read_contract(spark, raw_dir, c, ordinal=False), c)
+    return _money_as_double(df)
+
+
+# --------------------------------------------------------------------------- pipeline
+_RUNS: dict[tuple, dict] = {}
+
+
+def _pipeline_run(spark, sf_dir) -> dict:
+    """One exported raw set + one pipeline run per (session, sf_dir); later keys reuse it."""
+    from shopmarts.plans import pipeline
+    from shopmarts.session import scratch_path
+
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _RUNS:
+        base = scratch_path(spark, "pipeline")
+        mapping.export_raw_files(spark, sf_dir, f"{base}/raw")
+        res = pipeline.run_pipeline(spark, f"{base}/raw", f"{base}/warehouse")
+        _RUNS[key] = {"base": base, "result": res}
+    return _RUNS[key]
+
+
+def q_reconcile_counts(spark, sf_dir):
+    res = _pipeline_run(spark, sf_dir)["result"]
+    return spark.createDataFrame([tuple(r) for r in res.reconciliation],
+                                 "table string, expected long, loaded long, ok boolean")
+
+
+def q_pipeline_end_to_end(spark, sf_dir):
+    from shopmarts.plans import pipeline
+
+    run = _pipeline_run(spark, sf_dir)
+    return marts.mart_monthly_revenue(pipeline.warehouse(spark, f"{run['base']}/warehouse"))
+
+
+def q_sink_overwrite_idempotent(spark, sf_dir):
+    """Second full run into the same warehouse: every published table must be identical to run one."""
+    from shopmarts.plans import pipeline
+    from shopmarts.sources import parquet_sink
+
+    run = _pipeline_run(spark, sf_dir)
+    out = f"{run['base']}/warehouse"
+    first_id = run["result"].run_id
+    second = pipeline.run_pipeline(spark, f"{run['base']}/raw", out)
+    rows = []
+    for t in parquet_sink.read_warehouse(spark, out):
+        a = spark.read.parquet(f"{parquet_sink.run_dir(out, first_id)}/{t}")
+        b = spark.read.parquet(f"{parquet_sink.run_dir(out, second.run_id)}/{t}")
+        digest = [F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64(*a.columns).cast("decimal(38,0)")).alias("h")]
+        ra, rb = a.agg(*digest).first(), b.agg(*digest).first()
+        rows.append((t, ra["n"], ra["n"] == rb["n"] and ra["h"] == rb["h"]))
+    return spark.createDataFrame(rows, "table string, rows long, identical boolean")
+
+
+# --------------------------------------------------------------------------- integrity checks
+def q_dq_unique(spark, sf_dir):
+    from shopmarts.operators import quality
+
+    d = quality.duplicate_keys(mapping.m_items(spark, sf_dir), ["order_id", "order_item_id"])
+    return d.select("order_id", "order_item_id", F.col("n").cast("long"))
+
+
+def q_dq_foreign_key(spark, sf_dir):
+    from shopmarts.operators import quality
+
+    p = mapping.m_products(spark, sf_dir)
+    return quality.orphans(p, ["product_category_name"], mapping.m_translation(spark, sf_dir),
+                           ["product_category_name"]).select("product_id", "product_category_name")
+
+
+def q_dq_not_null(spark, sf_dir):
+    from shopmarts.operators import quality
+
+    cols = ["order_id", "customer_id", "order_status", "order_purchase_timestamp",
+            "order_delivered_customer_date", "order_estimated_delivery_date"]
+    return quality.null_counts(mapping.m_orders(spark, sf_dir), cols)
+
+
+def q_dq_domain(spark, sf_dir):
+    from shopmarts.operators import quality
+    from shopmarts.sources.contracts import BY_TABLE
+
+    a = quality.domain_counts(mapping.m_customers(spark, sf_dir), BY_TABLE["customers"])
+    b = quality.domain_counts(mapping.m_items(spark, sf_dir), BY_TABLE["order_items"])
+    return (a.select(F.lit("customers").alias("table"), "*")
+            .unionByName(b.select(F.lit("order_items").alias("table"), "*")))
+
+
 QUERIES: dict[str, Query] = {
     "mart_monthly_revenue": _mart(marts.mart_monthly_revenue),
     "mart_top_categories": _mart(marts.mart_top_categories),
@@ -71,4 +301,31 @@ QUERIES: dict[str, Query] = {
     "having_min_volume": _mart(marts.mart_delivery_by_state, min_orders=180),
     "join_fanout_average": q_join_fanout_average,
     "case_bucket": q_case_bucket,
+    "clean_text": q_clean_text,
+    "clean_state": q_clean_state,
+    "clean_to_datetime": q_clean_to_datetime,
+    "clean_rename": q_clean_rename,
+    "t_customers": _transform("customers"),
+    "t_sellers": _transform("sellers"),
+    "t_orders": _transform("orders"),
+    "t_order_items": _transform("order_items"),
+    "t_payments": _transform("order_payments"),
+    "t_products": _transform("products"),
+    "t_order_reviews": _transform("order_reviews"),
+    "dedup_full_row": q_dedup_full_row,
+    "dedup_keep_latest": q_dedup_keep_latest,
+    "dedup_keep_first": q_dedup_keep_first,
+    "geo_collapse": q_geo_collapse,
+    "src_presence": q_src_presence,
+    "src_csv_scan": q_src_csv_scan,
+    "src_na_tokens": q_src_na_tokens,
+    "src_header_check": q_src_header_check,
+    "conform_types": q_conform_types,
+    "reconcile_counts": q_reconcile_counts,
+    "pipeline_end_to_end": q_pipeline_end_to_end,
+    "sink_overwrite_idempotent": q_sink_overwrite_idempotent,
+    "dq_unique": q_dq_unique,
+    "dq_foreign_key": q_dq_foreign_key,
+    "dq_not_null": q_dq_not_null,
+    "dq_domain": q_dq_domain,
 }

@@ -360,3 +360,279 @@ ORACLES: dict[str, str] = {
     "join_fanout_average": JOIN_FANOUT_AVERAGE,
     "case_bucket": CASE_BUCKET,
 }
+
+
+# --------------------------------------------------------------------------- raw files (text)
+def _messy(text: str, key: str) -> str:
+    return (f"(CASE ({key}) % 4 WHEN 0 THEN chr(9) || ' ' || {text} || ' ' || chr(10) "
+            f"WHEN 1 THEN ' ' || lower({text}) WHEN 2 THEN lower({text}) || '  ' ELSE {text} END)")
+
+
+def _state(nk: str) -> str:
+    return f"('N' || chr(CAST(65 + {nk} AS INT)))"
+
+
+RAW = f"""
+raw_customers AS (
+  SELECT CAST(o_orderkey AS VARCHAR) AS customer_id, CAST(o_custkey AS VARCHAR) AS customer_unique_id,
+    CAST(c_nationkey AS VARCHAR) AS customer_zip_code_prefix,
+    {_messy("c_mktsegment", "o_orderkey")} AS customer_city,
+    {_messy(_state("c_nationkey"), "o_orderkey + 1")} AS customer_state
+  FROM orders JOIN customer ON o_custkey = c_custkey),
+raw_sellers AS (
+  SELECT CAST(s_suppkey AS VARCHAR) AS seller_id, CAST(s_nationkey AS VARCHAR) AS seller_zip_code_prefix,
+    {_messy("s_name", "s_suppkey")} AS seller_city, {_messy(_state("s_nationkey"), "s_suppkey")} AS seller_state
+  FROM supplier),
+raw_orders AS (
+  SELECT CAST(order_id AS VARCHAR) AS order_id, CAST(customer_id AS VARCHAR) AS customer_id,
+    CASE WHEN order_status = 'delivered' THEN ' Delivered' WHEN order_status = 'shipped' THEN 'SHIPPED '
+         ELSE 'processing' END AS order_status,
+    CAST(order_purchase_timestamp AS VARCHAR) AS order_purchase_timestamp,
+    CASE WHEN order_id % 13 = 0 THEN 'not a date' WHEN order_id % 11 = 0 THEN NULL
+         ELSE CAST(order_purchase_timestamp + CAST(order_id % 3 AS INT) * INTERVAL '1' DAY AS VARCHAR) END AS order_approved_at,
+    CAST(NULL AS VARCHAR) AS order_delivered_carrier_date,
+    CAST(order_delivered_customer_date AS VARCHAR) AS order_delivered_customer_date,
+    CAST(order_estimated_delivery_date AS VARCHAR) AS order_estimated_delivery_date
+  FROM m_orders),
+raw_items AS (
+  SELECT CAST(l_orderkey AS VARCHAR) AS order_id,
+    CAST(ROW_NUMBER() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_shipdate,
+                                                         l_extendedprice, l_tax) AS VARCHAR) AS order_item_id,
+    CAST(l_partkey AS VARCHAR) AS product_id, CAST(l_suppkey AS VARCHAR) AS seller_id,
+    CAST(l_shipdate AS VARCHAR) AS shipping_limit_date,
+    CAST(CAST(l_extendedprice AS DECIMAL(12,2)) AS VARCHAR) AS price,
+    CAST(ROUND(CAST(l_extendedprice AS DECIMAL(12,2)) * CAST(l_tax AS DECIMAL(4,2)), 2) AS VARCHAR) AS freight_value
+  FROM lineitem),
+raw_payments AS (
+  SELECT CAST(o_orderkey AS VARCHAR) AS order_id, '1' AS payment_sequential,
+    CASE WHEN o_orderkey % 4 < 2 THEN ' Credit_Card' WHEN o_orderkey % 4 = 2 THEN 'BOLETO ' ELSE 'voucher' END AS payment_type,
+    CAST(o_orderkey * 7 % 15 AS VARCHAR) AS payment_installments,
+    CAST(CAST(o_totalprice AS DECIMAL(12,2)) AS VARCHAR) AS payment_value
+  FROM orders),
+raw_reviews AS (
+  SELECT CAST(l_orderkey * 10 + l_linenumber AS VARCHAR) AS review_id, CAST(l_orderkey AS VARCHAR) AS order_id,
+    CAST(1 + l_partkey % 5 AS VARCHAR) AS review_score,
+    CASE WHEN l_partkey % 3 = 0 THEN 'NA' ELSE 'item ' || CAST(l_linenumber AS VARCHAR) END AS review_comment_title,
+    CASE WHEN l_partkey % 2 = 0 THEN 'said "ok"' || chr(10) || 'second line, with comma' END AS review_comment_message,
+    CAST(l_shipdate AS VARCHAR) AS review_creation_date,
+    CASE WHEN l_partkey % 23 <> 0 THEN CAST(l_shipdate + CAST(l_partkey % 5 AS INT) * INTERVAL '1' DAY AS VARCHAR) END
+      AS review_answer_timestamp
+  FROM lineitem),
+raw_products AS (
+  SELECT CAST(p_partkey AS VARCHAR) AS product_id,
+    CASE WHEN p_partkey % 17 <> 0 THEN p_type END AS product_category_name,
+    CAST(length(p_name) AS VARCHAR) AS product_name_lenght, CAST(p_size * 7 AS VARCHAR) AS product_description_lenght,
+    CAST(p_size % 5 AS VARCHAR) AS product_photos_qty,
+    CAST(CAST(p_retailprice * 10 AS DECIMAL(12,2)) AS VARCHAR) AS product_weight_g,
+    CAST(p_size AS VARCHAR) AS product_length_cm, CAST(p_size % 7 + 1 AS VARCHAR) AS product_height_cm,
+    CAST(p_size % 11 + 2 AS VARCHAR) AS product_width_cm
+  FROM part),
+raw_translation AS (
+  SELECT p_type AS product_category_name, lower(p_type) || '_' || CAST(p_partkey AS VARCHAR) AS product_category_name_english,
+    p_partkey AS file_order
+  FROM part WHERE p_type <> 'PROMO')
+"""
+
+
+def na(x: str) -> str:
+    from shopmarts.functions.exprs import NA_TOKENS
+
+    toks = ", ".join("'" + t.replace("'", "''") + "'" for t in NA_TOKENS)
+    return f"(CASE WHEN {x} IN ({toks}) THEN NULL ELSE {x} END)"
+
+
+# Characters Python's str.strip() removes (Unicode whitespace plus \x1c-\x1f).
+_WS_CODES = (9, 10, 11, 12, 13, 28, 29, 30, 31, 32, 133, 160, 5760, 8192, 8193, 8194, 8195, 8196, 8197, 8198,
+             8199, 8200, 8201, 8202, 8232, 8233, 8239, 8287, 12288)
+_WS = " || ".join(f"chr({c})" for c in _WS_CODES)
+
+
+def strip(x: str) -> str:
+    return f"trim({x}, {_WS})"
+
+
+def ts(x: str) -> str:
+    return f"try_strptime({x}, '%Y-%m-%d %H:%M:%S')"
+
+
+def _raw(body: str) -> str:
+    return "WITH " + MAPPING.strip() + ",\n" + RAW.strip() + ",\n" + body.strip()
+
+
+def _raw_plain(body: str) -> str:
+    return "WITH " + MAPPING.strip() + ",\n" + RAW.strip() + "\n" + body.strip()
+
+
+CLEAN_TEXT = _raw_plain(f"SELECT customer_id, lower({strip('customer_city')}) AS customer_city FROM raw_customers")
+CLEAN_STATE = _raw_plain(f"SELECT customer_id, upper({strip(na('customer_state'))}) AS customer_state FROM raw_customers")
+CLEAN_TO_DATETIME = _raw_plain(f"SELECT order_id, {ts('order_approved_at')} AS order_approved_at FROM raw_orders")
+CLEAN_RENAME = _raw_plain("""
+SELECT product_id, TRY_CAST(product_name_lenght AS DOUBLE) AS product_name_length,
+  TRY_CAST(product_description_lenght AS DOUBLE) AS product_description_length FROM raw_products""")
+
+T_CUSTOMERS = _raw_plain(f"""
+SELECT customer_id, customer_unique_id, TRY_CAST(customer_zip_code_prefix AS INT) AS customer_zip_code_prefix,
+  lower({strip('customer_city')}) AS customer_city, upper({strip(na('customer_state'))}) AS customer_state
+FROM raw_customers""")
+
+T_SELLERS = _raw_plain(f"""
+SELECT seller_id, TRY_CAST(seller_zip_code_prefix AS INT) AS seller_zip_code_prefix,
+  lower({strip('seller_city')}) AS seller_city, upper({strip(na('seller_state'))}) AS seller_state
+FROM raw_sellers""")
+
+T_ORDERS = _raw_plain(f"""
+SELECT order_id, customer_id, lower({strip('order_status')}) AS order_status,
+  {ts('order_purchase_timestamp')} AS order_purchase_timestamp, {ts('order_approved_at')} AS order_approved_at,
+  {ts('order_delivered_carrier_date')} AS order_delivered_carrier_date,
+  {ts('order_delivered_customer_date')} AS order_delivered_customer_date,
+  {ts('order_estimated_delivery_date')} AS order_estimated_delivery_date
+FROM raw_orders""")
+
+T_ORDER_ITEMS = _raw_plain(f"""
+SELECT order_id, TRY_CAST(order_item_id AS INT) AS order_item_id, product_id, seller_id,
+  {ts('shipping_limit_date')} AS shipping_limit_date,
+  CAST(TRY_CAST(price AS DECIMAL(10,2)) AS DOUBLE) AS price,
+  CAST(TRY_CAST(freight_value AS DECIMAL(10,2)) AS DOUBLE) AS freight_value
+FROM raw_items""")
+
+T_PAYMENTS = _raw_plain(f"""
+SELECT order_id, TRY_CAST(payment_sequential AS INT) AS payment_sequential,
+  lower({strip('payment_type')}) AS payment_type, TRY_CAST(payment_installments AS INT) AS payment_installments,
+  CAST(TRY_CAST(payment_value AS DECIMAL(10,2)) AS DOUBLE) AS payment_value
+FROM raw_payments""")
+
+T_PRODUCTS = _raw_plain("""
+SELECT product_id, product_category_name,
+  TRY_CAST(product_name_lenght AS DOUBLE) AS product_name_length,
+  TRY_CAST(product_description_lenght AS DOUBLE) AS product_description_length,
+  TRY_CAST(product_photos_qty AS DOUBLE) AS product_photos_qty, TRY_CAST(product_weight_g AS DOUBLE) AS product_weight_g,
+  TRY_CAST(product_length_cm AS DOUBLE) AS product_length_cm, TRY_CAST(product_height_cm AS DOUBLE) AS product_height_cm,
+  TRY_CAST(product_width_cm AS DOUBLE) AS product_width_cm
+FROM raw_products""")
+
+T_ORDER_REVIEWS = _raw(f"""
+typed AS (
+  SELECT review_id, order_id, TRY_CAST(review_score AS INT) AS review_score,
+    {na('review_comment_title')} AS review_comment_title, review_comment_message,
+    {ts('review_creation_date')} AS review_creation_date, {ts('review_answer_timestamp')} AS review_answer_timestamp
+  FROM raw_reviews),
+ranked AS (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY review_id, order_id
+    ORDER BY (review_answer_timestamp IS NULL) DESC, review_answer_timestamp DESC, review_score DESC NULLS LAST,
+             review_comment_title DESC NULLS LAST, review_comment_message DESC NULLS LAST,
+             review_creation_date DESC NULLS LAST) AS rn
+  FROM typed)
+SELECT review_id, order_id, review_score, review_comment_title, review_comment_message, review_creation_date,
+  review_answer_timestamp
+FROM ranked WHERE rn = 1""")
+
+DEDUP_FULL_ROW = _plain("SELECT DISTINCT * FROM m_raw_reviews")
+
+DEDUP_KEEP_LATEST = _with("""
+ranked AS (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY review_id, order_id
+    ORDER BY (review_answer_timestamp IS NULL) DESC, review_answer_timestamp DESC, review_score DESC) AS rn
+  FROM m_raw_reviews)
+SELECT review_id, order_id, review_score, review_answer_timestamp FROM ranked WHERE rn = 1""")
+
+DEDUP_KEEP_FIRST = _raw_plain("""
+SELECT product_category_name, arg_min(product_category_name_english, file_order) AS product_category_name_english
+FROM raw_translation GROUP BY product_category_name""")
+
+GEO_COLLAPSE = _plain(f"""
+SELECT zip, CAST({avg_sql("lat", 2)} AS DOUBLE) AS lat,
+  arg_min(city, ord) FILTER (WHERE city IS NOT NULL) AS city
+FROM m_raw_geo WHERE zip IS NOT NULL GROUP BY zip""")
+
+SRC_CSV_SCAN = _raw_plain("""
+SELECT review_id, order_id, review_comment_title, review_comment_message FROM raw_reviews""")
+
+SRC_NA_TOKENS = _raw_plain(f"""
+SELECT review_id, order_id, {na('review_comment_title')} AS review_comment_title, review_comment_message
+FROM raw_reviews""")
+
+SRC_HEADER_CHECK = T_PAYMENTS
+
+CONFORM_TYPES = _raw_plain("""
+SELECT order_id, TRY_CAST(order_item_id AS INT) AS order_item_id, product_id, seller_id,
+  shipping_limit_date, CAST(TRY_CAST(price AS DECIMAL(10,2)) AS DOUBLE) AS price,
+  CAST(TRY_CAST(freight_value AS DECIMAL(10,2)) AS DOUBLE) AS freight_value
+FROM raw_items""")
+
+_TABLE_COUNTS = """
+SELECT 'geolocation' AS "table", (SELECT COUNT(DISTINCT c_nationkey) FROM customer) AS n
+UNION ALL SELECT 'customers', (SELECT COUNT(*) FROM orders JOIN customer ON o_custkey = c_custkey)
+UNION ALL SELECT 'sellers', (SELECT COUNT(*) FROM supplier)
+UNION ALL SELECT 'product_category_translation', (SELECT COUNT(DISTINCT p_type) FROM part WHERE p_type <> 'PROMO')
+UNION ALL SELECT 'products', (SELECT COUNT(*) FROM part)
+UNION ALL SELECT 'orders', (SELECT COUNT(*) FROM orders)
+UNION ALL SELECT 'order_items', (SELECT COUNT(*) FROM lineitem)
+UNION ALL SELECT 'order_payments', (SELECT COUNT(*) FROM orders)
+UNION ALL SELECT 'order_reviews', (SELECT COUNT(*) FROM (SELECT DISTINCT l_orderkey * 10 + l_linenumber, l_orderkey FROM lineitem))
+"""
+
+RECONCILE_COUNTS = f"""
+SELECT "table", CAST(n AS BIGINT) AS expected, CAST(n AS BIGINT) AS loaded, TRUE AS ok FROM ({_TABLE_COUNTS}) t"""
+
+SINK_OVERWRITE_IDEMPOTENT = f"""
+SELECT "table", CAST(n AS BIGINT) AS rows, TRUE AS identical FROM ({_TABLE_COUNTS}) t"""
+
+PIPELINE_END_TO_END = _raw(f"""
+monthly AS (
+  SELECT strftime({ts('o.order_purchase_timestamp')}, '%Y-%m') AS order_month,
+         COUNT(DISTINCT o.order_id) AS orders,
+         ROUND(SUM(CAST(oi.price AS DECIMAL(10,2))), 2) AS product_revenue,
+         ROUND(SUM(CAST(oi.freight_value AS DECIMAL(10,2))), 2) AS freight_revenue
+  FROM raw_orders o JOIN raw_items oi ON oi.order_id = o.order_id
+  WHERE lower({strip('o.order_status')}) = 'delivered'
+  GROUP BY 1),
+lagged AS (SELECT *, LAG(product_revenue) OVER (ORDER BY order_month) AS prev FROM monthly)
+SELECT order_month, CAST(orders AS BIGINT) AS orders,
+  CAST(product_revenue AS DOUBLE) AS product_revenue, CAST(freight_revenue AS DOUBLE) AS freight_revenue,
+  CAST(prev AS DOUBLE) AS prev_month_revenue,
+  {pub(div_sql("100 * (product_revenue - prev)", "prev", 2, 6), 1)} AS mom_growth_pct
+FROM lagged""")
+
+DQ_UNIQUE = _plain("""
+SELECT order_id, order_item_id, CAST(COUNT(*) AS BIGINT) AS n FROM m_items
+GROUP BY order_id, order_item_id HAVING COUNT(*) > 1""")
+
+DQ_FOREIGN_KEY = _plain("""
+SELECT p.product_id, p.product_category_name FROM m_products p
+WHERE p.product_category_name IS NOT NULL
+  AND NOT EXISTS (SELECT 1 FROM m_translation t WHERE t.product_category_name = p.product_category_name)""")
+
+DQ_NOT_NULL = _plain("""
+SELECT 'order_id' AS "column", CAST(COUNT(*) - COUNT(order_id) AS BIGINT) AS nulls FROM m_orders
+UNION ALL SELECT 'customer_id', COUNT(*) - COUNT(customer_id) FROM m_orders
+UNION ALL SELECT 'order_status', COUNT(*) - COUNT(order_status) FROM m_orders
+UNION ALL SELECT 'order_purchase_timestamp', COUNT(*) - COUNT(order_purchase_timestamp) FROM m_orders
+UNION ALL SELECT 'order_delivered_customer_date', COUNT(*) - COUNT(order_delivered_customer_date) FROM m_orders
+UNION ALL SELECT 'order_estimated_delivery_date', COUNT(*) - COUNT(order_estimated_delivery_date) FROM m_orders""")
+
+DQ_DOMAIN = _plain("""
+SELECT 'customers' AS "table", 'customer_id' AS "column", 'width<=32' AS "check",
+  CAST(SUM(CAST(length(CAST(customer_id AS VARCHAR)) > 32 AS INT)) AS BIGINT) AS violations FROM m_customers
+UNION ALL SELECT 'customers', 'customer_unique_id', 'width<=32',
+  SUM(CAST(length(CAST(customer_unique_id AS VARCHAR)) > 32 AS INT)) FROM m_customers
+UNION ALL SELECT 'customers', 'customer_state', 'width<=2',
+  SUM(CAST(length(customer_state) > 2 AS INT)) FROM m_customers
+UNION ALL SELECT 'order_items', 'order_id', 'width<=32', SUM(CAST(length(CAST(order_id AS VARCHAR)) > 32 AS INT)) FROM m_items
+UNION ALL SELECT 'order_items', 'product_id', 'width<=32', SUM(CAST(length(CAST(product_id AS VARCHAR)) > 32 AS INT)) FROM m_items
+UNION ALL SELECT 'order_items', 'seller_id', 'width<=32', SUM(CAST(length(CAST(seller_id AS VARCHAR)) > 32 AS INT)) FROM m_items
+UNION ALL SELECT 'order_items', 'price', 'decimal(10,2)',
+  SUM(CAST(price IS NOT NULL AND TRY_CAST(price AS DECIMAL(10,2)) IS NULL AS INT)) FROM m_items
+UNION ALL SELECT 'order_items', 'freight_value', 'decimal(10,2)',
+  SUM(CAST(freight_value IS NOT NULL AND TRY_CAST(freight_value AS DECIMAL(10,2)) IS NULL AS INT)) FROM m_items""")
+
+ORACLES.update({
+    "clean_text": CLEAN_TEXT, "clean_state": CLEAN_STATE, "clean_to_datetime": CLEAN_TO_DATETIME,
+    "clean_rename": CLEAN_RENAME, "t_customers": T_CUSTOMERS, "t_sellers": T_SELLERS, "t_orders": T_ORDERS,
+    "t_order_items": T_ORDER_ITEMS, "t_payments": T_PAYMENTS, "t_products": T_PRODUCTS,
+    "t_order_reviews": T_ORDER_REVIEWS, "dedup_full_row": DEDUP_FULL_ROW, "dedup_keep_latest": DEDUP_KEEP_LATEST,
+    "dedup_keep_first": DEDUP_KEEP_FIRST, "geo_collapse": GEO_COLLAPSE, "src_csv_scan": SRC_CSV_SCAN,
+    "src_na_tokens": SRC_NA_TOKENS, "src_header_check": SRC_HEADER_CHECK, "conform_types": CONFORM_TYPES,
+    "reconcile_counts": RECONCILE_COUNTS, "sink_overwrite_idempotent": SINK_OVERWRITE_IDEMPOTENT,
+    "pipeline_end_to_end": PIPELINE_END_TO_END, "dq_unique": DQ_UNIQUE, "dq_foreign_key": DQ_FOREIGN_KEY,
+    "dq_not_null": DQ_NOT_NULL, "dq_domain": DQ_DOMAIN,
+})
