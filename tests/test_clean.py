@@ -1,0 +1,52 @@
+import datetime as dt
+
+from shopmarts.operators import clean
+
+T1, T2 = dt.datetime(2018, 1, 1), dt.datetime(2018, 2, 1)
+SCHEMA = "review_id string, order_id string, review_score int, review_answer_timestamp timestamp_ntz"
+
+
+def _reviews(spark):
+    rows = [
+        ("a", "o", 3, T1), ("a", "o", 3, T1),          # identical rows
+        ("b", "o", 1, T1), ("b", "o", 5, T2),          # later wins
+        ("c", "o", 2, T2), ("c", "o", 4, None),        # NULL time wins by default
+        ("d", "o", 2, T1), ("d", "o", 4, T1),          # tie on time: greatest remaining column
+    ]
+    return spark.createDataFrame(rows, SCHEMA)
+
+
+def test_keep_latest_default_null_wins(spark):
+    got = {r.review_id: (r.review_score, r.review_answer_timestamp)
+           for r in clean.keep_latest(_reviews(spark), ["review_id", "order_id"], "review_answer_timestamp").collect()}
+    assert got == {"a": (3, T1), "b": (5, T2), "c": (4, None), "d": (4, T1)}
+
+
+def test_keep_latest_documented_reading(spark):
+    got = {r.review_id: r.review_score for r in clean.keep_latest(
+        _reviews(spark), ["review_id", "order_id"], "review_answer_timestamp", nulls="oldest").collect()}
+    assert got["c"] == 2
+
+
+def test_drop_identical(spark):
+    assert clean.drop_identical(_reviews(spark)).count() == 7
+
+
+def test_keep_first_by_file_order(spark):
+    df = spark.createDataFrame([("x", "second", 2), ("x", "first", 1), ("y", "only", 5)],
+                               "product_category_name string, product_category_name_english string, _file_order int")
+    got = {r[0]: r[1] for r in clean.keep_first(df, ["product_category_name"]).collect()}
+    assert got == {"x": "first", "y": "only"}
+
+
+def test_collapse_mean_first_non_null_and_null_key(spark):
+    rows = [(1, 10.0, None, 1), (1, 20.0, "b", 2), (1, 30.0, "c", 3), (None, 5.0, "z", 0)]
+    df = spark.createDataFrame(rows, "zip int, lat double, city string, _file_order int")
+    out = clean.collapse_by_key(df, "zip", means=("lat",), firsts=("city",)).collect()
+    assert len(out) == 1 and out[0]["lat"] == 20.0 and out[0]["city"] == "b"
+
+
+def test_rename(spark):
+    df = spark.createDataFrame([("p", 1.0, 2.0)], "product_id string, product_name_lenght double, "
+                                                   "product_description_lenght double")
+    assert clean.transform_products(df).columns == ["product_id", "product_name_length", "product_description_length"]
