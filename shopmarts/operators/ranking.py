@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 SAMPLE_PER_RANGE = 64
+MAX_RANGES = 1024  # keeps the bound CASE tree (2 * ranges nodes) compact; ~1M rows per range at 1B rows
 
 
 def _range_expr(df: DataFrame, cols: list[str], bounds: list[tuple]) -> Column:
@@ -70,7 +71,7 @@ def global_position(df: DataFrame, order_cols: list[str], out: str = "_pos", *,
     n = df.count()
     if ranges is None:
         ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        ranges = max(1, min(ranges, math.ceil(n / SAMPLE_PER_RANGE)))
+        ranges = max(1, min(ranges, MAX_RANGES, math.ceil(n / SAMPLE_PER_RANGE)))
     bounds = _choose_bounds(df, order_cols, n, ranges, seed)
     rng = _range_expr(df, order_cols, bounds)
     with_rng = df.withColumn("_rng", rng)

@@ -282,6 +282,134 @@ def q_dq_domain(spark, sf_dir):
             .unionByName(b.select(F.lit("order_items").alias("table"), "*")))
 
 
+# --------------------------------------------------------------------------- single primitives
+def q_win_lag(spark, sf_dir):
+    """W1 on its own: orders per purchase month (all statuses) and the previous present month's count."""
+    from pyspark.sql import Window
+
+    from shopmarts.functions.exprs import month_floor, month_label
+
+    o = _t(spark, sf_dir)["orders"]
+    m = o.groupBy(month_floor("order_purchase_timestamp").alias("m")).agg(F.count(F.lit(1)).alias("orders"))
+    return m.select(month_label("m").alias("order_month"), F.col("orders").cast("long"),
+                    F.lag("orders").over(Window.orderBy("m")).cast("long").alias("prev_orders"))
+
+
+def q_win_first_value(spark, sf_dir):
+    """W2 on its own: every (cohort, offset) with the cohort's first (offset-0) size."""
+    from pyspark.sql import Window
+
+    cc = marts.cohort_counts(_t(spark, sf_dir))
+    first = F.first("active_customers").over(Window.partitionBy("cohort").orderBy("month_offset"))
+    return cc.select(F.date_format("cohort", "yyyy-MM-dd").alias("cohort_month"),
+                     F.col("month_offset").cast("long"), F.col("active_customers").cast("long"),
+                     first.cast("long").alias("cohort_size"))
+
+
+def q_filter_equality(spark, sf_dir):
+    return marts.delivered_orders(_t(spark, sf_dir)).select("order_id", "order_purchase_timestamp")
+
+
+def q_share_true(spark, sf_dir):
+    """Late share per state among delivered, dated orders; NULL estimates are skipped."""
+    from shopmarts.functions.exprs import publish, share_true
+
+    o = marts.delivered_orders(_t(spark, sf_dir)).where(F.col("order_delivered_customer_date").isNotNull())
+    c = _t(spark, sf_dir)["customers"].select("customer_id", "customer_state")
+    late = F.col("order_delivered_customer_date") > F.col("order_estimated_delivery_date")
+    return o.join(c, "customer_id").groupBy("customer_state").agg(publish(share_true(late)).alias("late_share"))
+
+
+def q_agg_count_distinct(spark, sf_dir):
+    items = _t(spark, sf_dir)["order_items"]
+    return items.groupBy("seller_id").agg(F.count_distinct("order_id").cast("long").alias("orders"))
+
+
+def q_scalar_subquery_recency(spark, sf_dir):
+    """days from each person's last delivered purchase to the latest purchase of any order."""
+    t = _t(spark, sf_dir)
+    max_ts = t["orders"].select(F.max("order_purchase_timestamp")).scalar()
+    co = marts.customer_orders(t)
+    return co.select("customer_unique_id",
+                     F.datediff(max_ts.cast("date"), F.col("last_purchase").cast("date")).alias("recency_days"))
+
+
+def q_datediff_average(spark, sf_dir):
+    """Average whole days from purchase to delivery per purchase month (scale 4, then 1 digit)."""
+    from shopmarts.functions.exprs import avg_exact, month_floor, month_label, rounded
+
+    o = marts.delivered_orders(_t(spark, sf_dir)).where(F.col("order_delivered_customer_date").isNotNull())
+    g = o.groupBy(month_floor("order_purchase_timestamp").alias("m")).agg(
+        avg_exact(days_between("order_delivered_customer_date", "order_purchase_timestamp")).alias("a"))
+    return g.select(month_label("m").alias("order_month"), rounded("a", 1).alias("avg_delivery_days"))
+
+
+def q_mean_of_ratios(spark, sf_dir):
+    """Mean of per-item freight/price (NULL for price 0) x 100 per seller state, all items."""
+    from shopmarts.functions.exprs import dec_ratio, rounded
+
+    t = _t(spark, sf_dir)
+    items = t["order_items"]
+    fs = marts._scale(items, "freight_value")
+    ratio = dec_ratio(F.col("freight_value"), F.col("price"), fs + 4, fs, marts._scale(items, "price"))
+    s = t["sellers"].select("seller_id", "seller_state")
+    g = items.join(s, "seller_id").groupBy("seller_state").agg(F.avg(ratio).alias("r"))
+    return g.select("seller_state", rounded(F.col("r") * 100, 1).alias("freight_pct_of_price"))
+
+
+def q_topk(spark, sf_dir):
+    """O3: ten products with the highest item revenue; ties broken by product id."""
+    from shopmarts.functions.exprs import publish
+
+    items = _t(spark, sf_dir)["order_items"]
+    g = items.groupBy("product_id").agg(F.sum("price").alias("revenue"))
+    return g.orderBy(F.col("revenue").desc(), "product_id").limit(10).select(
+        "product_id", publish("revenue").alias("revenue"))
+
+
+def q_month_label(spark, sf_dir):
+    from shopmarts.functions.exprs import month_floor, month_label
+
+    o = _t(spark, sf_dir)["orders"]
+    return o.select("order_id", month_label(month_floor("order_purchase_timestamp")).alias("order_month"))
+
+
+def q_month_floor(spark, sf_dir):
+    from shopmarts.functions.exprs import month_floor
+
+    o = _t(spark, sf_dir)["orders"]
+    return o.select("order_id", F.date_format(month_floor("order_purchase_timestamp"), "yyyy-MM-dd").alias("month_start"))
+
+
+def q_month_offset(spark, sf_dir):
+    from shopmarts.functions.exprs import month_floor, month_offset
+
+    o = _t(spark, sf_dir)["orders"].where(F.col("order_estimated_delivery_date").isNotNull())
+    off = month_offset(month_floor("order_purchase_timestamp"), month_floor("order_estimated_delivery_date"))
+    return o.select("order_id", off.cast("long").alias("month_offset"))
+
+
+def q_safe_growth_pct(spark, sf_dir):
+    """Month-over-month growth of delivered item revenue with a NULL-safe denominator."""
+    from pyspark.sql import Window
+
+    from shopmarts.functions.exprs import dec_div, month_label, publish
+
+    m = marts.monthly_revenue_base(_t(spark, sf_dir))
+    prev = F.lag("rev").over(Window.orderBy("m"))
+    g = F.round(dec_div(F.lit(100) * (F.col("rev") - prev), prev, 6, num_scale=2, den_scale=2), 1)
+    return m.select(month_label("m").alias("order_month"), publish(g).alias("growth_pct"))
+
+
+def q_join_left_dimension(spark, sf_dir):
+    """Every product with its label: english, else native, else 'uncategorized'."""
+    t = _t(spark, sf_dir)
+    p = t["products"]
+    tr = t["product_category_translation"]
+    label = F.coalesce("product_category_name_english", "product_category_name", F.lit("uncategorized"))
+    return p.join(tr, "product_category_name", "left").select("product_id", label.alias("category"))
+
+
 QUERIES: dict[str, Query] = {
     "mart_monthly_revenue": _mart(marts.mart_monthly_revenue),
     "mart_top_categories": _mart(marts.mart_top_categories),
@@ -328,4 +456,18 @@ QUERIES: dict[str, Query] = {
     "dq_foreign_key": q_dq_foreign_key,
     "dq_not_null": q_dq_not_null,
     "dq_domain": q_dq_domain,
+    "win_lag": q_win_lag,
+    "win_first_value": q_win_first_value,
+    "filter_equality": q_filter_equality,
+    "share_true": q_share_true,
+    "agg_count_distinct": q_agg_count_distinct,
+    "scalar_subquery_recency": q_scalar_subquery_recency,
+    "datediff_average": q_datediff_average,
+    "mean_of_ratios": q_mean_of_ratios,
+    "topk": q_topk,
+    "month_label": q_month_label,
+    "month_floor": q_month_floor,
+    "month_offset": q_month_offset,
+    "safe_growth_pct": q_safe_growth_pct,
+    "join_left_dimension": q_join_left_dimension,
 }

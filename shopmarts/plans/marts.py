@@ -368,7 +368,9 @@ def mart_freight_by_region(t: Tables, min_orders: int = 100) -> DataFrame:
     c = t["customers"].select("customer_id", "customer_state")
     s = t["sellers"].select("seller_id", "seller_state")
     same = as_int(F.col("seller_state") == F.col("customer_state"))
-    per_order = (o.join(c, "customer_id").join(os_, "order_id").join(s, "seller_id")
+    # dimension first (broadcast when its measured size allows), then one order_id join whose
+    # partitioning the per-order aggregate reuses
+    per_order = (os_.join(s, "seller_id").join(o.join(c, "customer_id"), "order_id")
                  .groupBy("order_id", "customer_state").agg(
                      F.sum("n_items").alias("n_items"), F.sum("f_sum").alias("f_sum"),
                      F.sum("r_sum").alias("r_sum"), F.sum("r_n").alias("r_n"),

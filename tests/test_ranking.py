@@ -45,3 +45,17 @@ def test_top_dense_rank_matches_full_rank(spark):
     full = (df.withColumn("r", F.dense_rank().over(Window.orderBy(F.col("v").desc())))
             .orderBy(F.col("v").desc(), "id").limit(20))
     assert sorted(map(tuple, top.select("id", "r").collect())) == sorted(map(tuple, full.select("id", "r").collect()))
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_global_ntile_plans_no_single_partition(spark):
+    df = _frame(spark, 2000, 0.5)
+    out = ranking.global_ntile(df, 5, ["k", "id"], "t", ranges=8)
+    out.collect()
+    assert "SinglePartition" not in _plan(out)
+    plain = df.withColumn("t", F.ntile(5).over(Window.orderBy("k", "id")))
+    plain.collect()
+    assert "SinglePartition" in _plan(plain)
