@@ -1,0 +1 @@
+"""Native column expressions (text, timestamps, month arithmetic, exact decimal ratios)."""

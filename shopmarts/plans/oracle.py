@@ -297,7 +297,7 @@ GROUP BY delivery_bucket ORDER BY delivery_bucket
 """)
 
 CASE_BUCKET = _with(_DELIVERED + f"""
-SELECT d.order_id, d.delay_days, {_DELAY_CASE} AS delivery_bucket FROM delivered d
+SELECT d.order_id, CAST(d.delay_days AS INTEGER) AS delay_days, {_DELAY_CASE} AS delivery_bucket FROM delivered d
 """)
 
 _PER_CUSTOMER = """
@@ -610,7 +610,8 @@ UNION ALL SELECT 'order_purchase_timestamp', COUNT(*) - COUNT(order_purchase_tim
 UNION ALL SELECT 'order_delivered_customer_date', COUNT(*) - COUNT(order_delivered_customer_date) FROM m_orders
 UNION ALL SELECT 'order_estimated_delivery_date', COUNT(*) - COUNT(order_estimated_delivery_date) FROM m_orders""")
 
-DQ_DOMAIN = _plain("""
+DQ_DOMAIN = _with("""
+dom AS (
 SELECT 'customers' AS "table", 'customer_id' AS "column", 'width<=32' AS "check",
   CAST(SUM(CAST(length(CAST(customer_id AS VARCHAR)) > 32 AS INT)) AS BIGINT) AS violations FROM m_customers
 UNION ALL SELECT 'customers', 'customer_unique_id', 'width<=32',
@@ -623,7 +624,8 @@ UNION ALL SELECT 'order_items', 'seller_id', 'width<=32', SUM(CAST(length(CAST(s
 UNION ALL SELECT 'order_items', 'price', 'decimal(10,2)',
   SUM(CAST(price IS NOT NULL AND TRY_CAST(price AS DECIMAL(10,2)) IS NULL AS INT)) FROM m_items
 UNION ALL SELECT 'order_items', 'freight_value', 'decimal(10,2)',
-  SUM(CAST(freight_value IS NOT NULL AND TRY_CAST(freight_value AS DECIMAL(10,2)) IS NULL AS INT)) FROM m_items""")
+  SUM(CAST(freight_value IS NOT NULL AND TRY_CAST(freight_value AS DECIMAL(10,2)) IS NULL AS INT)) FROM m_items)
+SELECT "table", "column", "check", CAST(violations AS BIGINT) AS violations FROM dom""")
 
 ORACLES.update({
     "clean_text": CLEAN_TEXT, "clean_state": CLEAN_STATE, "clean_to_datetime": CLEAN_TO_DATETIME,

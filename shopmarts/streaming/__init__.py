@@ -1,0 +1,6 @@
+"""Streaming: intentionally empty.
+
+The surveyed job is a full-refresh batch run (no watermark, window, state or late-data logic), so
+there is no streaming operator to provide. A streaming variant would wrap ``plans.pipeline`` in
+``foreachBatch``; it is not built because nothing in the reference needs it.
+"""
