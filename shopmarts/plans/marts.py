@@ -75,16 +75,22 @@ def mart_monthly_revenue(t: Tables) -> DataFrame:
 
 
 # --------------------------------------------------------------------------- M2
-def category_revenue(t: Tables) -> DataFrame:
-    """category label -> distinct delivered orders and Σ price (all groups, before any limit)."""
+def category_revenue(t: Tables, collation: str | None = None) -> DataFrame:
+    """category label -> distinct delivered orders and Σ price (all groups, before any limit).
+
+    ``collation`` (e.g. 'UNICODE_CI_AI') makes the translation lookup case/accent-insensitive, as
+    a case-insensitive warehouse collation would (T15); the default compares bytes.
+    """
     items = t["order_items"].select("order_id", "product_id", "price")
     delivered = delivered_orders(t).select("order_id")
-    p = t["products"].select("product_id", "product_category_name")
-    tr = t["product_category_translation"].select("product_category_name", "product_category_name_english")
+    name = F.col("product_category_name")
+    key = F.collate(name, collation) if collation else name
+    p = t["products"].select("product_id", "product_category_name", key.alias("_k"))
+    tr = t["product_category_translation"].select(key.alias("_k"), "product_category_name_english")
     label = F.coalesce(F.col("product_category_name_english"), F.col("product_category_name"), F.lit("uncategorized"))
     labelled = (items.join(delivered, "order_id", "left_semi")
                 .join(p, "product_id")
-                .join(tr, "product_category_name", "left")
+                .join(tr, "_k", "left")
                 .select("order_id", "price", label.alias("category")))
     # distinct (category, order) first: COUNT(DISTINCT order) without an Expand of every item row
     per_cat_order = labelled.groupBy("category", "order_id").agg(F.sum("price").alias("price"))
@@ -100,15 +106,15 @@ def with_share(df: DataFrame, value: str, out: str, digits: int) -> DataFrame:
     return df.withColumn(out, publish(share))
 
 
-def mart_category_share(t: Tables) -> DataFrame:
+def mart_category_share(t: Tables, collation: str | None = None) -> DataFrame:
     """Every category with its revenue share (W5 without the top-k cut)."""
-    cats = with_share(category_revenue(t), "rev", "revenue_share_pct", 2)
+    cats = with_share(category_revenue(t, collation), "rev", "revenue_share_pct", 2)
     return cats.select("category", "orders", rounded("rev", 2).alias("revenue"), "revenue_share_pct")
 
 
-def mart_top_categories(t: Tables, limit: int = 15) -> DataFrame:
+def mart_top_categories(t: Tables, limit: int = 15, collation: str | None = None) -> DataFrame:
     """M2: top categories by revenue; share over all groups, computed before the limit."""
-    cats = with_share(category_revenue(t), "rev", "revenue_share_pct", 2)
+    cats = with_share(category_revenue(t, collation), "rev", "revenue_share_pct", 2)
     top = cats.orderBy(F.col("rev").desc(), F.col("category").asc()).limit(limit)
     return top.select("category", "orders", rounded("rev", 2).alias("revenue"), "revenue_share_pct")
 

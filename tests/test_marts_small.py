@@ -87,3 +87,14 @@ def test_invariants_on_driver_tables(small):
     assert sum(r.customers for r in marts.mart_order_histogram(small).collect()) == total
     ranks = [r.revenue_rank for r in marts.mart_seller_ranking(small, min_orders=1).collect()]
     assert ranks == sorted(ranks) and ranks[0] == 1
+
+
+def test_category_lookup_collation(spark):
+    orders = [("o1", "c1", "delivered", t(2017, 1), None, None)]
+    items = [("o1", 1, "p1", "s", D("10.00"), D("1.00"))]
+    tb = _tables(spark, orders, items)
+    tb["products"] = spark.createDataFrame([("p1", "Beleza_Saude")], "product_id string, product_category_name string")
+    tb["product_category_translation"] = spark.createDataFrame(
+        [("beleza_saúde", "health_beauty")], "product_category_name string, product_category_name_english string")
+    assert marts.mart_top_categories(tb).first().category == "Beleza_Saude"
+    assert marts.mart_top_categories(tb, collation="UNICODE_CI_AI").first().category == "health_beauty"
