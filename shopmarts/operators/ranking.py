@@ -104,6 +104,69 @@ def global_ntile(df: DataFrame, k: int, order_cols: list[str], out: str, *, rang
     return ranked.withColumn(out, ntile_of(F.col("_pos"), n, k)).drop("_pos")
 
 
+def _spark_sort_key(row):
+    """Python key equal to Spark's ascending NULLS FIRST order for plain scalar values."""
+    out = []
+    for v in row:
+        if v is None:
+            out.append((0, 0, 0))
+        elif isinstance(v, float) and math.isnan(v):
+            out.append((1, 1, 0))  # Spark: NaN sorts after every number
+        else:
+            out.append((1, 0, v))
+    return tuple(out)
+
+
+def global_ntiles(df: DataFrame, k: int, orders: dict[str, list[str]], id_col: str, *,
+                  ranges: int | None = None, seed: int = 17) -> DataFrame:
+    """Several ``ntile(k) OVER (ORDER BY ...)`` columns at once, sharing the preparatory passes.
+
+    ``orders`` maps output column -> ordering columns (each ending with ``id_col`` so the order is
+    total). One count, one bounded sample and one range-count pass serve every ordering; each
+    ordering then costs one shuffle by its range number, and the scores are joined back by id.
+    """
+    spark = df.sparkSession
+    n = df.count()
+    if ranges is None:
+        ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        ranges = max(1, min(ranges, MAX_RANGES, math.ceil(n / SAMPLE_PER_RANGE)))
+    needed = list(dict.fromkeys(c for cols in orders.values() for c in cols))
+    sample = []
+    if ranges > 1 and n:
+        fraction = min(1.0, ranges * SAMPLE_PER_RANGE / n)
+        sample = [tuple(r) for r in df.select(*needed).sample(False, fraction, seed).collect()]  # bounded
+    bounds, exprs = {}, {}
+    for out, cols in orders.items():
+        idx = [needed.index(c) for c in cols]
+        ordered = sorted((tuple(r[i] for i in idx) for r in sample), key=_spark_sort_key)
+        b = []
+        for j in range(1, ranges):
+            if not ordered:
+                break
+            cand = ordered[min(len(ordered) - 1, (j * len(ordered)) // ranges)]
+            if not b or cand != b[-1]:
+                b.append(cand)
+        bounds[out] = b
+        exprs[out] = _range_expr(df, cols, b)
+    # one pass counts the rows of every range of every ordering
+    tagged = df.select(F.explode(F.array(*[F.struct(F.lit(o).alias("o"), e.alias("r")) for o, e in exprs.items()]))
+                       .alias("t"))
+    counts = tagged.groupBy("t.o", "t.r").count().collect()  # at most len(orders) * p rows
+    result = df
+    for out, cols in orders.items():
+        per = sorted((r["r"], r["count"]) for r in counts if r["o"] == out)
+        starts, acc = [], 0
+        for rng, cnt in per:
+            starts += [F.lit(rng), F.lit(acc)]
+            acc += cnt
+        start_of = F.element_at(F.create_map(*starts), F.col("_rng")) if starts else F.lit(0)
+        w = Window.partitionBy("_rng").orderBy(*[F.col(c).asc_nulls_first() for c in cols])
+        scored = (df.select(*cols).withColumn("_rng", exprs[out])
+                  .select(F.col(id_col), ntile_of(start_of + F.row_number().over(w) - 1, n, k).alias(out)))
+        result = result.join(scored, id_col)
+    return result
+
+
 def global_dense_rank(df: DataFrame, value_col: str, out: str, *, descending: bool = True,
                       ranges: int | None = None) -> DataFrame:
     """``dense_rank() OVER (ORDER BY value_col [DESC])``: number the distinct values, join back.

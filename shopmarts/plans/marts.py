@@ -179,15 +179,12 @@ def rfm_scores(t: Tables, tiles: int = 5, ranges: int | None = None) -> DataFram
     """The scored relation: recency days plus three NTILE(5) scores (ties broken by the person id)."""
     from shopmarts.session import cut_lineage
 
-    co = cut_lineage(customer_orders(t))  # read by count, sample and final pass: fix it once
+    co = cut_lineage(customer_orders(t))  # read by count, sample, range counts and final pass
     max_ts = t["orders"].select(F.max("order_purchase_timestamp")).scalar()
-    scored = co.withColumn("recency_days", F.datediff(max_ts.cast("date"), F.col("last_purchase").cast("date")))
     pid = "customer_unique_id"
-    r = ranking.global_ntile(co.select(pid, "last_purchase"), tiles, ["last_purchase", pid], "r_score", ranges=ranges)
-    f = ranking.global_ntile(co.select(pid, "frequency"), tiles, ["frequency", pid], "f_score", ranges=ranges)
-    m = ranking.global_ntile(co.select(pid, "monetary"), tiles, ["monetary", pid], "m_score", ranges=ranges)
-    return (scored.join(r.select(pid, "r_score"), pid).join(f.select(pid, "f_score"), pid)
-            .join(m.select(pid, "m_score"), pid))
+    scored = ranking.global_ntiles(co, tiles, {"r_score": ["last_purchase", pid], "f_score": ["frequency", pid],
+                                               "m_score": ["monetary", pid]}, pid, ranges=ranges)
+    return scored.withColumn("recency_days", F.datediff(max_ts.cast("date"), F.col("last_purchase").cast("date")))
 
 
 def segment_label(r, f) -> F.Column:
@@ -198,17 +195,17 @@ def segment_label(r, f) -> F.Column:
 
 
 def mart_rfm_segments(t: Tables, ranges: int | None = None) -> DataFrame:
-    """M5: segment sizes and averages; m_score is part of the scored relation but no label uses it."""
+    """M5: segment sizes and averages; m_score belongs to the scored relation but no label uses it,
+    so only the two scores the labels read are computed here."""
     from shopmarts.session import cut_lineage
 
     co = cut_lineage(customer_orders(t))
     max_ts = t["orders"].select(F.max("order_purchase_timestamp")).scalar()
     pid = "customer_unique_id"
-    r = ranking.global_ntile(co.select(pid, "last_purchase"), 5, ["last_purchase", pid], "r_score", ranges=ranges)
-    f = ranking.global_ntile(co.select(pid, "frequency"), 5, ["frequency", pid], "f_score", ranges=ranges)
-    scored = (co.select(pid, "frequency", "monetary",
-                        F.datediff(max_ts.cast("date"), F.col("last_purchase").cast("date")).alias("recency_days"))
-              .join(r.select(pid, "r_score"), pid).join(f.select(pid, "f_score"), pid))
+    scored = ranking.global_ntiles(co, 5, {"r_score": ["last_purchase", pid], "f_score": ["frequency", pid]},
+                                   pid, ranges=ranges)
+    scored = scored.withColumn("recency_days",
+                               F.datediff(max_ts.cast("date"), F.col("last_purchase").cast("date")))
     g = scored.groupBy(segment_label("r_score", "f_score").alias("segment")).agg(
         F.count(F.lit(1)).cast("long").alias("customers"), avg_exact("recency_days").alias("ar"),
         avg_exact("frequency").alias("af"), avg_exact("monetary", _scale(co, "monetary")).alias("am"))

@@ -59,3 +59,15 @@ def test_global_ntile_plans_no_single_partition(spark):
     plain = df.withColumn("t", F.ntile(5).over(Window.orderBy("k", "id")))
     plain.collect()
     assert "SinglePartition" in _plan(plain)
+
+
+@pytest.mark.parametrize("n", [0, 3, 97, 600])
+def test_global_ntiles_shared_passes(spark, n):
+    rnd = random.Random(n)
+    rows = [(i, rnd.choice([1, 1, 1, 2]), rnd.randint(0, 1000) / 7.0) for i in range(n)]
+    df = spark.createDataFrame(rows, "id long, f long, m double")
+    got = ranking.global_ntiles(df, 5, {"a": ["f", "id"], "b": ["m", "id"]}, "id", ranges=5)
+    want = (df.withColumn("a", F.ntile(5).over(Window.orderBy("f", "id")))
+            .withColumn("b", F.ntile(5).over(Window.orderBy("m", "id"))))
+    cols = ["id", "a", "b"]
+    assert sorted(map(tuple, got.select(*cols).collect())) == sorted(map(tuple, want.select(*cols).collect()))
