@@ -53,12 +53,22 @@ def na_to_null(c) -> Column:
     return F.when(c.isin(*NA_TOKENS), F.lit(None).cast("string")).otherwise(c)
 
 
+_TS_SHAPE = r"^[0-9]{4}-[0-9]{2}-[0-9]{2} [0-9]{2}:[0-9]{2}:[0-9]{2}$"
+
+
 def to_datetime(c, fmt: str | None = DEFAULT_TS_FORMAT) -> Column:
     """Text to ``timestamp_ntz``; unparsable text becomes NULL instead of failing the job.
 
-    ``fmt=None`` is the lenient variant (any ISO-like text a cast accepts, date-only included).
+    The default format is parsed without any time zone (shape check, then
+    ``try_make_timestamp_ntz``, which gives NULL for impossible dates), so the session zone and its
+    daylight-saving gaps cannot move a wall-clock value. Other formats go through
+    ``try_to_timestamp`` in the session zone; ``fmt=None`` is the lenient variant (date-only too).
     """
     s = col_(c).cast("string")
+    if fmt == DEFAULT_TS_FORMAT:
+        part = lambda pos, n: F.substring(s, pos, n).try_cast("int")
+        made = F.try_make_timestamp_ntz(part(1, 4), part(6, 2), part(9, 2), part(12, 2), part(15, 2), part(18, 2))
+        return F.when(s.rlike(_TS_SHAPE), made)
     if fmt is None:
         return F.try_to_timestamp(s).cast("timestamp_ntz")
     return F.try_to_timestamp(s, F.lit(fmt)).cast("timestamp_ntz")

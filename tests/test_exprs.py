@@ -59,3 +59,14 @@ def test_month_helpers(spark):
 def test_na_tokens(spark):
     df = spark.createDataFrame([("NA",), ("n/a",), ("",), ("NAN",), ("x",), (None,)], "s string")
     assert [r[0] for r in df.select(exprs.na_to_null("s")).collect()] == [None, None, None, "NAN", "x", None]
+
+
+def test_to_datetime_is_zone_free(spark):
+    df = spark.createDataFrame([("2017-03-12 02:30:00",), ("2017-02-30 00:00:00",), ("2017-1-02 00:00:00",)], "s string")
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")  # 02:30 does not exist there
+        got = [r[0] for r in df.select(exprs.to_datetime("s")).collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert got == [dt.datetime(2017, 3, 12, 2, 30), None, None]
