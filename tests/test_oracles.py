@@ -6,7 +6,7 @@ import pytest
 
 import __spark_entry__ as E
 from tests.conftest import SF_SMALL
-from tools.check_oracles import TABLES, rows_key
+from tools.check_oracles import TABLES, rows_key, type_diffs
 
 KEYS = sorted(E.queries())
 
@@ -34,6 +34,8 @@ def test_key_matches_oracle(spark, con, key):
     if sql is None:
         assert rows is not None
         return
+    rel = con.sql(sql)
+    assert type_diffs(df, rel.columns, rel.types) == {}
     res = con.execute(sql)
     cols = [d[0] for d in res.description]
     assert sorted(cols) == sorted(df.columns)
