@@ -1,3 +1,5 @@
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -43,3 +45,28 @@ def test_bad_purchase_timestamp_fails_before_publish(spark, tmp_dir):
     assert "orders.order_purchase_timestamp not_null" in str(e.value)
     with pytest.raises(Exception):
         parquet_sink.current_run(spark, out)  # nothing was published
+
+
+def test_row_counts_before_after(spark, tmp_dir):
+    raw, out = f"{tmp_dir}/raw", f"{tmp_dir}/wh"
+    mapping.export_raw_files(spark, SF_SMALL, raw)
+    res = pipeline.run_pipeline(spark, raw, out)
+    before, after = res.row_counts["order_reviews"]
+    assert before == spark.read.parquet(f"{SF_SMALL}/lineitem.parquet").count() and after < before
+    g_before, g_after = res.row_counts["geolocation"]
+    assert g_after == 25 and g_before > g_after
+    assert res.rejects["order_items"] == {"order_item_id": 0, "price": 0, "freight_value": 0}
+
+
+def test_header_only_files_publish_empty_typed_tables(spark, tmp_dir):
+    from shopmarts.sources.contracts import CONTRACTS
+
+    raw = f"{tmp_dir}/raw"
+    for c in CONTRACTS:
+        os.makedirs(raw, exist_ok=True)
+        with open(f"{raw}/{c.file_name()}", "w") as f:
+            f.write(",".join(c.columns) + "\n")
+    res = pipeline.run_pipeline(spark, raw, f"{tmp_dir}/wh")
+    wh = pipeline.warehouse(spark, f"{tmp_dir}/wh")
+    assert all(r.loaded == 0 and r.ok for r in res.reconciliation)
+    assert wh["orders"].schema == BY_TABLE["orders"].schema
