@@ -1,18 +1,17 @@
 """Global ranking without a single-partition window.
 
 ``ntile(k) OVER (ORDER BY key)`` and ``dense_rank() OVER (ORDER BY key)`` over a whole table plan an
-``Exchange SinglePartition`` in Spark: one task sorts every row. Here the order is split into ranges:
-
-1. a bounded sample of the ordering tuple (key..., id) is sorted by Spark and p-1 tuple bounds are
-   taken from it. Bounds on the whole tuple split heavy ties (97% of customers share one frequency);
-2. each row gets its range number from a binary-search CASE over the literal bounds, so re-evaluating
-   the plan gives the same ranges;
-3. ``row_number`` within each range (one shuffle by range number) plus the range's starting offset
-   (p counts, a bounded list) is the row's global 0-based position;
-4. NTILE follows from (position, n, k) alone.
-
-The input should be deterministic (a checkpointed or freshly scanned table), since it is read
-several times: count, sample, range counts, final pass.
+``Exchange SinglePartition`` in Spark: one task sorts every row. Here the order is split into ranges
+by Spark's own range partitioner:
+
+1. ``repartitionByRange(p, key..., id)`` samples the ordering tuple and sends each contiguous range
+   to its own partition. Bounds on the whole tuple split heavy ties (97% of customers share one
+   frequency), and each range gets its own partition, so no hash collision doubles a task's load;
+2. ``sortWithinPartitions`` + ``monotonically_increasing_id`` number the rows: the id's upper bits
+   are the partition (= range) and its lower 33 bits the row's place inside it (documented layout);
+3. the result is checkpointed to the shared folder, so the sampled split is fixed once: the range
+   counts (at most p rows) and the positions come from the same materialised split;
+4. position = rows in earlier ranges + place inside the range; NTILE follows from (position, n, k).
 """
 
 from __future__ import annotations
@@ -22,71 +21,34 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-SAMPLE_PER_RANGE = 64
-MAX_RANGES = 1024  # keeps the bound CASE tree (2 * ranges nodes) compact; ~1M rows per range at 1B rows
-
-
-def _range_expr(df: DataFrame, cols: list[str], bounds: list[tuple]) -> Column:
-    """Range number = count of bounds <= (cols...), as a balanced CASE tree (log2(p) compares)."""
-    key = F.struct(*[F.col(c) for c in cols])
-    types = [df.schema[c].dataType for c in cols]
-
-    def lit_struct(b):
-        return F.struct(*[F.lit(v).cast(t).alias(c) for v, t, c in zip(b, types, cols)])
-
-    def tree(lo: int, hi: int) -> Column:
-        # answer lies in [lo, hi]; bounds[i] separates range i from range i+1
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi) // 2
-        return F.when(key >= lit_struct(bounds[mid]), tree(mid + 1, hi)).otherwise(tree(lo, mid))
-
-    return tree(0, len(bounds))
-
-
-def _choose_bounds(df: DataFrame, cols: list[str], n: int, ranges: int, seed: int) -> list[tuple]:
-    if ranges <= 1 or n == 0:
-        return []
-    target = ranges * SAMPLE_PER_RANGE
-    fraction = min(1.0, target / n)
-    # Bounded: about `target` rows reach the driver, sorted by Spark's own ordering.
-    sample = [tuple(r) for r in df.select(*cols).sample(False, fraction, seed).orderBy(*cols).collect()]
-    if not sample:
-        return []
-    bounds = []
-    for i in range(1, ranges):
-        b = sample[min(len(sample) - 1, (i * len(sample)) // ranges)]
-        if not bounds or b != bounds[-1]:
-            bounds.append(b)
-    return bounds
+MAX_RANGES = 4096
+_LOW33 = (1 << 33) - 1
 
 
 def global_position(df: DataFrame, order_cols: list[str], out: str = "_pos", *, ranges: int | None = None,
-                    seed: int = 17) -> tuple[DataFrame, int]:
-    """Add ``out`` = 0-based position of each row in ascending (order_cols...) order.
+                    ) -> tuple[DataFrame, int]:
+    """Add ``out`` = 0-based position of each row in ascending (order_cols..., NULLS FIRST) order.
 
     ``order_cols`` must make the order total (end with a unique id). Returns (frame, row count).
     """
+    from shopmarts.session import cut_lineage
+
     spark = df.sparkSession
-    n = df.count()
-    if ranges is None:
-        ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        ranges = max(1, min(ranges, MAX_RANGES, math.ceil(n / SAMPLE_PER_RANGE)))
-    bounds = _choose_bounds(df, order_cols, n, ranges, seed)
-    rng = _range_expr(df, order_cols, bounds)
-    with_rng = df.withColumn("_rng", rng)
-
-    counts = with_rng.groupBy("_rng").count().orderBy("_rng").collect()  # at most p rows
-    starts, acc = {}, 0
-    for r in counts:
-        starts[r["_rng"]] = acc
+    p = ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    p = max(1, min(p, MAX_RANGES))
+    keys = [F.col(c).asc_nulls_first() for c in order_cols]
+    numbered = (df.repartitionByRange(p, *keys).sortWithinPartitions(*keys)
+                .withColumn("_mid", F.monotonically_increasing_id()))
+    numbered = cut_lineage(numbered)
+    part = F.shiftright(F.col("_mid"), 33)
+    counts = numbered.groupBy(part.alias("_p")).count().collect()  # at most p rows
+    starts, acc = [], 0
+    for r in sorted(counts, key=lambda r: r["_p"]):
+        starts += [F.lit(r["_p"]), F.lit(acc)]
         acc += r["count"]
-    start_of = F.element_at(F.create_map(*[x for kv in starts.items() for x in (F.lit(kv[0]), F.lit(kv[1]))]),
-                            F.col("_rng")) if starts else F.lit(0)
-    w = Window.partitionBy("_rng").orderBy(*[F.col(c).asc_nulls_first() for c in order_cols])
-    result = (with_rng.withColumn(out, (start_of + F.row_number().over(w) - 1).cast("long"))
-              .drop("_rng"))
-    return result, n
+    start_of = F.element_at(F.create_map(*starts), part) if starts else F.lit(0)
+    pos = (start_of + F.col("_mid").bitwiseAND(F.lit(_LOW33))).cast("long")
+    return numbered.withColumn(out, pos).drop("_mid"), acc
 
 
 def ntile_of(pos: Column, n: int, k: int) -> Column:
@@ -104,66 +66,16 @@ def global_ntile(df: DataFrame, k: int, order_cols: list[str], out: str, *, rang
     return ranked.withColumn(out, ntile_of(F.col("_pos"), n, k)).drop("_pos")
 
 
-def _spark_sort_key(row):
-    """Python key equal to Spark's ascending NULLS FIRST order for plain scalar values."""
-    out = []
-    for v in row:
-        if v is None:
-            out.append((0, 0, 0))
-        elif isinstance(v, float) and math.isnan(v):
-            out.append((1, 1, 0))  # Spark: NaN sorts after every number
-        else:
-            out.append((1, 0, v))
-    return tuple(out)
-
-
 def global_ntiles(df: DataFrame, k: int, orders: dict[str, list[str]], id_col: str, *,
-                  ranges: int | None = None, seed: int = 17) -> DataFrame:
-    """Several ``ntile(k) OVER (ORDER BY ...)`` columns at once, sharing the preparatory passes.
+                  ranges: int | None = None) -> DataFrame:
+    """Several ``ntile(k) OVER (ORDER BY ...)`` columns, each range-parallel, joined back by id.
 
-    ``orders`` maps output column -> ordering columns (each ending with ``id_col`` so the order is
-    total). One count, one bounded sample and one range-count pass serve every ordering; each
-    ordering then costs one shuffle by its range number, and the scores are joined back by id.
+    ``orders`` maps output column -> ordering columns (each ending with ``id_col``).
     """
-    spark = df.sparkSession
-    n = df.count()
-    if ranges is None:
-        ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        ranges = max(1, min(ranges, MAX_RANGES, math.ceil(n / SAMPLE_PER_RANGE)))
-    needed = list(dict.fromkeys(c for cols in orders.values() for c in cols))
-    sample = []
-    if ranges > 1 and n:
-        fraction = min(1.0, ranges * SAMPLE_PER_RANGE / n)
-        sample = [tuple(r) for r in df.select(*needed).sample(False, fraction, seed).collect()]  # bounded
-    bounds, exprs = {}, {}
-    for out, cols in orders.items():
-        idx = [needed.index(c) for c in cols]
-        ordered = sorted((tuple(r[i] for i in idx) for r in sample), key=_spark_sort_key)
-        b = []
-        for j in range(1, ranges):
-            if not ordered:
-                break
-            cand = ordered[min(len(ordered) - 1, (j * len(ordered)) // ranges)]
-            if not b or cand != b[-1]:
-                b.append(cand)
-        bounds[out] = b
-        exprs[out] = _range_expr(df, cols, b)
-    # one pass counts the rows of every range of every ordering
-    tagged = df.select(F.explode(F.array(*[F.struct(F.lit(o).alias("o"), e.alias("r")) for o, e in exprs.items()]))
-                       .alias("t"))
-    counts = tagged.groupBy("t.o", "t.r").count().collect()  # at most len(orders) * p rows
     result = df
     for out, cols in orders.items():
-        per = sorted((r["r"], r["count"]) for r in counts if r["o"] == out)
-        starts, acc = [], 0
-        for rng, cnt in per:
-            starts += [F.lit(rng), F.lit(acc)]
-            acc += cnt
-        start_of = F.element_at(F.create_map(*starts), F.col("_rng")) if starts else F.lit(0)
-        w = Window.partitionBy("_rng").orderBy(*[F.col(c).asc_nulls_first() for c in cols])
-        scored = (df.select(*cols).withColumn("_rng", exprs[out])
-                  .select(F.col(id_col), ntile_of(start_of + F.row_number().over(w) - 1, n, k).alias(out)))
-        result = result.join(scored, id_col)
+        ranked, n = global_position(df.select(*dict.fromkeys([*cols, id_col])), cols, "_pos", ranges=ranges)
+        result = result.join(ranked.select(id_col, ntile_of(F.col("_pos"), n, k).alias(out)), id_col)
     return result
 
 
