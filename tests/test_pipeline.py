@@ -70,3 +70,18 @@ def test_header_only_files_publish_empty_typed_tables(spark, tmp_dir):
     wh = pipeline.warehouse(spark, f"{tmp_dir}/wh")
     assert all(r.loaded == 0 and r.ok for r in res.reconciliation)
     assert wh["orders"].schema == BY_TABLE["orders"].schema
+
+
+def test_orphan_item_fails_with_named_reference(spark, tmp_dir):
+    from shopmarts.operators import quality
+
+    t = {
+        "orders": spark.createDataFrame([("o1", "c1")], "order_id string, customer_id string"),
+        "order_items": spark.createDataFrame([("o1", 1), ("o9", 1), (None, 2)], "order_id string, order_item_id int"),
+    }
+    rows = quality.quality_report(t).collect()
+    fk = [r for r in rows if r.check == "foreign_key->orders" and r.table == "order_items"]
+    assert fk and fk[0].violations == 1  # NULL references are not orphans; o9 is
+    with pytest.raises(QualityError) as e:
+        quality.enforce(rows)
+    assert "order_items.order_id foreign_key->orders: 1" in str(e.value)

@@ -74,3 +74,11 @@ def test_reject_counts(spark):
                                "shipping_limit_date string, price string, freight_value string")
     rep = {r.column: r.rejects for r in csv_source.rejects_report(df, BY_TABLE["order_items"]).collect()}
     assert rep == {"order_item_id": 1, "price": 1, "freight_value": 1}
+
+
+def test_utf8_bom_header(spark, tmp_dir):
+    c = BY_TABLE["product_category_translation"]
+    with open(f"{tmp_dir}/{c.file_name()}", "w", encoding="utf-8-sig") as f:
+        f.write("product_category_name,product_category_name_english\nbeleza_saude,health_beauty\n")
+    r = csv_source.read_contract(spark, tmp_dir, c).first()
+    assert r.product_category_name == "beleza_saude"
