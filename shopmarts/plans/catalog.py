@@ -7,12 +7,19 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-
-from shopmarts.functions.exprs import days_between
-from shopmarts.operators import ranking
-from shopmarts.plans import mapping, marts
+from pyspark.sql import types as T
+
+from shopmarts.functions.exprs import (
+    avg_exact, clean_code, clean_text, days_between, dec_div, dec_ratio, month_floor, month_label, month_offset,
+    na_to_null, publish, rounded, share_true, to_datetime,
+)
+from shopmarts.operators import clean, quality, ranking
+from shopmarts.plans import mapping, marts, pipeline
+from shopmarts.session import cut_lineage, scratch_path
+from shopmarts.sources import csv_source, parquet_sink
+from shopmarts.sources.contracts import BY_TABLE
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -31,8 +38,6 @@ def _mart(fn, **params) -> Query:
 
 def q_win_ntile(spark, sf_dir):
     co = marts.customer_orders(_t(spark, sf_dir))
-    from shopmarts.session import cut_lineage
-
     co = cut_lineage(co.select("customer_unique_id", "frequency"))
     out = ranking.global_ntile(co, 5, ["frequency", "customer_unique_id"], "f_score")
     return out.select("customer_unique_id", F.col("frequency").cast("long"), "f_score")
@@ -41,8 +46,6 @@ def q_win_ntile(spark, sf_dir):
 def q_join_fanout_average(spark, sf_dir):
     """Item-weighted review average per seller over all statuses (the M6 CTE on its own)."""
     st = marts.seller_stats(_t(spark, sf_dir)).where(F.col("w_count") > 0)
-    from shopmarts.functions.exprs import dec_div, rounded
-
     return st.select("seller_id", rounded(dec_div("w_score", "w_count", 4), 2).alias("avg_review_score"))
 
 
@@ -52,13 +55,9 @@ def q_case_bucket(spark, sf_dir):
     return o.select("order_id", d.alias("delay_days"), marts.delay_bucket(d).alias("delivery_bucket"))
 
 
-
 # --------------------------------------------------------------------------- raw files in memory
 def _raw_typed(spark, sf_dir, table: str, na: bool = True) -> DataFrame:
     """Raw text frame -> NA tokens as NULL -> typed by name, the same steps the CSV path takes."""
-    from shopmarts.functions.exprs import na_to_null
-    from shopmarts.sources import csv_source
-    from shopmarts.sources.contracts import BY_TABLE
 
     raw = mapping.raw_frames(spark, sf_dir)[table]
     if na:
@@ -67,16 +66,12 @@ def _raw_typed(spark, sf_dir, table: str, na: bool = True) -> DataFrame:
 
 
 def _money_as_double(df: DataFrame) -> DataFrame:
-    from pyspark.sql import types as T
 
     return df.select(*[F.col(f.name).cast("double").alias(f.name) if isinstance(f.dataType, T.DecimalType)
                        else F.col(f.name) for f in df.schema.fields])
 
 
 def _transform(table: str):
-    from shopmarts.operators import clean
-    from shopmarts.sources.contracts import BY_TABLE
-
     def run(spark, sf_dir):
         out = clean.TRANSFORMS[table](_raw_typed(spark, sf_dir, table))
         return _money_as_double(out.select(*BY_TABLE[table].schema.fieldNames()))
@@ -86,55 +81,39 @@ def _transform(table: str):
 
 
 def q_clean_text(spark, sf_dir):
-    from shopmarts.functions.exprs import clean_text
-
     raw = mapping.raw_frames(spark, sf_dir)["customers"]
     return raw.select("customer_id", clean_text("customer_city").alias("customer_city"))
 
 
 def q_clean_state(spark, sf_dir):
-    from shopmarts.functions.exprs import clean_code
-
     raw = _raw_typed(spark, sf_dir, "customers")
     return raw.select("customer_id", clean_code("customer_state").alias("customer_state"))
 
 
 def q_clean_to_datetime(spark, sf_dir):
-    from shopmarts.functions.exprs import to_datetime
-
     raw = mapping.raw_frames(spark, sf_dir)["orders"]
     return raw.select("order_id", to_datetime("order_approved_at").alias("order_approved_at"))
 
 
 def q_clean_rename(spark, sf_dir):
-    from shopmarts.operators import clean
-
     out = clean.transform_products(_raw_typed(spark, sf_dir, "products"))
     return out.select("product_id", "product_name_length", "product_description_length")
 
 
 def q_dedup_full_row(spark, sf_dir):
-    from shopmarts.operators import clean
-
     return clean.drop_identical(mapping.m_raw_reviews(spark, sf_dir))
 
 
 def q_dedup_keep_latest(spark, sf_dir):
-    from shopmarts.operators import clean
-
     return clean.keep_latest(mapping.m_raw_reviews(spark, sf_dir), ["review_id", "order_id"], "review_answer_timestamp")
 
 
 def q_dedup_keep_first(spark, sf_dir):
-    from shopmarts.operators import clean
-
     tr = mapping.raw_frames(spark, sf_dir)["product_category_translation"]
     return clean.keep_first(tr, ["product_category_name"], order_col="_file_order")
 
 
 def q_geo_collapse(spark, sf_dir):
-    from shopmarts.operators import clean
-
     g = clean.collapse_by_key(mapping.m_raw_geo(spark, sf_dir), "zip", means=("lat",), firsts=("city",), order_col="ord")
     return g.select("zip", F.col("lat").cast("double").alias("lat"), "city")
 
@@ -142,8 +121,6 @@ def q_geo_collapse(spark, sf_dir):
 # --------------------------------------------------------------------------- CSV round trips
 def _exported(spark, sf_dir, table: str, columns=None) -> tuple[str, object]:
     """Write one raw file as CSV below the shared scratch folder; returns (raw_dir, contract)."""
-    from shopmarts.session import scratch_path
-    from shopmarts.sources.contracts import BY_TABLE
 
     c = BY_TABLE[table]
     raw_dir = scratch_path(spark, f"raw-{table}")
@@ -154,16 +131,12 @@ def _exported(spark, sf_dir, table: str, columns=None) -> tuple[str, object]:
 
 
 def q_src_csv_scan(spark, sf_dir):
-    from shopmarts.sources import csv_source
-
     raw_dir, c = _exported(spark, sf_dir, "order_reviews")
     df = csv_source.read_contract(spark, raw_dir, c, na_tokens=False, ordinal=False)
     return df.select("review_id", "order_id", "review_comment_title", "review_comment_message")
 
 
 def q_src_na_tokens(spark, sf_dir):
-    from shopmarts.sources import csv_source
-
     raw_dir, c = _exported(spark, sf_dir, "order_reviews")
     df = csv_source.read_contract(spark, raw_dir, c, na_tokens=True, ordinal=False)
     return df.select("review_id", "order_id", "review_comment_title", "review_comment_message")
@@ -171,10 +144,6 @@ def q_src_na_tokens(spark, sf_dir):
 
 def q_src_header_check(spark, sf_dir):
     """Payments file written with its columns in reverse order: values must land under their names."""
-    from shopmarts.operators import clean
-    from shopmarts.sources import csv_source
-    from shopmarts.sources.contracts import BY_TABLE
-
     c = BY_TABLE["order_payments"]
     raw_dir, _ = _exported(spark, sf_dir, "order_payments", columns=list(reversed(c.columns)))
     df = csv_source.conform(csv_source.read_contract(spark, raw_dir, c, ordinal=False), c)
@@ -182,17 +151,12 @@ def q_src_header_check(spark, sf_dir):
 
 
 def q_src_presence(spark, sf_dir):
-    from shopmarts.session import scratch_path
-    from shopmarts.sources import csv_source
-
     raw_dir = scratch_path(spark, "raw-all")
     mapping.export_raw_files(spark, sf_dir, raw_dir)
     return csv_source.presence_report(spark, raw_dir)
 
 
 def q_conform_types(spark, sf_dir):
-    from shopmarts.sources import csv_source
-
     raw_dir, c = _exported(spark, sf_dir, "order_items")
     df = csv_source.conform(csv_source.read_contract(spark, raw_dir, c, ordinal=False), c)
     return _money_as_double(df)
@@ -204,8 +168,6 @@ _RUNS: dict[tuple, dict] = {}
 
 def _pipeline_run(spark, sf_dir) -> dict:
     """One exported raw set + one pipeline run per (session, sf_dir); later keys reuse it."""
-    from shopmarts.plans import pipeline
-    from shopmarts.session import scratch_path
 
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _RUNS:
@@ -223,17 +185,12 @@ def q_reconcile_counts(spark, sf_dir):
 
 
 def q_pipeline_end_to_end(spark, sf_dir):
-    from shopmarts.plans import pipeline
-
     run = _pipeline_run(spark, sf_dir)
     return marts.mart_monthly_revenue(pipeline.warehouse(spark, f"{run['base']}/warehouse"))
 
 
 def q_sink_overwrite_idempotent(spark, sf_dir):
     """Second full run into the same warehouse: every published table must be identical to run one."""
-    from shopmarts.plans import pipeline
-    from shopmarts.sources import parquet_sink
-
     run = _pipeline_run(spark, sf_dir)
     out = f"{run['base']}/warehouse"
     first_id = run["result"].run_id
@@ -250,32 +207,23 @@ def q_sink_overwrite_idempotent(spark, sf_dir):
 
 # --------------------------------------------------------------------------- integrity checks
 def q_dq_unique(spark, sf_dir):
-    from shopmarts.operators import quality
-
     d = quality.duplicate_keys(mapping.m_items(spark, sf_dir), ["order_id", "order_item_id"])
     return d.select("order_id", "order_item_id", F.col("n").cast("long"))
 
 
 def q_dq_foreign_key(spark, sf_dir):
-    from shopmarts.operators import quality
-
     p = mapping.m_products(spark, sf_dir)
     return quality.orphans(p, ["product_category_name"], mapping.m_translation(spark, sf_dir),
                            ["product_category_name"]).select("product_id", "product_category_name")
 
 
 def q_dq_not_null(spark, sf_dir):
-    from shopmarts.operators import quality
-
     cols = ["order_id", "customer_id", "order_status", "order_purchase_timestamp",
             "order_delivered_customer_date", "order_estimated_delivery_date"]
     return quality.null_counts(mapping.m_orders(spark, sf_dir), cols)
 
 
 def q_dq_domain(spark, sf_dir):
-    from shopmarts.operators import quality
-    from shopmarts.sources.contracts import BY_TABLE
-
     a = quality.domain_counts(mapping.m_customers(spark, sf_dir), BY_TABLE["customers"])
     b = quality.domain_counts(mapping.m_items(spark, sf_dir), BY_TABLE["order_items"])
     return (a.select(F.lit("customers").alias("table"), "*")
@@ -285,9 +233,7 @@ def q_dq_domain(spark, sf_dir):
 # --------------------------------------------------------------------------- single primitives
 def q_win_lag(spark, sf_dir):
     """W1 on its own: orders per purchase month (all statuses) and the previous present month's count."""
-    from pyspark.sql import Window
 
-    from shopmarts.functions.exprs import month_floor, month_label
 
     o = _t(spark, sf_dir)["orders"]
     m = o.groupBy(month_floor("order_purchase_timestamp").alias("m")).agg(F.count(F.lit(1)).alias("orders"))
@@ -297,8 +243,6 @@ def q_win_lag(spark, sf_dir):
 
 def q_win_first_value(spark, sf_dir):
     """W2 on its own: every (cohort, offset) with the cohort's first (offset-0) size."""
-    from pyspark.sql import Window
-
     cc = marts.cohort_counts(_t(spark, sf_dir))
     first = F.first("active_customers").over(Window.partitionBy("cohort").orderBy("month_offset"))
     return cc.select(F.date_format("cohort", "yyyy-MM-dd").alias("cohort_month"),
@@ -312,8 +256,6 @@ def q_filter_equality(spark, sf_dir):
 
 def q_share_true(spark, sf_dir):
     """Late share per state among delivered, dated orders; NULL estimates are skipped."""
-    from shopmarts.functions.exprs import publish, share_true
-
     o = marts.delivered_orders(_t(spark, sf_dir)).where(F.col("order_delivered_customer_date").isNotNull())
     c = _t(spark, sf_dir)["customers"].select("customer_id", "customer_state")
     late = F.col("order_delivered_customer_date") > F.col("order_estimated_delivery_date")
@@ -336,8 +278,6 @@ def q_scalar_subquery_recency(spark, sf_dir):
 
 def q_datediff_average(spark, sf_dir):
     """Average whole days from purchase to delivery per purchase month (scale 4, then 1 digit)."""
-    from shopmarts.functions.exprs import avg_exact, month_floor, month_label, rounded
-
     o = marts.delivered_orders(_t(spark, sf_dir)).where(F.col("order_delivered_customer_date").isNotNull())
     g = o.groupBy(month_floor("order_purchase_timestamp").alias("m")).agg(
         avg_exact(days_between("order_delivered_customer_date", "order_purchase_timestamp")).alias("a"))
@@ -346,8 +286,6 @@ def q_datediff_average(spark, sf_dir):
 
 def q_mean_of_ratios(spark, sf_dir):
     """Mean of per-item freight/price (NULL for price 0) x 100 per seller state, all items."""
-    from shopmarts.functions.exprs import dec_ratio, rounded
-
     t = _t(spark, sf_dir)
     items = t["order_items"]
     fs = marts._scale(items, "freight_value")
@@ -359,8 +297,6 @@ def q_mean_of_ratios(spark, sf_dir):
 
 def q_topk(spark, sf_dir):
     """O3: ten products with the highest item revenue; ties broken by product id."""
-    from shopmarts.functions.exprs import publish
-
     items = _t(spark, sf_dir)["order_items"]
     g = items.groupBy("product_id").agg(F.sum("price").alias("revenue"))
     return g.orderBy(F.col("revenue").desc(), "product_id").limit(10).select(
@@ -368,22 +304,16 @@ def q_topk(spark, sf_dir):
 
 
 def q_month_label(spark, sf_dir):
-    from shopmarts.functions.exprs import month_floor, month_label
-
     o = _t(spark, sf_dir)["orders"]
     return o.select("order_id", month_label(month_floor("order_purchase_timestamp")).alias("order_month"))
 
 
 def q_month_floor(spark, sf_dir):
-    from shopmarts.functions.exprs import month_floor
-
     o = _t(spark, sf_dir)["orders"]
     return o.select("order_id", F.date_format(month_floor("order_purchase_timestamp"), "yyyy-MM-dd").alias("month_start"))
 
 
 def q_month_offset(spark, sf_dir):
-    from shopmarts.functions.exprs import month_floor, month_offset
-
     o = _t(spark, sf_dir)["orders"].where(F.col("order_estimated_delivery_date").isNotNull())
     off = month_offset(month_floor("order_purchase_timestamp"), month_floor("order_estimated_delivery_date"))
     return o.select("order_id", off.cast("long").alias("month_offset"))
@@ -391,9 +321,7 @@ def q_month_offset(spark, sf_dir):
 
 def q_safe_growth_pct(spark, sf_dir):
     """Month-over-month growth of delivered item revenue with a NULL-safe denominator."""
-    from pyspark.sql import Window
 
-    from shopmarts.functions.exprs import dec_div, month_label, publish
 
     m = marts.monthly_revenue_base(_t(spark, sf_dir))
     prev = F.lag("rev").over(Window.orderBy("m"))
