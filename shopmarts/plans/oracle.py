@@ -437,7 +437,6 @@ raw_translation AS (
 
 
 def na(x: str) -> str:
-
     toks = ", ".join("'" + t.replace("'", "''") + "'" for t in NA_TOKENS)
     return f"(CASE WHEN {x} IN ({toks}) THEN NULL ELSE {x} END)"
 
