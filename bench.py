@@ -11,13 +11,12 @@ from __future__ import annotations
 import json
 import os
 import sys
-import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from shopmarts.plans import mapping, marts, pipeline  # noqa: E402
-from shopmarts.session import build_session  # noqa: E402
+from shopmarts.session import build_session, scratch_path  # noqa: E402
 
 MARTS = {
     "m01_monthly_revenue": marts.mart_monthly_revenue,
@@ -45,8 +44,8 @@ def main() -> None:
     repeat = int(os.environ.get("BENCH_REPEAT", "3"))
     spark = build_session(f"local[{cpus}]", shuffle_partitions=max(8, cpus * 2),
                           extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g")})
-    scratch = tempfile.mkdtemp(prefix="shopmarts-bench-")
-    spark.sparkContext.setCheckpointDir(f"{scratch}/ckpt")
+    # spark.checkpoint.dir from the session when set; a folder of our own only on an unset local master
+    scratch = scratch_path(spark, "bench")
     raw_dir = f"{scratch}/raw"
     mapping.export_raw_files(spark, sf_dir, raw_dir)
 
