@@ -47,10 +47,17 @@ def clean_code(c) -> Column:
     return F.upper(strip_ws(c))
 
 
+# The token list as one SQL literal list (no token contains a quote): one JVM call per column
+# instead of one per token, which matters when a contract has dozens of columns.
+_NA_SQL = ", ".join(f"'{t}'" for t in NA_TOKENS)
+
+
 def na_to_null(c) -> Column:
     """Pandas default NA tokens become NULL (Spark's CSV reader only maps the empty string)."""
-    c = col_(c)
-    return F.when(c.isin(*NA_TOKENS), F.lit(None).cast("string")).otherwise(c)
+    if isinstance(c, str):
+        q = f"`{c}`"
+        return F.expr(f"CASE WHEN {q} IN ({_NA_SQL}) THEN NULL ELSE {q} END")
+    return F.when(F.array_contains(F.expr(f"array({_NA_SQL})"), c), F.lit(None).cast("string")).otherwise(c)
 
 
 _TS_SHAPE = r"^[0-9]{4}-[0-9]{2}-[0-9]{2} [0-9]{2}:[0-9]{2}:[0-9]{2}$"
@@ -64,6 +71,11 @@ def to_datetime(c, fmt: str | None = DEFAULT_TS_FORMAT) -> Column:
     daylight-saving gaps cannot move a wall-clock value. Other formats go through
     ``try_to_timestamp`` in the session zone; ``fmt=None`` is the lenient variant (date-only too).
     """
+    if fmt == DEFAULT_TS_FORMAT and isinstance(c, str):  # same expression, built in one JVM call
+        s = f"CAST(`{c}` AS STRING)"
+        parts = ", ".join(f"try_cast(substring({s}, {pos}, {n}) AS INT)"
+                          for pos, n in ((1, 4), (6, 2), (9, 2), (12, 2), (15, 2), (18, 2)))
+        return F.expr(f"CASE WHEN {s} RLIKE '{_TS_SHAPE}' THEN try_make_timestamp_ntz({parts}) END")
     s = col_(c).cast("string")
     if fmt == DEFAULT_TS_FORMAT:
         part = lambda pos, n: F.substring(s, pos, n).try_cast("int")

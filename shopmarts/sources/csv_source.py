@@ -66,7 +66,7 @@ def read_contract(spark: SparkSession, raw_dir: str, contract: FileContract, pre
     path = raw_path(raw_dir, contract, prefix)
     df = read_text(spark, path, contract.multiline)
     check_header(contract.file_name(prefix), df.columns, contract.columns)
-    cols = [na_to_null(F.col(c)).alias(c) if na_tokens else F.col(c) for c in contract.columns]
+    cols = [na_to_null(c).alias(c) if na_tokens else F.col(c) for c in contract.columns]
     if ordinal:
         order = F.struct(F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_block_start").alias("b"),
                          F.monotonically_increasing_id().alias("r"))
@@ -104,8 +104,8 @@ def reject_exprs(contract: FileContract) -> list:
     Attach them with ``raw.observe(Observation(), *reject_exprs(c))`` so they are counted in the
     same pass as the write, not in an extra scan.
     """
-    return [F.sum((F.col(raw).try_cast(dtype).isNull() & F.col(raw).isNotNull()).cast("long")).alias(raw)
-            for raw, dtype in _cast_targets(contract)]
+    return [F.expr(f"sum(CAST(try_cast(`{raw}` AS {dtype.simpleString()}) IS NULL AND `{raw}` IS NOT NULL"
+                   f" AS BIGINT)) AS `{raw}`") for raw, dtype in _cast_targets(contract)]
 
 
 def rejects_report(df: DataFrame, contract: FileContract) -> DataFrame:

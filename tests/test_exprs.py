@@ -70,3 +70,14 @@ def test_to_datetime_is_zone_free(spark):
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
     assert got == [dt.datetime(2017, 3, 12, 2, 30), None, None]
+
+
+def test_name_and_column_forms_agree(spark):
+    """The one-call SQL forms (column name) and the Column forms give the same values."""
+    vals = ["2017-10-02 10:56:33", "bad", "", "2017-02-30 00:00:00", "NA", "null", " x ", None]
+    df = spark.createDataFrame([(v,) for v in vals], "s string")
+    r = df.select(exprs.to_datetime("s").alias("a"), exprs.to_datetime(F.col("s")).alias("b"),
+                  exprs.na_to_null("s").alias("c"), exprs.na_to_null(F.col("s")).alias("d")).collect()
+    assert [x["a"] for x in r] == [x["b"] for x in r]
+    assert [x["c"] for x in r] == [x["d"] for x in r] == ["2017-10-02 10:56:33", "bad", None,
+                                                          "2017-02-30 00:00:00", None, None, " x ", None]
