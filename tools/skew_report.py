@@ -1,7 +1,7 @@
 """Measure task skew from Spark's event log: a third of all orders on one person / one seller.
 
 Usage: python tools/skew_report.py [sf_dir] [eventlog_dir]
-For each mart, prints the largest share of a stage's shuffle-read records handled by one task
+For each mart and the key/reference gate (one order with a third of all items), prints the largest share of a stage's shuffle-read records handled by one task
 (over stages that read at least 10,000 records). 1/partitions is perfect; ~0.33 would mean the
 hot key landed in one task.
 """
@@ -17,6 +17,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from pyspark.sql import functions as F  # noqa: E402
 
+from shopmarts.operators import quality  # noqa: E402
 from shopmarts.plans import mapping, marts  # noqa: E402
 from shopmarts.session import build_session  # noqa: E402
 
@@ -38,6 +39,12 @@ def main():
         spark.sparkContext.setJobGroup(name, name)
         getattr(marts, name)(t).write.format("noop").mode("overwrite").save()
         groups[name] = name
+    # key gate: on top of the hot seller, one order holds a third of all items
+    hot_order = t["orders"].agg(F.min("order_id")).first()[0]
+    t["order_items"] = t["order_items"].withColumn(
+        "order_id", F.when(F.col("order_id") % 3 == 1, F.lit(hot_order)).otherwise(F.col("order_id")))
+    spark.sparkContext.setJobGroup("quality_key_gate", "quality_key_gate")
+    quality.quality_report(dict(t), with_column_checks=False).collect()
     app = spark.sparkContext.applicationId
     spark.stop()
     path = [p for p in glob.glob(f"{log_dir}/*") if app in p][0]
