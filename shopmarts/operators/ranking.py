@@ -17,6 +17,7 @@ by Spark's own range partitioner:
 from __future__ import annotations
 
 import math
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -70,12 +71,20 @@ def global_ntiles(df: DataFrame, k: int, orders: dict[str, list[str]], id_col: s
                   ranges: int | None = None) -> DataFrame:
     """Several ``ntile(k) OVER (ORDER BY ...)`` columns, each range-parallel, joined back by id.
 
-    ``orders`` maps output column -> ordering columns (each ending with ``id_col``).
+    ``orders`` maps output column -> ordering columns (each ending with ``id_col``). The orderings
+    are independent (own range split, checkpoint and range counts), so their jobs are submitted
+    side by side.
     """
-    result = df
-    for out, cols in orders.items():
+    def tile(item):
+        out, cols = item
         ranked, n = global_position(df.select(*dict.fromkeys([*cols, id_col])), cols, "_pos", ranges=ranges)
-        result = result.join(ranked.select(id_col, ntile_of(F.col("_pos"), n, k).alias(out)), id_col)
+        return ranked.select(id_col, ntile_of(F.col("_pos"), n, k).alias(out))
+
+    with ThreadPoolExecutor(max_workers=max(1, len(orders))) as pool:
+        tiles = list(pool.map(tile, orders.items()))
+    result = df
+    for t in tiles:
+        result = result.join(t, id_col)
     return result
 
 
