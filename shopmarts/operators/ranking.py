@@ -45,9 +45,11 @@ def global_position(df: DataFrame, order_cols: list[str], out: str = "_pos", *,
     counts = numbered.groupBy(part.alias("_p")).count().collect()  # at most p rows
     starts, acc = [], 0
     for r in sorted(counts, key=lambda r: r["_p"]):
-        starts += [F.lit(r["_p"]), F.lit(acc)]
+        starts.append(f"{int(r['_p'])}L, {acc}L")
         acc += r["count"]
-    start_of = F.element_at(F.create_map(*starts), part) if starts else F.lit(0)
+    # one map literal (range -> rows before it), parsed once: up to MAX_RANGES entries would
+    # otherwise cost two driver-to-JVM calls each
+    start_of = F.element_at(F.expr(f"map({', '.join(starts)})"), part) if starts else F.lit(0)
     pos = (start_of + F.col("_mid").bitwiseAND(F.lit(_LOW33))).cast("long")
     return numbered.withColumn(out, pos).drop("_mid"), acc
 
