@@ -56,23 +56,19 @@ def m_orders(spark, sf_dir) -> DataFrame:
 
 
 def m_customers(spark, sf_dir) -> DataFrame:
-    o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    c = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    n = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    return (
-        o.join(c, o.o_custkey == c.c_custkey)
-        .join(n, c.c_nationkey == n.n_nationkey)
-        .select(F.col("o_orderkey").alias("customer_id"), F.col("o_custkey").alias("customer_unique_id"),
-                F.col("c_nationkey").alias("customer_zip_code_prefix"), F.col("n_name").alias("customer_state"))
-    )
+    o = read_table(spark, sf_dir, "orders").selectExpr("o_orderkey AS customer_id", "o_custkey AS customer_unique_id")
+    c = read_table(spark, sf_dir, "customer").selectExpr("c_custkey AS customer_unique_id",
+                                                         "c_nationkey AS customer_zip_code_prefix")
+    n = read_table(spark, sf_dir, "nation").selectExpr("n_nationkey AS customer_zip_code_prefix",
+                                                       "n_name AS customer_state")
+    return (o.join(c, "customer_unique_id").join(n, "customer_zip_code_prefix")
+            .select("customer_id", "customer_unique_id", "customer_zip_code_prefix", "customer_state"))
 
 
 def m_sellers(spark, sf_dir) -> DataFrame:
-    s = read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
-    n = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    return s.join(n, s.s_nationkey == n.n_nationkey).select(
-        F.col("s_suppkey").alias("seller_id"), F.col("s_nationkey").alias("seller_zip_code_prefix"),
-        F.col("n_name").alias("seller_state"))
+    s = read_table(spark, sf_dir, "supplier").selectExpr("s_suppkey AS seller_id", "s_nationkey AS seller_zip_code_prefix")
+    n = read_table(spark, sf_dir, "nation").selectExpr("n_nationkey AS seller_zip_code_prefix", "n_name AS seller_state")
+    return s.join(n, "seller_zip_code_prefix").select("seller_id", "seller_zip_code_prefix", "seller_state")
 
 
 def m_products(spark, sf_dir) -> DataFrame:
