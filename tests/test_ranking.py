@@ -71,3 +71,12 @@ def test_global_ntiles_shared_passes(spark, n):
             .withColumn("b", F.ntile(5).over(Window.orderBy("m", "id"))))
     cols = ["id", "a", "b"]
     assert sorted(map(tuple, got.select(*cols).collect())) == sorted(map(tuple, want.select(*cols).collect()))
+
+
+def test_cut_lineage_releases_its_cache(spark):
+    from shopmarts.session import cut_lineage
+
+    df = spark.range(1000).withColumn("x", F.col("id") * 2)
+    out = cut_lineage(df)
+    assert not df.is_cached  # the cache only bridges the two checkpoint jobs
+    assert out.agg(F.sum("x")).first()[0] == sum(2 * i for i in range(1000))
