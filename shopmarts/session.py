@@ -41,7 +41,8 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8, app: st
 
 
 def _is_local(spark: SparkSession) -> bool:
-    return spark.sparkContext.master.startswith("local")
+    """One JVM only; ``local-cluster`` has executors of its own."""
+    return spark.sparkContext.master.partition("[")[0] == "local"
 
 
 def shared_dir(spark: SparkSession) -> str:
