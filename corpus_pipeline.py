@@ -9,8 +9,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shopmarts.llm import mixing, pii, quality
-from shopmarts.session import scratch_path
+from shopmarts.llm import mixing, near_dedup, packing, pii, quality
+from shopmarts.llm.queries import public_tokenizer
+from shopmarts.llm.stored import stored
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -18,6 +19,11 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.good_documents(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates."""
+    return near_dedup.distinct_documents(docs)
+
+
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with personal data replaced by its kind."""
     return pii.redacted_documents(docs)
@@ -28,21 +34,25 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixing.mixed_documents(docs)
 
 
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the documents in training sequences."""
+    return packing.packed(docs, public_tokenizer())
+
+
 STAGES = [
     ("quality_rules", quality_rules),
+    ("near_duplicates", near_duplicates),
     ("personal_data", personal_data),
     ("source_mix", source_mix),
+    ("packing", pack),
 ]
 
-# Model decisions, sketches and tokenizer ids are beyond SQL; tests hold the stages against brute force.
+# Model decisions, sketches and tokenizer ids are beyond SQL; tests hold every stage against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
-        out = stage(spark, docs, sf_dir)
-        path = scratch_path(spark, f"pipeline-{name}")
-        out.write.parquet(path)
-        docs = spark.read.schema(out.schema).parquet(path)
+        docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name}")
     return docs

@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shopmarts.session import scratch_path
+from shopmarts.llm.stored import stored
 
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (1, 2, 3)
@@ -69,7 +69,7 @@ def source_plan(sized: DataFrame, weights=WEIGHTS, max_repeats: int = MAX_REPEAT
     to it where ``take_cut`` says that this comes nearer to the target.
     """
     sizes = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
-    plan = _stored(
+    plan = stored(
         source_targets(sizes, weights, max_repeats)
         .withColumn("passes", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long"))
         .withColumn("rest", F.col("target") - F.col("passes") * F.col("source_size")), "mixing-targets")
@@ -102,26 +102,20 @@ def times_column(h: Column) -> Column:
     return F.col("passes") + F.when(more, 1).otherwise(0)
 
 
-def _stored(df: DataFrame, name: str) -> DataFrame:
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def mixture(docs: DataFrame, weights=WEIGHTS, max_repeats: int = MAX_REPEATS) -> DataFrame:
     """doc_id, source, size, source_size, target, taken for every document (texts are read once)."""
-    sized = _stored(docs.select("doc_id", "source", size_column(F.col("text")).alias("size"),
+    sized = stored(docs.select("doc_id", "source", size_column(F.col("text")).alias("size"),
                                 hash_column(F.col("doc_id")).alias("h")), "mixing-sizes")
-    plan = _stored(source_plan(sized, weights, max_repeats), "mixing-plan").withColumnRenamed("source", "s")
+    plan = stored(source_plan(sized, weights, max_repeats), "mixing-plan").withColumnRenamed("source", "s")
     return sized.join(plan, F.col("source").eqNullSafe(F.col("s"))).select(
         "doc_id", "source", "size", "source_size", "target", (F.col("size") * times_column(F.col("h"))).alias("taken"))
 
 
 def mixed_documents(docs: DataFrame, weights=WEIGHTS, max_repeats: int = MAX_REPEATS) -> DataFrame:
     """The rows of the mix: every document as often as it is taken, with its own columns."""
-    sized = _stored(docs.select("source", size_column(F.col("text")).alias("size"), hash_column(F.col("doc_id")).alias("h")),
+    sized = stored(docs.select("source", size_column(F.col("text")).alias("size"), hash_column(F.col("doc_id")).alias("h")),
                     "mixing-sizes")
-    plan = _stored(source_plan(sized, weights, max_repeats), "mixing-plan").withColumnRenamed("source", "s")
+    plan = stored(source_plan(sized, weights, max_repeats), "mixing-plan").withColumnRenamed("source", "s")
     rows = docs.select(F.struct(*docs.columns).alias("row"), hash_column(F.col("doc_id")).alias("h"))
     times = F.array_repeat(F.lit(0), times_column(F.col("h")).cast("int"))
     joined = rows.join(plan, F.col("row.source").eqNullSafe(F.col("s")))

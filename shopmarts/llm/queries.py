@@ -6,27 +6,65 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shopmarts.llm import mixing, pii, quality
+from shopmarts.llm import embedding_dedup, langid, mixing, near_dedup, packing, pii, quality, suffix_dedup, toxicity, warc
+from shopmarts.session import scratch_path
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def public_tokenizer(name: str = "word_bpe_49k.json") -> str:
+    """Path of an installed public tokenizer file (the same on every machine)."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op1_suffix_dedup(spark, sf_dir):
+    return suffix_dedup.without_repeats(_table(spark, sf_dir, "documents"))
+
+
+def op2_near_duplicates(spark, sf_dir):
+    return near_dedup.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
+def op3_packing(spark, sf_dir):
+    return packing.packed(_table(spark, sf_dir, "documents"), public_tokenizer())
+
+
 def op4_quality_rules(spark, sf_dir):
     return quality.quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op5_toxicity(spark, sf_dir):
+    return toxicity.toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op6_source_mixing(spark, sf_dir):
     return mixing.mixture(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op7_near_embeddings(spark, sf_dir):
+    return embedding_dedup.near_vectors(_table(spark, sf_dir, "embeddings"))
+
+
+def op8_warc(spark, sf_dir):
+    return warc.archived_pages(_table(spark, sf_dir, "pages"), scratch_path(spark, "warc"))
+
+
 def op9_personal_data(spark, sf_dir):
     return pii.personal_data(_table(spark, sf_dir, "documents"))
 
 
+def op10_language(spark, sf_dir):
+    return langid.languages(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op4_quality_rules, op6_source_mixing, op9_personal_data)
+    f.__name__: f for f in (
+        op1_suffix_dedup, op2_near_duplicates, op3_packing, op4_quality_rules, op5_toxicity, op6_source_mixing, op7_near_embeddings, op8_warc,
+        op9_personal_data, op10_language)
 }
 
 OP6_SQL = r"""
