@@ -6,9 +6,10 @@ blank line pair that ends a WARC record, so archives can be written to any store
 
 Reading (``spark.read.format("warc")``): one partition per archive file. A reader parses a record's
 headers first, tests record type and headers, and seeks past the payload of a record that is not wanted.
-Predicates come from filters on ``record_type``, ``record_id`` and ``target_uri`` that Spark pushes down
-(``spark.sql.python.filterPushdown.enabled``) or from the options ``types`` and ``header.<Name>``;
-``payload=false`` skips every payload. Paths may be local or of any file system that pyarrow opens.
+Predicates come from the options ``types`` and ``header.<Name>`` or, with the option ``pushdown``, from
+filters on ``record_type``, ``record_id`` and ``target_uri`` (Spark hands them over only if
+``spark.sql.python.filterPushdown.enabled`` is set, and refuses a reader that asks for them if not; so
+``read_archives`` sets the option to match). ``payload=false`` skips every payload. Paths may be local or of any file system that pyarrow opens.
 
 Defined results: a null html is an empty payload; rows that share the smallest id of a payload are all
 responses; null ids sort after all others, and a payload of null ids only has responses only; line breaks
@@ -99,15 +100,6 @@ class WarcReader(DataSourceReader):
             if name.lower().startswith("header."):
                 self.wanted.setdefault(name.lower()[len("header."):], {value})
 
-    def pushFilters(self, filters):
-        for f in filters:
-            name = _HEADERS.get(f.attribute[0]) if isinstance(f, EqualTo | In) and len(f.attribute) == 1 else None
-            values = {f.value} if isinstance(f, EqualTo) else set(getattr(f, "value", ()))
-            if name:
-                self.wanted[name] = self.wanted.get(name, values) & values
-            else:
-                yield f
-
     def partitions(self):
         from pyarrow import fs
 
@@ -116,6 +108,8 @@ class WarcReader(DataSourceReader):
         return [ArchiveFile(f.path) for f in sorted(found, key=lambda f: f.path) if f.type == fs.FileType.File and f.size and f.base_name[0] not in "_."]
 
     def read(self, partition):
+        if partition is None:  # no archive file at all
+            return
         store, _ = _open(self.path)
         rows, held = [], 0
         with pa.BufferedInputStream(store.open_input_file(partition.path), 1 << 20) as stream:
@@ -182,6 +176,19 @@ class WarcReader(DataSourceReader):
             n -= got
 
 
+class FilteringWarcReader(WarcReader):
+    """Takes filters from Spark's planner; those on other columns go back to it."""
+
+    def pushFilters(self, filters):
+        for f in filters:
+            name = _HEADERS.get(f.attribute[0]) if isinstance(f, EqualTo | In) and len(f.attribute) == 1 else None
+            values = {f.value} if isinstance(f, EqualTo) else set(getattr(f, "value", ()))
+            if name:
+                self.wanted[name] = self.wanted.get(name, values) & values
+            else:
+                yield f
+
+
 class WarcDataSource(DataSource):
     """``spark.read.format("warc").load(path)``."""
 
@@ -193,11 +200,12 @@ class WarcDataSource(DataSource):
         return SCHEMA
 
     def reader(self, schema):
-        return WarcReader(self.options)
+        return (FilteringWarcReader if str(self.options.get("pushdown", "false")).lower() == "true" else WarcReader)(self.options)
 
 
 def read_archives(spark: SparkSession, path: str, **options: str) -> DataFrame:
     spark.dataSource.register(WarcDataSource)
+    options.setdefault("pushdown", spark.conf.get("spark.sql.python.filterPushdown.enabled", "false"))
     return spark.read.format("warc").options(**options).load(path)
 
 

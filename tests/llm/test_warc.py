@@ -11,20 +11,16 @@ from tests.llm import brute
 
 
 def reference(rows):
+    digest = lambda h: base64.b32encode(hashlib.sha1((h or "").encode()).digest()).decode()
     first = {}
     for i, h in rows:
-        d = base64.b32encode(hashlib.sha1((h or "").encode()).digest()).decode()
         if i is not None:
-            first[d] = min(i, first.get(d, i))
-        first.setdefault(d, None)
+            first[digest(h)] = min(i, first.get(digest(h), i))
     out = []
     for i, h in rows:
-        b = (h or "").encode()
-        d = base64.b32encode(hashlib.sha1(b).digest()).decode()
-        if first[d] is None:  # an id may come later
-            first[d] = next((k for k, g in rows if k is not None and (g or "") == (h or "")), None)
-        again = first[d] is not None and i != first[d]
-        out.append((i, len(b), d, "revisit" if again else "response", first[d] if again else None))
+        d = digest(h)
+        again = d in first and i != first[d]
+        out.append((i, len((h or "").encode()), d, "revisit" if again else "response", first[d] if again else None))
     return sorted(out, key=str)
 
 
