@@ -6,8 +6,9 @@ The marts rely on three settings: a pinned session time zone (month labels), ANS
 
 from __future__ import annotations
 
-import os
+import atexit
 import tempfile
+import uuid
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -31,6 +32,8 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8, app: st
         # Parquet is read at ~4x its file size; planning on the file size alone makes the static
         # planner broadcast fact scans it takes for small (AQE still broadcasts measured small sides)
         .config("spark.sql.sources.fileCompressionFactor", "4.0")
+        # a checkpoint's files go when its frame does
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.driver.memory", "8g")
     )
     for k, v in (extra or {}).items():
@@ -62,10 +65,46 @@ def shared_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or current
 
 
+_SCRATCH: list[tuple[SparkSession, str]] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh sub-folder name below the shared folder (nothing is created or cleared here)."""
-    base = shared_dir(spark).rstrip("/")
-    return f"{base}/{name}-{os.getpid()}-{next(_counter)}"
+    """A fresh sub-folder name below the shared folder, removed when the driver process ends
+    (``release_scratch``); nothing is created here."""
+    path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:16]}"
+    _SCRATCH.append((spark, path))
+    return path
+
+
+def _located(spark: SparkSession, path: str):
+    """(file system, path in it)."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    store, target = _located(spark, path)
+    return store.exists(target)
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Remove a folder of this library's own through the file system that holds it."""
+    store, target = _located(spark, path)
+    store.delete(target, True)
+
+
+def release_scratch() -> None:
+    """Remove every scratch folder handed out so far; frames that read one cannot be used afterwards."""
+    while _SCRATCH:
+        spark, path = _SCRATCH.pop()
+        try:
+            if spark.sparkContext._jsc is not None:
+                remove_path(spark, path)
+        except Exception:  # noqa: BLE001  the session has gone: its checkpoint folder is the cluster's to clear
+            return
+
+
+atexit.register(release_scratch)
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
@@ -73,20 +112,13 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
     The frame is persisted while it is checkpointed: an eager checkpoint runs one job to compute
     the rows and another to write them, and without the cache the second job computes them again.
-    The cache is released once the files are written; lost cached blocks are recomputed from lineage.
+    The cache is released once the files are written, unless the caller had cached the frame itself;
+    lost cached blocks are recomputed from lineage.
     """
     shared_dir(df.sparkSession)
-    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+    held = df.is_cached
+    cached = df if held else df.persist(StorageLevel.MEMORY_AND_DISK)
     out = cached.checkpoint(eager=True)
-    cached.unpersist()
+    if not held:
+        cached.unpersist()
     return out
-
-
-def _count():
-    i = 0
-    while True:
-        i += 1
-        yield i
-
-
-_counter = _count()

@@ -1,12 +1,20 @@
 """Raw CSV source (S1-S6): presence, header contract, text scan, NA tokens, typed conform.
 
-Files are read as text with the header, checked against the contract as a *set* of names and then
-cast by name, never by position. Only the free-text review file is read with ``multiLine`` (quoted
-newlines); every other file stays splittable.
+A raw file may be one file or a folder of part files. The header of every part file is checked against
+the contract as a *set* of names; files are read in groups of equal header and united by name, so no
+value is ever bound by position. Rows with more fields than the header and values that do not fit their
+type are counted in the scan, for the pipeline to gate on. Only the free-text review file is read with
+``multiLine`` (quoted newlines), which makes one task of each part file: larger ones are refused.
 """
 
 from __future__ import annotations
 
+import csv
+from collections import defaultdict
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
+
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,62 +24,131 @@ from shopmarts.functions.exprs import na_to_null
 from shopmarts.sources.contracts import CONTRACTS, FileContract
 
 ORDINAL = "_file_order"
+SURPLUS = "_surplus"          # true for a row with more fields than its header
+_RAW_ROW = "_raw_row"
+_MARK = "\u0002end"
+MULTILINE_FILE_BYTES = 4 << 30
+HEADER_THREADS = 16
 
 
 def raw_path(raw_dir: str, contract: FileContract, prefix: str = "") -> str:
     return f"{raw_dir.rstrip('/')}/{contract.file_name(prefix)}"
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def _files(spark: SparkSession, path: str) -> list[str]:
+    """Part files below a path (the listing Spark itself reads by); empty if there is nothing to read."""
     try:
-        spark.read.format("text").load(path)
-        return True
+        return sorted(spark.read.format("text").load(path).inputFiles())
     except AnalysisException:
-        return False
+        return []
 
 
 def check_presence(spark: SparkSession, raw_dir: str, contracts=CONTRACTS, prefix: str = "") -> None:
-    """One error naming every missing file (not just the first)."""
-    missing = [c.file_name(prefix) for c in contracts if not _exists(spark, raw_path(raw_dir, c, prefix))]
+    """One error naming every missing file (not just the first); an empty folder is missing."""
+    missing = [c.file_name(prefix) for c in contracts if not _files(spark, raw_path(raw_dir, c, prefix))]
     if missing:
-        raise FileNotFoundError(f"Missing raw files in {raw_dir}: {missing}")
+        raise FileNotFoundError(f"No raw data below {raw_dir} for: {', '.join(missing)}")
 
 
 def presence_report(spark: SparkSession, raw_dir: str, contracts=CONTRACTS, prefix: str = "") -> DataFrame:
-    """S1 as data: (file_name, present) for every expected file."""
-    rows = [(c.file_name(prefix), _exists(spark, raw_path(raw_dir, c, prefix))) for c in contracts]
-    return spark.createDataFrame(rows, "file_name string, present boolean")
+    """S1 as data: (file_name, present, header_ok, rows) for every expected file."""
+    parts = []
+    for c in contracts:
+        present = bool(_files(spark, raw_path(raw_dir, c, prefix)))
+        rows, good = None, False
+        if present:
+            try:
+                rows, good = read_contract(spark, raw_dir, c, prefix, ordinal=False), True
+            except ValueError:
+                pass
+        head = [F.lit(c.file_name(prefix)).alias("file_name"), F.lit(present).alias("present"), F.lit(good).alias("header_ok")]
+        counted = rows.agg(F.count(F.lit(1)).alias("rows")) if good else spark.range(1).select(F.lit(None).cast("long").alias("rows"))
+        parts.append(counted.select(*head, "rows"))
+    return reduce(DataFrame.unionAll, parts)
 
 
 def check_header(name: str, actual: list[str], expected) -> None:
-    """Set equality; order is free. Duplicate names never match (Spark renames them a0, a1)."""
-    exp, act = set(expected), set(actual)
-    if exp != act or len(actual) != len(set(actual)):
-        raise ValueError(f"Schema mismatch in {name}. Missing: {sorted(exp - act)} | Unexpected: {sorted(act - exp)}")
-
-
-def read_text(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
-    """S3: header + all-text scan; doubled quotes are escapes (RFC 4180)."""
-    return (spark.read.option("header", True).option("inferSchema", False).option("escape", '"')
-            .option("multiLine", multiline).option("mode", "PERMISSIVE").csv(path))
+    """Set equality; order is free. A name that comes twice never matches."""
+    absent, strange = sorted(set(expected) - set(actual)), sorted(set(actual) - set(expected))
+    twice = sorted({c for c in actual if actual.count(c) > 1})
+    if absent or strange or twice:
+        raise ValueError(f"Header of {name} breaks its contract. Missing: {absent}; unexpected: {strange}; repeated: {twice}")
+
+
+def file_headers(spark: SparkSession, path: str, max_bytes: int | None = None) -> dict[tuple[str, ...], list[str]]:
+    """Header -> part files that have it. First lines are read through the file system, some at a time;
+    no data is scanned. ``max_bytes`` refuses larger part files."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    codecs = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf)
+
+    def first_line(uri: str) -> tuple[str, tuple[str, ...]]:
+        target = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(uri))
+        store = target.getFileSystem(conf)
+        if max_bytes is not None and (size := store.getFileStatus(target).getLen()) > max_bytes:
+            raise ValueError(f"{uri} has {size} bytes, but a file with quoted line breaks is read by one task: split it into files of {max_bytes}")
+        stream, codec = store.open(target), codecs.getCodec(target)
+        try:
+            plain = codec.createInputStream(stream) if codec else stream
+            line = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(plain, "UTF-8")).readLine()
+        finally:
+            stream.close()
+        return uri, tuple(next(csv.reader([line.removeprefix("\ufeff")]), ())) if line is not None else ()
+
+    groups = defaultdict(list)
+    with ThreadPoolExecutor(max_workers=HEADER_THREADS) as pool:
+        for uri, header in pool.map(inheritable_thread_target(spark)(first_line), _files(spark, path)):
+            groups[header].append(uri)
+    return dict(groups)
+
+
+def read_text(spark: SparkSession, path, multiline: bool = False, columns=None) -> DataFrame:
+    """S3: header + all-text scan; doubled quotes are escapes (RFC 4180).
+
+    With ``columns`` (the header's names in order) nothing is inferred, Spark holds every file's header
+    against them once more, and ``SURPLUS`` marks rows with more fields than that. A row with fewer fields
+    has NULL for the rest.
+    """
+    reader = (spark.read.option("header", True).option("inferSchema", False).option("escape", '"')
+              .option("multiLine", multiline).option("mode", "PERMISSIVE"))
+    if columns is None:
+        return reader.csv(path)
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in [*columns, _RAW_ROW]])
+    # a pruned parser would not look at the fields that a query leaves out
+    df = reader.option("enforceSchema", False).option("columnPruning", False).option("columnNameOfCorruptRecord", _RAW_ROW).schema(schema).csv(path)
+    # only a row whose number of fields is wrong keeps its text; behind it goes a mark, and where the mark
+    # is among the first n + 1 fields the row has n fields at most
+    names = [f"f{i}" for i in range(len(columns) + 1)]
+    again = F.from_csv(F.concat(_RAW_ROW, F.lit(f",{_MARK}")), ", ".join(f"{n} string" for n in names),
+                       {"escape": '"', "multiLine": str(multiline).lower()})
+    short = F.coalesce(F.array_contains(F.array(*[again[n] for n in names]), _MARK), F.lit(False))
+    surplus = F.when(F.col(_RAW_ROW).isNotNull(), ~short).otherwise(False)
+    return df.withColumn(SURPLUS, surplus).drop(_RAW_ROW)
 
 
 def read_contract(spark: SparkSession, raw_dir: str, contract: FileContract, prefix: str = "",
-                  na_tokens: bool = True, ordinal: bool = True) -> DataFrame:
-    """S3 + S2 + S5: text columns named by the header, checked, NA tokens as NULL.
+                  na_tokens: bool = True, ordinal: bool = True, surplus: bool = False) -> DataFrame:
+    """S3 + S2 + S5: text columns named by each file's header, checked, NA tokens as NULL.
 
     ``ordinal`` adds the file-order struct (file path, split start, row id within the split) that
     "first row" semantics need; ``monotonically_increasing_id`` alone is only ordered within a split.
+    ``surplus`` adds the mark of rows with too many fields.
     """
     path = raw_path(raw_dir, contract, prefix)
-    df = read_text(spark, path, contract.multiline)
-    check_header(contract.file_name(prefix), df.columns, contract.columns)
+    groups = file_headers(spark, path, MULTILINE_FILE_BYTES if contract.multiline else None)
+    if not groups:
+        raise FileNotFoundError(f"No raw data at {path}")
+    for header in groups:
+        check_header(contract.file_name(prefix), list(header), contract.columns)
     cols = [na_to_null(c).alias(c) if na_tokens else F.col(c) for c in contract.columns]
     if ordinal:
         order = F.struct(F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_block_start").alias("b"),
                          F.monotonically_increasing_id().alias("r"))
         cols.append(order.alias(ORDINAL))
-    return df.select(*cols)
+    if surplus:
+        cols.append(F.col(SURPLUS))
+    parts = [read_text(spark, path if len(groups) == 1 else files, contract.multiline, header).select(*cols)
+             for header, files in sorted(groups.items())]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def conform(df: DataFrame, contract: FileContract, keep_text=(T.TimestampNTZType,)) -> DataFrame:
@@ -109,8 +186,12 @@ def reject_exprs(contract: FileContract) -> list:
 
 
 def rejects_report(df: DataFrame, contract: FileContract) -> DataFrame:
-    """(column, target_type, rejects) for every cast column, computed in one aggregate pass."""
-    targets = list(_cast_targets(contract))
-    agg = df.agg(*reject_exprs(contract))
-    stack = ", ".join(f"'{raw}', '{dtype.simpleString()}', `{raw}`" for raw, dtype in targets)
-    return agg.selectExpr(f"stack({len(targets)}, {stack}) AS (column, target_type, rejects)")
+    """(column, target_type, rejects) for every cast column, computed in one aggregate pass; with the
+    ``SURPLUS`` mark in the frame, also a row '*' for records with too many fields."""
+    rows = [(raw, dtype.simpleString()) for raw, dtype in _cast_targets(contract)]
+    aggregates = reject_exprs(contract)
+    if SURPLUS in df.columns:
+        rows.append(("*", "fields"))
+        aggregates.append(F.sum(F.col(SURPLUS).cast("long")).alias("*"))
+    stack = ", ".join(f"'{column}', '{kind}', coalesce(`{column}`, 0L)" for column, kind in rows)
+    return df.agg(*aggregates).selectExpr(f"stack({len(rows)}, {stack}) AS (column, target_type, rejects)")

@@ -43,8 +43,9 @@ def test_bad_purchase_timestamp_fails_before_publish(spark, tmp_dir):
     with pytest.raises(QualityError) as e:
         pipeline.run_pipeline(spark, f"{tmp_dir}/raw2", out)
     assert "orders.order_purchase_timestamp not_null" in str(e.value)
-    with pytest.raises(Exception):
+    with pytest.raises(FileNotFoundError):
         parquet_sink.current_run(spark, out)  # nothing was published
+    assert os.listdir(f"{out}/runs") == []  # and the failed run's files are gone
 
 
 def test_row_counts_before_after(spark, tmp_dir):
@@ -85,3 +86,66 @@ def test_orphan_item_fails_with_named_reference(spark, tmp_dir):
     with pytest.raises(QualityError) as e:
         quality.enforce(rows)
     assert "order_items.order_id foreign_key->orders: 1" in str(e.value)
+
+
+def _raw_with(spark, tmp_dir, table, name, change):
+    """All raw files, one of them changed."""
+    raw, out = f"{tmp_dir}/raw", f"{tmp_dir}/{name}"
+    mapping.export_raw_files(spark, SF_SMALL, raw)
+    for c in BY_TABLE.values():
+        df = csv_read(spark, f"{raw}/{c.file_name()}", c)
+        if c.table == table:
+            change(df, f"{out}/{c.file_name()}")
+        else:
+            mapping.write_csv(df, f"{out}/{c.file_name()}")
+    return out
+
+
+def csv_read(spark, path, c):
+    return spark.read.option("header", True).option("multiLine", c.multiline).option("escape", '"').csv(path)
+
+
+def test_unreadable_value_fails_unless_allowed(spark, tmp_dir):
+    first = F.col("product_id") == "1"
+    raw = _raw_with(spark, tmp_dir, "products", "bad", lambda df, path: mapping.write_csv(
+        df.withColumn("product_weight_g", F.when(first, F.lit("heavy")).otherwise(F.col("product_weight_g"))), path))
+    with pytest.raises(QualityError, match="products.product_weight_g type: 1"):
+        pipeline.run_pipeline(spark, raw, f"{tmp_dir}/wh")
+    res = pipeline.run_pipeline(spark, raw, f"{tmp_dir}/wh", allow_rejects=True)
+    assert res.rejects["products"]["product_weight_g"] == 1
+
+
+def test_surplus_field_fails(spark, tmp_dir):
+    c = BY_TABLE["sellers"]
+    raw = _raw_with(spark, tmp_dir, "sellers", "wide", lambda df, path: mapping.write_lines(
+        df.select(F.concat_ws(",", "seller_id", "seller_zip_code_prefix", F.lit("x"), F.lit("SP"),
+                              F.when(F.col("seller_id") == "3", "more")).alias("value")), ",".join(c.columns), path))
+    with pytest.raises(QualityError, match=r"sellers.\* surplus_fields: 1"):
+        pipeline.run_pipeline(spark, raw, f"{tmp_dir}/wh")
+
+
+def test_a_crash_before_the_marker_leaves_the_old_run(spark, tmp_dir, monkeypatch):
+    raw, out = f"{tmp_dir}/raw", f"{tmp_dir}/wh"
+    mapping.export_raw_files(spark, SF_SMALL, raw)
+    first = pipeline.run_pipeline(spark, raw, out)
+    with monkeypatch.context() as m:
+        m.setattr(parquet_sink, "publish", lambda *a: (_ for _ in ()).throw(KeyboardInterrupt()))
+        with pytest.raises(KeyboardInterrupt):
+            pipeline.run_pipeline(spark, raw, out)
+    assert parquet_sink.current_run(spark, out) == first.run_id
+    assert pipeline.warehouse(spark, out)["orders"].count() == first.row_counts["orders"][1]
+    last = pipeline.run_pipeline(spark, raw, out, keep_runs=1)
+    assert parquet_sink.current_run(spark, out) == last.run_id and not os.path.exists(f"{out}/runs/{first.run_id}")
+
+
+def test_rerun_with_other_partitions_is_bit_equal(spark, tmp_dir):
+    raw, out = f"{tmp_dir}/raw", f"{tmp_dir}/wh"
+    mapping.export_raw_files(spark, SF_SMALL, raw)
+    one = pipeline.run_pipeline(spark, raw, out)
+    other = spark.newSession()
+    other.conf.set("spark.sql.shuffle.partitions", "13")
+    other.conf.set("spark.sql.files.maxPartitionBytes", "32k")
+    two = pipeline.run_pipeline(other, raw, out)
+    for t in BY_TABLE:
+        assert _digest(spark.read.parquet(f"{parquet_sink.run_dir(out, one.run_id)}/{t}")) == _digest(
+            spark.read.parquet(f"{parquet_sink.run_dir(out, two.run_id)}/{t}")), t

@@ -42,7 +42,7 @@ def test_header_mismatch_is_reported(spark, tmp_dir, header, missing, unexpected
     _write(f"{tmp_dir}/{c.file_name()}", header + "\n" + ",".join("x" * len(header.split(","))) + "\n")
     with pytest.raises(ValueError) as e:
         csv_source.read_contract(spark, tmp_dir, c)
-    assert "Missing" in str(e.value)
+    assert "breaks its contract" in str(e.value)
     for m in missing:
         assert m in str(e.value)
     for u in unexpected or []:
@@ -82,3 +82,46 @@ def test_utf8_bom_header(spark, tmp_dir):
         f.write("product_category_name,product_category_name_english\nbeleza_saude,health_beauty\n")
     r = csv_source.read_contract(spark, tmp_dir, c).first()
     assert r.product_category_name == "beleza_saude"
+
+
+def test_every_part_file_binds_by_its_own_header(spark, tmp_dir):
+    c = BY_TABLE["order_payments"]
+    folder = f"{tmp_dir}/{c.file_name()}"
+    _write(f"{folder}/part-0.csv", "order_id,payment_sequential,payment_type,payment_installments,payment_value\no1,1,voucher,3,5.00\n")
+    _write(f"{folder}/part-1.csv", "order_id,payment_installments,payment_type,payment_sequential,payment_value\no2,7,voucher,2,6.00\n")
+    rows = {r.order_id: r for r in csv_source.read_contract(spark, tmp_dir, c).collect()}
+    assert (rows["o1"].payment_sequential, rows["o1"].payment_installments) == ("1", "3")
+    assert (rows["o2"].payment_sequential, rows["o2"].payment_installments) == ("2", "7")
+
+
+def test_one_wrong_header_in_a_folder_is_reported(spark, tmp_dir):
+    c = BY_TABLE["product_category_translation"]
+    folder = f"{tmp_dir}/{c.file_name()}"
+    _write(f"{folder}/part-0.csv", "product_category_name,product_category_name_english\na,b\n")
+    _write(f"{folder}/part-1.csv", "product_category_name,english\nc,d\n")
+    with pytest.raises(ValueError, match="english"):
+        csv_source.read_contract(spark, tmp_dir, c)
+
+
+def test_surplus_fields_are_marked_and_short_rows_filled(spark, tmp_dir):
+    c = BY_TABLE["product_category_translation"]
+    _write(f"{tmp_dir}/{c.file_name()}", 'product_category_name,product_category_name_english\na,b\nc,d,\ne\n"f,g",h\ni,j,k,l\n')
+    rows = {r.product_category_name: r for r in csv_source.read_contract(spark, tmp_dir, c, surplus=True).collect()}
+    assert {k for k, r in rows.items() if r[csv_source.SURPLUS]} == {"c", "i"}
+    assert rows["e"].product_category_name_english is None and rows["f,g"].product_category_name_english == "h"
+
+
+def test_empty_folder_is_missing(spark, tmp_dir):
+    os.makedirs(f"{tmp_dir}/{BY_TABLE['orders'].file_name()}")
+    report = {r.file_name: r for r in csv_source.presence_report(spark, tmp_dir, [BY_TABLE["orders"]]).collect()}
+    assert not report["orders_dataset.csv"].present and report["orders_dataset.csv"].rows is None
+    with pytest.raises(FileNotFoundError):
+        csv_source.check_presence(spark, tmp_dir, [BY_TABLE["orders"]])
+
+
+def test_large_file_with_line_breaks_is_refused(spark, tmp_dir, monkeypatch):
+    c = BY_TABLE["order_reviews"]
+    _write(f"{tmp_dir}/{c.file_name()}", ",".join(c.columns) + "\n")
+    monkeypatch.setattr(csv_source, "MULTILINE_FILE_BYTES", 10)
+    with pytest.raises(ValueError, match="split it"):
+        csv_source.read_contract(spark, tmp_dir, c)
