@@ -19,6 +19,7 @@ from shopmarts.functions.exprs import DEFAULT_TS_FORMAT, clean_code, clean_text,
 from shopmarts.sources.contracts import BY_TABLE
 
 ORDINAL = "_file_order"
+MEAN_SCALE = 8
 
 
 # --------------------------------------------------------------------------- building blocks
@@ -64,12 +65,21 @@ def keep_latest(df: DataFrame, keys, ts: str, nulls: str = "newest", ignore=(ORD
         *[c for c in df.columns if c not in ignore])
 
 
-def keep_first(df: DataFrame, keys, order_col: str = ORDINAL) -> DataFrame:
-    """One row per key, the first in ``order_col`` order (file order by default)."""
+def keep_first(df: DataFrame, keys, order_col: str = ORDINAL, collation: str | None = None) -> DataFrame:
+    """One row per key, the first in ``order_col`` order (file order by default).
+
+    With a ``collation`` (e.g. 'UNICODE_CI_AI') text keys that it holds equal are one key; the first
+    row's own spelling is kept.
+    """
     keys = list(keys)
-    rest = [c for c in df.columns if c not in keys and c != order_col]
-    first = F.min_by(F.struct(*[F.col(c) for c in rest]), F.col(order_col)).alias("_first")
-    return df.groupBy(*keys).agg(first).select(*keys, *[F.col(f"_first.{c}").alias(c) for c in rest])
+    kept = [c for c in df.columns if c != order_col]
+    groups = [F.collate(c, collation).alias(f"_k{i}") if collation else F.col(c).alias(f"_k{i}") for i, c in enumerate(keys)]
+    first = F.min_by(F.struct(*[F.col(c) for c in kept]), F.col(order_col)).alias("_first")
+    return df.groupBy(*groups).agg(first).select(*keys_first(keys, kept))
+
+
+def keys_first(keys, kept) -> list:
+    return [F.col(f"_first.{c}").alias(c) for c in [*keys, *[c for c in kept if c not in keys]]]
 
 
 def first_non_null(col: str, order_col: str) -> F.Column:
@@ -79,8 +89,13 @@ def first_non_null(col: str, order_col: str) -> F.Column:
 
 
 def collapse_by_key(df: DataFrame, key: str, means=(), firsts=(), order_col: str = ORDINAL) -> DataFrame:
-    """One row per key: mean of ``means``, first non-NULL of ``firsts``; NULL keys dropped (T4)."""
-    aggs = [F.avg(c).alias(c) for c in means] + [first_non_null(c, order_col).alias(c) for c in firsts]
+    """One row per key: mean of ``means``, first non-NULL of ``firsts``; NULL keys dropped (T4).
+
+    Means are taken over DECIMAL values of ``MEAN_SCALE`` digits and cast to double once, so they do
+    not depend on how rows are partitioned (T5).
+    """
+    aggs = [F.avg(F.col(c).cast(f"decimal(28,{MEAN_SCALE})")).cast("double").alias(c) for c in means]
+    aggs += [first_non_null(c, order_col).alias(c) for c in firsts]
     return df.where(F.col(key).isNotNull()).groupBy(key).agg(*aggs)
 
 
@@ -104,7 +119,7 @@ ORDER_TS = ("order_purchase_timestamp", "order_approved_at", "order_delivered_ca
 
 
 def transform_orders(df: DataFrame, fmt: str | None = DEFAULT_TS_FORMAT) -> DataFrame:
-    """NULL delivery dates stay NULL: an undelivered order is information."""
+    """All five times parsed; an order without a delivery time keeps NULL there."""
     return normalise_text(parse_datetimes(df, ORDER_TS, fmt), ["order_status"])
 
 
@@ -127,8 +142,8 @@ def transform_products(df: DataFrame) -> DataFrame:
     return rename_columns(df, BY_TABLE["products"].renames)
 
 
-def transform_category_translation(df: DataFrame) -> DataFrame:
-    return keep_first(df, ["product_category_name"])
+def transform_category_translation(df: DataFrame, collation: str | None = None) -> DataFrame:
+    return keep_first(df, ["product_category_name"], collation=collation)
 
 
 TRANSFORMS = {
@@ -144,11 +159,11 @@ TRANSFORMS = {
 }
 
 
-def transform_all(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
+def transform_all(raw: dict[str, DataFrame], collation: str | None = None) -> dict[str, DataFrame]:
     """C20: table name -> cleaned DataFrame, projected to the published schema."""
     out = {}
     for table, fn in TRANSFORMS.items():
-        cleaned = fn(raw[table])
+        cleaned = fn(raw[table], collation=collation) if table == "product_category_translation" else fn(raw[table])
         names = BY_TABLE[table].schema.fieldNames()
         out[table] = cleaned.select(*names)
     return out

@@ -1,115 +1,103 @@
 """Global ranking without a single-partition window.
 
 ``ntile(k) OVER (ORDER BY key)`` and ``dense_rank() OVER (ORDER BY key)`` over a whole table plan an
-``Exchange SinglePartition`` in Spark: one task sorts every row. Here the order is split into ranges
-by Spark's own range partitioner:
-
-1. ``repartitionByRange(p, key..., id)`` samples the ordering tuple and sends each contiguous range
-   to its own partition. Bounds on the whole tuple split heavy ties (97% of customers share one
-   frequency), and each range gets its own partition, so no hash collision doubles a task's load;
-2. ``sortWithinPartitions`` + ``monotonically_increasing_id`` number the rows: the id's upper bits
-   are the partition (= range) and its lower 33 bits the row's place inside it (documented layout);
-3. the result is checkpointed to the shared folder, so the sampled split is fixed once: the range
-   counts (at most p rows) and the positions come from the same materialised split;
-4. position = rows in earlier ranges + place inside the range; NTILE follows from (position, n, k).
+``Exchange SinglePartition`` in Spark: one task sorts every row.
+
+NTILE needs only the last row of each of the first k-1 tiles. A sample of the ordering tuples (those
+with the smallest hash, so it is the same on every run) splits the order into ``RANGES`` ranges; rows
+are counted per range, and only the ranges that hold one of those rows are sorted. Every row then gets
+its tile by comparing its tuple with the k-1 found ones: no join, no full sort, no driver job.
+
+DENSE_RANK numbers the distinct values: Spark's range partitioner sends each range to its own
+partition, ``monotonically_increasing_id`` numbers the rows inside (upper bits: partition, lower 33
+bits: place), and the rows before each range come from a frame of one row per range.
 """
 
 from __future__ import annotations
 
-import math
-from concurrent.futures import ThreadPoolExecutor
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shopmarts.session import cut_lineage
 
-MAX_RANGES = 4096
+RANGES = 128
+SAMPLE_PER_RANGE = 8
 _LOW33 = (1 << 33) - 1
 
 
-def global_position(df: DataFrame, order_cols: list[str], out: str = "_pos", *, ranges: int | None = None,
-                    ) -> tuple[DataFrame, int]:
-    """Add ``out`` = 0-based position of each row in ascending (order_cols..., NULLS FIRST) order.
+def tile_cuts(df: DataFrame, k: int, order_cols: list[str], *, ranges: int | None = None) -> Column:
+    """Ordering tuples of the last rows of tiles 1..k-1, as one array (a scalar subquery).
 
-    ``order_cols`` must make the order total (end with a unique id). Returns (frame, row count).
+    ``order_cols`` (ascending, NULLs first) must make the order total. What is sorted by one task is a
+    range: about 1/``ranges`` of the rows, and at most k-1 ranges.
     """
-    spark = df.sparkSession
-    p = ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    p = max(1, min(p, MAX_RANGES))
-    keys = [F.col(c).asc_nulls_first() for c in order_cols]
-    numbered = (df.repartitionByRange(p, *keys).sortWithinPartitions(*keys)
-                .withColumn("_mid", F.monotonically_increasing_id()))
-    numbered = cut_lineage(numbered)
-    part = F.shiftright(F.col("_mid"), 33)
-    counts = numbered.groupBy(part.alias("_p")).count().collect()  # at most p rows
-    starts, acc = [], 0
-    for r in sorted(counts, key=lambda r: r["_p"]):
-        starts.append(f"{int(r['_p'])}L, {acc}L")
-        acc += r["count"]
-    # one map literal (range -> rows before it), parsed once: up to MAX_RANGES entries would
-    # otherwise cost two driver-to-JVM calls each
-    start_of = F.element_at(F.expr(f"map({', '.join(starts)})"), part) if starts else F.lit(0)
-    pos = (start_of + F.col("_mid").bitwiseAND(F.lit(_LOW33))).cast("long")
-    return numbered.withColumn(out, pos).drop("_mid"), acc
-
-
-def ntile_of(pos: Column, n: int, k: int) -> Column:
-    """NTILE(k) of the row at 0-based ``pos`` among ``n`` rows (SQL standard sizing)."""
-    q, m = divmod(n, k)
-    big = (q + 1) * m  # the first m tiles hold q+1 rows
-    head = (pos / F.lit(q + 1)).cast("long") + 1 if q + 1 > 0 else F.lit(1)
-    tail = F.lit(m) + ((pos - F.lit(big)) / F.lit(max(q, 1))).cast("long") + 1
-    return F.when(pos < F.lit(big), head).otherwise(tail).cast("int")
+    p = max(2, ranges or RANGES)
+    keys = df.select(F.struct(*order_cols).alias("key"))
+    sample = keys.orderBy(F.xxhash64("key"), "key").limit(p * SAMPLE_PER_RANGE)
+    nth = F.expr(f"filter(ordered, (x, i) -> i % {SAMPLE_PER_RANGE} = {SAMPLE_PER_RANGE - 1})")
+    bounds = sample.agg(F.array_sort(F.collect_list("key")).alias("ordered")).select(nth).scalar()
+    # a scalar subquery cannot stand inside a higher-order function, so it becomes a column first
+    ranged = keys.withColumn("bounds", bounds).select("key", F.size(F.filter("bounds", lambda b: b <= F.col("key"))).alias("range"))
+    in_order = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)  # one row per range
+    sizes = (ranged.groupBy("range").agg(F.count(F.lit(1)).alias("n"))
+             .withColumn("before", F.coalesce(F.sum("n").over(in_order), F.lit(0)))
+             .withColumn("total", F.sum("n").over(Window.partitionBy())))
+    whole, rest = F.expr(f"total div {k}"), F.expr(f"total % {k}")
+    last = (sizes.withColumn("tile", F.explode(F.sequence(F.lit(1), F.lit(k - 1))))
+            .withColumn("place", F.col("tile") * whole + F.least("tile", rest) - F.col("before"))
+            .where("place between 1 and n").select("range", "place")) if k > 1 else sizes.where("false").select("range", F.lit(1).alias("place"))
+    held = ranged.join(last.select("range").distinct(), "range", "left_semi")
+    numbered = held.withColumn("place", F.row_number().over(Window.partitionBy("range").orderBy("key")))
+    return numbered.join(last, ["range", "place"]).agg(F.collect_list("key")).scalar()
 
 
 def global_ntile(df: DataFrame, k: int, order_cols: list[str], out: str, *, ranges: int | None = None) -> DataFrame:
-    """``ntile(k) OVER (ORDER BY order_cols)`` computed range-parallel."""
-    ranked, n = global_position(df, order_cols, "_pos", ranges=ranges)
-    return ranked.withColumn(out, ntile_of(F.col("_pos"), n, k)).drop("_pos")
+    """``ntile(k) OVER (ORDER BY order_cols)`` by cut tuples."""
+    return global_ntiles(df, k, {out: order_cols}, ranges=ranges)
 
 
-def global_ntiles(df: DataFrame, k: int, orders: dict[str, list[str]], id_col: str, *,
-                  ranges: int | None = None) -> DataFrame:
-    """Several ``ntile(k) OVER (ORDER BY ...)`` columns, each range-parallel, joined back by id.
+def global_ntiles(df: DataFrame, k: int, orders: dict[str, list[str]], *, ranges: int | None = None) -> DataFrame:
+    """Several ``ntile(k) OVER (ORDER BY ...)`` columns of one frame; ``orders`` maps output to ordering
+    columns (each a total order). The frame is read a few times: checkpoint it first if it is costly."""
+    cuts = {f"_cuts{i}": tile_cuts(df, k, cols, ranges=ranges) for i, cols in enumerate(orders.values())}
 
-    ``orders`` maps output column -> ordering columns (each ending with ``id_col``). The orderings
-    are independent (own range split, checkpoint and range counts), so their jobs are submitted
-    side by side.
-    """
-    def tile(item):
-        out, cols = item
-        ranked, n = global_position(df.select(*dict.fromkeys([*cols, id_col])), cols, "_pos", ranges=ranges)
-        return ranked.select(id_col, ntile_of(F.col("_pos"), n, k).alias(out))
+    def tile(name: str, cols: list[str]) -> Column:
+        key = F.struct(*cols)
+        return (F.size(F.filter(name, lambda cut: cut < key)) + 1).cast("int")
 
-    with ThreadPoolExecutor(max_workers=max(1, len(orders))) as pool:
-        tiles = list(pool.map(tile, orders.items()))
-    result = df
-    for t in tiles:
-        result = result.join(t, id_col)
-    return result
+    tiles = [tile(name, cols).alias(out) for name, (out, cols) in zip(cuts, orders.items())]
+    return df.withColumns(cuts).select(*df.columns, *tiles)
+
+
+def global_position(df: DataFrame, order: list[Column], out: str = "_pos", *, ranges: int | None = None) -> DataFrame:
+    """Add ``out`` = 0-based position of each row in the given (total) order; one eager checkpoint.
+
+    The checkpoint fixes the sampled range split, so positions and range counts come from the same one.
+    """
+    p = max(1, ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    numbered = cut_lineage(df.repartitionByRange(p, *order).sortWithinPartitions(*order)
+                           .withColumn("_mid", F.monotonically_increasing_id()))
+    numbered = numbered.withColumn("_range", F.shiftright("_mid", 33))
+    earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)  # one row per range
+    starts = (numbered.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
+              .select("_range", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_start")))
+    place = (F.col("_start") + F.col("_mid").bitwiseAND(F.lit(_LOW33))).cast("long")
+    return numbered.join(starts, "_range").withColumn(out, place).drop("_mid", "_range", "_start")
 
 
 def global_dense_rank(df: DataFrame, value_col: str, out: str, *, descending: bool = True,
                       ranges: int | None = None) -> DataFrame:
-    """``dense_rank() OVER (ORDER BY value_col [DESC])``: number the distinct values, join back.
+    """``dense_rank() OVER (ORDER BY value_col [DESC])`` for values of any ordered type.
 
-    The distinct values are numbered with the range-parallel position, then equi-joined to the rows.
-    NULL values get no rank from the join and are ranked last in DESC / first in ASC like SQL.
+    The distinct values (NULL is one: last in DESC, first in ASC) are numbered by position and joined
+    back. The frame is read twice: checkpoint it first if it is costly. A value that most rows share is
+    split by AQE on the rows' side; the other side has one row per value.
     """
-    key = "_dr_key"
-    vals = df.select(F.col(value_col).alias(key)).where(F.col(key).isNotNull()).distinct()
-    order = (F.lit(0) - F.col(key)) if descending else F.col(key)
-    vals = vals.withColumn("_ord", order)
-    numbered, nvals = global_position(vals, ["_ord"], "_pos", ranges=ranges)
-    numbered = numbered.select(F.col(key), (F.col("_pos") + 1).cast("int").alias(out))
-    joined = df.join(numbered, df[value_col] == numbered[key], "left").drop(key)
-    if descending:  # NULL sorts last in DESC: one rank after every value
-        return joined.withColumn(out, F.coalesce(F.col(out), F.lit(nvals + 1).cast("int")))
-    # NULL sorts first in ASC: rank 1, and every value moves down by one when a NULL exists
-    shift = 1 if df.where(F.col(value_col).isNull()).limit(1).count() else 0
-    return joined.withColumn(out, F.when(F.col(value_col).isNull(), F.lit(1))
-                             .otherwise(F.col(out) + F.lit(shift)).cast("int"))
+    values = df.select(F.col(value_col).alias("_value")).distinct()
+    order = F.col("_value").desc_nulls_last() if descending else F.col("_value").asc_nulls_first()
+    numbered = global_position(values, [order], "_pos", ranges=ranges)
+    ranked = numbered.select("_value", (F.col("_pos") + 1).cast("int").alias(out))
+    return df.join(ranked, F.col(value_col).eqNullSafe(F.col("_value"))).drop("_value")
 
 
 def top_dense_rank(df: DataFrame, value_col: str, tie_col: str, limit: int, out: str) -> DataFrame:

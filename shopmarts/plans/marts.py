@@ -7,7 +7,7 @@ Each mart is ``mart_x(t, **params) -> DataFrame`` where ``t`` maps table names t
   order), so a fan-out never materialises and a hot key is collapsed by the map-side partial
   aggregate before it is shuffled;
 * COUNT(DISTINCT order) becomes COUNT(*) once the rows are one per order;
-* whole-set windows (share of total) use a scalar subquery instead of a one-partition window;
+* shares of a total are windows over the few rows of an aggregate, never over its input;
 * global ranking uses the range-parallel operators in ``operators.ranking``.
 """
 
@@ -76,32 +76,38 @@ def mart_monthly_revenue(t: Tables) -> DataFrame:
 
 
 # --------------------------------------------------------------------------- M2
+def category_labels(t: Tables, collation: str | None = None) -> DataFrame:
+    """product_id -> category label: english name, else native name, else 'uncategorized'."""
+    name = F.col("product_category_name")
+    key = (F.collate(name, collation) if collation else name).alias("_k")
+    p = t["products"].select("product_id", name, key)
+    tr = t["product_category_translation"].select(key, "product_category_name_english")
+    label = F.coalesce("product_category_name_english", "product_category_name", F.lit("uncategorized"))
+    return p.join(tr, "_k", "left").select("product_id", label.alias("category"))
+
+
 def category_revenue(t: Tables, collation: str | None = None) -> DataFrame:
     """category label -> distinct delivered orders and Σ price (all groups, before any limit).
 
-    ``collation`` (e.g. 'UNICODE_CI_AI') makes the translation lookup case/accent-insensitive, as
-    a case-insensitive warehouse collation would (T15); the default compares bytes.
+    ``collation`` (e.g. 'UNICODE_CI_AI') compares names as a case-insensitive warehouse would (T15), in
+    the translation lookup and in the grouping, which shows the least spelling; the default compares bytes.
     """
     items = t["order_items"].select("order_id", "product_id", "price")
     delivered = delivered_orders(t).select("order_id")
-    name = F.col("product_category_name")
-    key = F.collate(name, collation) if collation else name
-    p = t["products"].select("product_id", "product_category_name", key.alias("_k"))
-    tr = t["product_category_translation"].select(key.alias("_k"), "product_category_name_english")
-    label = F.coalesce(F.col("product_category_name_english"), F.col("product_category_name"), F.lit("uncategorized"))
+    group = F.collate("category", collation) if collation else F.col("category")
     labelled = (items.join(delivered, "order_id", "left_semi")
-                .join(p, "product_id")
-                .join(tr, "_k", "left")
-                .select("order_id", "price", label.alias("category")))
+                .join(category_labels(t, collation), "product_id")
+                .select("order_id", "price", "category", group.alias("_group")))
     # distinct (category, order) first: COUNT(DISTINCT order) without an Expand of every item row
-    per_cat_order = labelled.groupBy("category", "order_id").agg(F.sum("price").alias("price"))
-    return per_cat_order.groupBy("category").agg(F.count(F.lit(1)).cast("long").alias("orders"),
-                                                  F.sum("price").alias("rev"))
+    per_cat_order = labelled.groupBy("_group", "order_id").agg(F.sum("price").alias("price"), F.min("category").alias("category"))
+    return per_cat_order.groupBy("_group").agg(F.min("category").alias("category"), F.count(F.lit(1)).cast("long").alias("orders"),
+                                               F.sum("price").alias("rev")).drop("_group")
 
 
 def with_share(df: DataFrame, value: str, out: str, digits: int) -> DataFrame:
-    """100 * value / Σ value over all rows, the total as a scalar subquery (planned once)."""
-    total = df.select(F.sum(value)).scalar()
+    """100 * value / Σ value over all rows of an aggregate (a window over its few group rows, so
+    the data below is read once)."""
+    total = F.sum(value).over(Window.partitionBy())
     vs = _scale(df, value)
     share = F.round(dec_div(F.lit(100) * F.col(value), total, vs + 4, num_scale=vs, den_scale=vs), digits)
     return df.withColumn(out, publish(share))
@@ -166,7 +172,7 @@ def mart_cohort_retention(t: Tables, max_offset: int = 6) -> DataFrame:
 
 
 # --------------------------------------------------------------------------- M5
-def customer_orders(t: Tables) -> DataFrame:
+def person_totals(t: Tables) -> DataFrame:
     """Per person over delivered orders with items: last purchase, distinct orders, Σ(price + freight)."""
     per_order = t["order_items"].groupBy("order_id").agg(
         F.sum(F.col("price") + F.col("freight_value")).alias("order_value"))
@@ -176,36 +182,37 @@ def customer_orders(t: Tables) -> DataFrame:
         F.count(F.lit(1)).alias("frequency"), F.sum("order_value").alias("monetary"))
 
 
-def rfm_scores(t: Tables, tiles: int = 5, ranges: int | None = None) -> DataFrame:
-    """The scored relation: recency days plus three NTILE(5) scores (ties broken by the person id)."""
-    co = cut_lineage(customer_orders(t))  # read by count, sample, range counts and final pass
+RFM_ORDERS = {"r_score": "last_purchase", "f_score": "frequency", "m_score": "monetary"}
+
+
+def rfm_scores(t: Tables, tiles: int = 5, scores=tuple(RFM_ORDERS), ranges: int | None = None) -> DataFrame:
+    """The scored relation: recency days plus NTILE scores (ties broken by the person id).
+
+    Runs one job while it is built: the person totals are checkpointed, because the score cuts read them.
+    """
+    people = cut_lineage(person_totals(t))
     max_ts = t["orders"].select(F.max("order_purchase_timestamp")).scalar()
-    pid = "customer_unique_id"
-    scored = ranking.global_ntiles(co, tiles, {"r_score": ["last_purchase", pid], "f_score": ["frequency", pid],
-                                               "m_score": ["monetary", pid]}, pid, ranges=ranges)
+    scored = ranking.global_ntiles(people, tiles, {s: [RFM_ORDERS[s], "customer_unique_id"] for s in scores}, ranges=ranges)
     return scored.withColumn("recency_days", F.datediff(max_ts.cast("date"), F.col("last_purchase").cast("date")))
 
 
+# Segment labels by recency and frequency score (high: 4 and up, low: 2 and down).
+HIGH_SCORE, LOW_SCORE = 4, 2
+
+
 def segment_label(r, f) -> F.Column:
     r, f = F.col(r), F.col(f)
-    return (F.when((r >= 4) & (f >= 4), "champions").when((r >= 4) & (f <= 2), "promising_new")
-            .when((r <= 2) & (f >= 4), "at_risk_loyal").when((r <= 2) & (f <= 2), "hibernating")
-            .otherwise("regular"))
+    recent, old, often, seldom = r >= HIGH_SCORE, r <= LOW_SCORE, f >= HIGH_SCORE, f <= LOW_SCORE
+    return (F.when(recent & often, "champions").when(recent & seldom, "promising_new")
+            .when(old & often, "at_risk_loyal").when(old & seldom, "hibernating").otherwise("regular"))
 
 
 def mart_rfm_segments(t: Tables, ranges: int | None = None) -> DataFrame:
-    """M5: segment sizes and averages; m_score belongs to the scored relation but no label uses it,
-    so only the two scores the labels read are computed here."""
-    co = cut_lineage(customer_orders(t))
-    max_ts = t["orders"].select(F.max("order_purchase_timestamp")).scalar()
-    pid = "customer_unique_id"
-    scored = ranking.global_ntiles(co, 5, {"r_score": ["last_purchase", pid], "f_score": ["frequency", pid]},
-                                   pid, ranges=ranges)
-    scored = scored.withColumn("recency_days",
-                               F.datediff(max_ts.cast("date"), F.col("last_purchase").cast("date")))
+    """M5: segment sizes and averages; no label uses the money score, so it is not computed here."""
+    scored = rfm_scores(t, scores=("r_score", "f_score"), ranges=ranges)
     g = scored.groupBy(segment_label("r_score", "f_score").alias("segment")).agg(
         F.count(F.lit(1)).cast("long").alias("customers"), avg_exact("recency_days").alias("ar"),
-        avg_exact("frequency").alias("af"), avg_exact("monetary", _scale(co, "monetary")).alias("am"))
+        avg_exact("frequency").alias("af"), avg_exact("monetary", _scale(scored, "monetary")).alias("am"))
     return g.select("segment", "customers", rounded("ar", 0).alias("avg_recency_days"),
                     rounded("af", 2).alias("avg_frequency"), rounded("am", 2).alias("avg_monetary")
                     ).orderBy(F.col("customers").desc(), "segment")
@@ -222,7 +229,7 @@ def seller_stats(t: Tables) -> DataFrame:
         F.count(F.lit(1)).alias("n_items"), F.sum("price").alias("price_sum"))
     status = t["orders"].select("order_id", (F.col("order_status") == "delivered").alias("delivered"))
     rev = t["order_reviews"].groupBy("order_id").agg(F.sum("review_score").alias("score_sum"),
-                                                     F.count(F.lit(1)).alias("n_reviews"))
+                                                     F.count("review_score").alias("n_reviews"))
     rows = os_.join(status, "order_id", "left").join(rev, "order_id", "left")
     dlv = F.coalesce(F.col("delivered"), F.lit(False))
     return rows.groupBy("seller_id").agg(
@@ -250,8 +257,8 @@ def mart_seller_ranking(t: Tables, min_orders: int = 10, limit: int = 20) -> Dat
 
 
 def mart_seller_dense_rank(t: Tables, min_orders: int = 10, ranges: int | None = None) -> DataFrame:
-    """W4 over all qualifying sellers (no limit), range-parallel."""
-    base = seller_ranking_base(t, min_orders).select("seller_id", "revenue")
+    """W4 over all qualifying sellers (no limit), range-parallel; runs its checkpoints while it is built."""
+    base = cut_lineage(seller_ranking_base(t, min_orders).select("seller_id", "revenue"))  # read twice
     ranked = ranking.global_dense_rank(base, "revenue", "revenue_rank", descending=True, ranges=ranges)
     return ranked.select("seller_id", publish("revenue").alias("revenue"),
                          F.col("revenue_rank").cast("long").alias("revenue_rank"))
@@ -259,7 +266,7 @@ def mart_seller_dense_rank(t: Tables, min_orders: int = 10, ranges: int | None =
 
 # --------------------------------------------------------------------------- M7 / M8
 def mart_payment_mix(t: Tables) -> DataFrame:
-    """M7: all payments; share of the payment count via a scalar subquery."""
+    """M7: all payments in one scan; the share (W6) is taken over the aggregate's rows."""
     p = t["order_payments"]
     vs = _scale(p, "payment_value")
     g = p.groupBy("payment_type").agg(
@@ -296,20 +303,12 @@ def mart_installment_buckets(t: Tables, payment_type: str = "credit_card") -> Da
 
 
 # --------------------------------------------------------------------------- M9
-# Delay buckets (days late; first match wins; NULL falls to the last label).
-DELAY_BUCKETS = (("1_week_plus_early", "<=", -7), ("2_early", "<", 0), ("3_on_time", "=", 0),
-                 ("4_late_1_to_3d", "<=", 3), ("5_late_4_to_7d", "<=", 7))
-DELAY_ELSE = "6_late_8d_plus"
-
-
 def delay_bucket(days) -> F.Column:
+    """Days late to a label; the first match wins and NULL falls to the last label."""
     d = F.col(days) if isinstance(days, str) else days
-    ops = {"<=": lambda a, b: a <= b, "<": lambda a, b: a < b, "=": lambda a, b: a == b}
-    expr = None
-    for label, op, bound in DELAY_BUCKETS:
-        cond = ops[op](d, F.lit(bound))
-        expr = F.when(cond, label) if expr is None else expr.when(cond, label)
-    return expr.otherwise(DELAY_ELSE)
+    # Bucket labels and bounds.
+    return (F.when(d <= -7, "1_week_plus_early").when(d < 0, "2_early").when(d == 0, "3_on_time")
+            .when(d <= 3, "4_late_1_to_3d").when(d <= 7, "5_late_4_to_7d").otherwise("6_late_8d_plus"))
 
 
 def mart_delay_vs_reviews(t: Tables) -> DataFrame:
@@ -318,20 +317,20 @@ def mart_delay_vs_reviews(t: Tables) -> DataFrame:
          .select("order_id", delay_bucket(days_between("order_delivered_customer_date",
                                                        "order_estimated_delivery_date")).alias("delivery_bucket")))
     r = t["order_reviews"].groupBy("order_id").agg(
-        F.count(F.lit(1)).alias("n"), F.sum("review_score").alias("s"),
+        F.count(F.lit(1)).alias("n"), F.count("review_score").alias("scored"), F.sum("review_score").alias("s"),
         F.sum(as_int(F.col("review_score") == 1)).alias("ones"))
     g = d.join(r, "order_id").groupBy("delivery_bucket").agg(
-        F.sum("n").alias("n"), F.sum("s").alias("s"), F.sum("ones").alias("ones"))
+        *[F.sum(c).alias(c) for c in ("n", "scored", "s", "ones")])
     return g.select("delivery_bucket", F.col("n").cast("long").alias("orders"),
-                    rounded(dec_div("s", "n", 4), 2).alias("avg_review_score"),
-                    rounded(F.lit(100) * dec_div("ones", "n", 4), 1).alias("pct_one_star")).orderBy("delivery_bucket")
+                    rounded(dec_div("s", "scored", 4), 2).alias("avg_review_score"),
+                    rounded(F.lit(100) * dec_div("ones", "scored", 4), 1).alias("pct_one_star")).orderBy("delivery_bucket")
 
 
 # --------------------------------------------------------------------------- M10 / M11
 def orders_per_person(t: Tables) -> DataFrame:
-    """All statuses: person -> distinct orders (customer rows are one per order)."""
+    """All statuses: person -> orders (order and customer ids are keys, so rows are one per order)."""
     owc = orders_with_person(t, delivered_only=False)
-    return owc.groupBy("customer_unique_id").agg(F.count_distinct("order_id").alias("order_count"))
+    return owc.groupBy("customer_unique_id").agg(F.count(F.lit(1)).alias("order_count"))
 
 
 def mart_repeat_rate(t: Tables) -> DataFrame:
@@ -355,34 +354,32 @@ def mart_order_histogram(t: Tables) -> DataFrame:
 def mart_freight_by_region(t: Tables, min_orders: int = 100) -> DataFrame:
     """Per customer state, averages per item; same-state share per item (NULL compares skipped).
 
-    Items collapse to (order, seller) sums; after the seller and customer joins, rows collapse to
-    one per order (already partitioned by order), so the state aggregate counts orders with COUNT(*).
+    Items meet their order's state on order_id first. Sums go to (customer state, seller), which is
+    small, before sellers are joined for the same-state share; orders are counted from (state, order),
+    which the order_id partitioning already holds together. Seller references hold (the S12 gate).
     """
     items = t["order_items"]
     fs = _scale(items, "freight_value")
     ratio = dec_ratio(F.col("freight_value"), F.col("price"), fs + 4, fs, _scale(items, "price"))
-    os_ = items.groupBy("order_id", "seller_id").agg(
-        F.count(F.lit(1)).alias("n_items"), F.sum("freight_value").alias("f_sum"),
-        F.sum(ratio).alias("r_sum"), F.count(ratio).alias("r_n"))
-    o = delivered_orders(t).select("order_id", "customer_id")
-    c = t["customers"].select("customer_id", "customer_state")
     s = t["sellers"].select("seller_id", "seller_state")
+    state = delivered_orders(t).select("order_id", "customer_id").join(
+        t["customers"].select("customer_id", "customer_state"), "customer_id").select("order_id", "customer_state")
+    per_seller = items.groupBy("order_id", "seller_id").agg(
+        F.count(F.lit(1)).alias("n_items"), F.count("freight_value").alias("f_n"), F.sum("freight_value").alias("f_sum"),
+        F.sum(ratio).alias("r_sum"), F.count(ratio).alias("r_n"))
+    sums = ["n_items", "f_n", "f_sum", "r_sum", "r_n"]
+    joined = per_seller.join(state, "order_id")
+    pairs = joined.groupBy("customer_state", "seller_id").agg(*[F.sum(c).alias(c) for c in sums]).join(s, "seller_id")
     same = as_int(F.col("seller_state") == F.col("customer_state"))
-    # dimension first (broadcast when its measured size allows), then one order_id join whose
-    # partitioning the per-order aggregate reuses
-    per_order = (os_.join(s, "seller_id").join(o.join(c, "customer_id"), "order_id")
-                 .groupBy("order_id", "customer_state").agg(
-                     F.sum("n_items").alias("n_items"), F.sum("f_sum").alias("f_sum"),
-                     F.sum("r_sum").alias("r_sum"), F.sum("r_n").alias("r_n"),
-                     F.sum(F.col("n_items") * same).alias("same_n"),
-                     F.sum(F.when(same.isNotNull(), F.col("n_items"))).alias("cmp_n")))
-    g = per_order.groupBy("customer_state").agg(
-        F.count(F.lit(1)).alias("orders"), F.sum("n_items").alias("n_items"), F.sum("f_sum").alias("f_sum"),
-        F.sum("r_sum").alias("r_sum"), F.sum("r_n").alias("r_n"), F.sum("same_n").alias("same_n"),
-        F.sum("cmp_n").alias("cmp_n"))
-    return (g.where(F.col("orders") >= min_orders).select(
+    totals = pairs.groupBy("customer_state").agg(
+        *[F.sum(c).alias(c) for c in sums], F.sum(F.col("n_items") * same).alias("same_n"),
+        F.sum(F.when(same.isNotNull(), F.col("n_items"))).alias("cmp_n"))
+    orders = joined.groupBy("order_id", "customer_state").agg(F.lit(1).alias("one")).groupBy("customer_state").agg(
+        F.sum("one").alias("orders")).select(F.col("customer_state").alias("_state"), "orders")
+    g = totals.join(orders.where(F.col("orders") >= min_orders), F.col("customer_state").eqNullSafe(F.col("_state")))
+    return (g.select(
         "customer_state", F.col("orders").cast("long"),
-        rounded(dec_div("f_sum", "n_items", fs + 4, num_scale=fs), 2).alias("avg_freight"),
+        rounded(dec_div("f_sum", "f_n", fs + 4, num_scale=fs), 2).alias("avg_freight"),
         rounded(dec_div("r_sum", "r_n", fs + 8, num_scale=fs + 4) * 100, 1).alias("freight_pct_of_price"),
         rounded(F.lit(100) * dec_div("same_n", "cmp_n", 4), 1).alias("same_state_shipment_pct"))
         .orderBy(F.col("avg_freight").desc(), "customer_state"))

@@ -51,11 +51,13 @@ def _plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_global_ntile_plans_no_single_partition(spark):
+def test_only_a_range_is_sorted_for_its_cut(spark):
+    """Windows over rows are by range; what meets in one partition are samples and one row per range."""
     df = _frame(spark, 2000, 0.5)
-    out = ranking.global_ntile(df, 5, ["k", "id"], "t", ranges=8)
-    out.collect()
-    assert "SinglePartition" not in _plan(out)
+    cuts = ranking.tile_cuts(df, 5, ["k", "id"], ranges=8)
+    plan = spark.range(1).select(cuts)._jdf.queryExecution().optimizedPlan().toString()
+    numbered = [line for line in plan.splitlines() if "row_number()" in line]
+    assert numbered and all("windowspecdefinition(range" in line for line in numbered)
     plain = df.withColumn("t", F.ntile(5).over(Window.orderBy("k", "id")))
     plain.collect()
     assert "SinglePartition" in _plan(plain)
@@ -66,13 +68,58 @@ def test_global_ntiles_shared_passes(spark, n):
     rnd = random.Random(n)
     rows = [(i, rnd.choice([1, 1, 1, 2]), rnd.randint(0, 1000) / 7.0) for i in range(n)]
     df = spark.createDataFrame(rows, "id long, f long, m double")
-    got = ranking.global_ntiles(df, 5, {"a": ["f", "id"], "b": ["m", "id"]}, "id", ranges=5)
+    got = ranking.global_ntiles(df, 5, {"a": ["f", "id"], "b": ["m", "id"]}, ranges=5)
     want = (df.withColumn("a", F.ntile(5).over(Window.orderBy("f", "id")))
             .withColumn("b", F.ntile(5).over(Window.orderBy("m", "id"))))
     cols = ["id", "a", "b"]
     assert sorted(map(tuple, got.select(*cols).collect())) == sorted(map(tuple, want.select(*cols).collect()))
 
 
+def test_ntile_orders_nulls_first(spark):
+    df = spark.createDataFrame([(i, None if i % 3 == 0 else i % 7) for i in range(211)], "id long, k long")
+    got = ranking.global_ntile(df, 4, ["k", "id"], "t", ranges=6)
+    want = df.withColumn("t", F.ntile(4).over(Window.orderBy("k", "id")))
+    assert sorted(map(tuple, got.select("id", "t").collect())) == sorted(map(tuple, want.select("id", "t").collect()))
+
+
+def test_several_ntiles_join_nothing_on_the_row_id(spark):
+    df = _frame(spark, 2000, 0.5)
+    out = ranking.global_ntiles(df, 5, {"a": ["k", "id"], "b": ["id"]}, ranges=8)
+    main = out._jdf.queryExecution().optimizedPlan().toString().split("scalar-subquery")[0]
+    assert "Join" not in main and "Sort" not in main and "Window" not in main
+
+
+@pytest.mark.parametrize("kind", ["string", "timestamp_ntz", "date", "double", "long"])
+@pytest.mark.parametrize("desc", [True, False])
+def test_dense_rank_of_any_ordered_type(spark, kind, desc):
+    least = -(2**63)
+    df = spark.range(90).select("id", F.when(F.col("id") % 11 == 0, None).otherwise(F.col("id") % 8).alias("n"))
+    value = {"string": F.concat(F.lit("v"), F.col("n").cast("string")), "long": F.when(F.col("n") == 0, F.lit(least)).otherwise(F.col("n")),
+             "double": F.col("n") / 3, "date": F.date_add(F.lit("2020-01-01").cast("date"), F.col("n").cast("int")),
+             "timestamp_ntz": F.date_add(F.lit("2020-01-01").cast("date"), F.col("n").cast("int")).cast("timestamp_ntz")}[kind]
+    df = df.select("id", value.alias("v"))
+    got = ranking.global_dense_rank(df, "v", "r", descending=desc, ranges=3)
+    order = F.col("v").desc_nulls_last() if desc else F.col("v").asc_nulls_first()
+    want = df.withColumn("r", F.dense_rank().over(Window.orderBy(order)))
+    assert sorted(map(tuple, got.select("id", "r").collect())) == sorted(map(tuple, want.select("id", "r").collect()))
+
+
+def test_dense_rank_of_a_value_that_most_rows_share(spark):
+    df = spark.range(30000).select("id", F.when(F.col("id") % 10 == 0, F.col("id")).otherwise(F.lit(5)).alias("v"))
+    got = {r.v: r.r for r in ranking.global_dense_rank(df, "v", "r", ranges=4).select("v", "r").distinct().collect()}
+    want = {v: k for k, v in enumerate(sorted(got, reverse=True), 1)}
+    assert got == want and got[5] == 3000
+
+
+def test_cut_lineage_keeps_a_cache_of_the_caller(spark):
+    from shopmarts.session import cut_lineage
+
+    df = spark.range(50).cache()
+    cut_lineage(df)
+    assert df.is_cached
+    df.unpersist()
+
+
 def test_cut_lineage_releases_its_cache(spark):
     from shopmarts.session import cut_lineage
 
