@@ -37,12 +37,26 @@ def _mart(fn, **params) -> Query:
 
 
 def q_win_ntile(spark, sf_dir):
-    co = marts.customer_orders(_t(spark, sf_dir))
-    co = cut_lineage(co.select("customer_unique_id", "frequency"))
-    out = ranking.global_ntile(co, 5, ["frequency", "customer_unique_id"], "f_score")
+    people = marts.person_totals(_t(spark, sf_dir))
+    people = cut_lineage(people.select("customer_unique_id", "frequency"))
+    out = ranking.global_ntile(people, 5, ["frequency", "customer_unique_id"], "f_score")
     return out.select("customer_unique_id", F.col("frequency").cast("long"), "f_score")
 
 
+def q_rfm_scores(spark, sf_dir):
+    """W3 three times: every person's recency days and recency, frequency and money scores."""
+    scored = marts.rfm_scores(_t(spark, sf_dir))
+    return scored.select("customer_unique_id", "recency_days", F.col("frequency").cast("long"),
+                         publish("monetary").alias("monetary"), "r_score", "f_score", "m_score")
+
+
+def q_win_dense_rank_hot(spark, sf_dir):
+    """W4 over every order's item count: few values, each shared by a large part of the rows."""
+    per_order = cut_lineage(marts.items_per_order(_t(spark, sf_dir)).select("order_id", F.col("n_items").cast("long")))
+    ranked = ranking.global_dense_rank(per_order, "n_items", "size_rank", descending=True)
+    return ranked.select("order_id", "n_items", F.col("size_rank").cast("long"))
+
+
 def q_join_fanout_average(spark, sf_dir):
     """Item-weighted review average per seller over all statuses (the M6 CTE on its own)."""
     st = marts.seller_stats(_t(spark, sf_dir)).where(F.col("w_count") > 0)
@@ -115,7 +129,7 @@ def q_dedup_keep_first(spark, sf_dir):
 
 def q_geo_collapse(spark, sf_dir):
     g = clean.collapse_by_key(mapping.m_raw_geo(spark, sf_dir), "zip", means=("lat",), firsts=("city",), order_col="ord")
-    return g.select("zip", F.col("lat").cast("double").alias("lat"), "city")
+    return g.select("zip", "lat", "city")
 
 
 # --------------------------------------------------------------------------- CSV round trips
@@ -151,11 +165,50 @@ def q_src_header_check(spark, sf_dir):
 
 
 def q_src_presence(spark, sf_dir):
+    """S1 as data: every expected raw file, whether it is there, its header holds, and its records."""
     raw_dir = scratch_path(spark, "raw-all")
     mapping.export_raw_files(spark, sf_dir, raw_dir)
     return csv_source.presence_report(spark, raw_dir)
 
 
+def q_src_mixed_headers(spark, sf_dir):
+    """Payments as a folder whose part files have their columns in different orders."""
+    c = BY_TABLE["order_payments"]
+    raw_dir = scratch_path(spark, "raw-mixed")
+    df = mapping.raw_frames(spark, sf_dir)["order_payments"]
+    odd = F.col("order_id").cast("long") % 2 == 1
+    mapping.write_csv(df.where(~odd).select(*c.columns), f"{raw_dir}/{c.file_name()}")
+    mapping.write_csv(df.where(odd).select(*c.columns[:1], *reversed(c.columns[1:])), f"{raw_dir}/{c.file_name()}", mode="append")
+    df = csv_source.conform(csv_source.read_contract(spark, raw_dir, c, ordinal=False), c)
+    return _money_as_double(clean.transform_payments(df).select(*c.schema.fieldNames()))
+
+
+def q_src_rejects(spark, sf_dir):
+    """Items with values that do not fit their type, by column, and rows with a field too many."""
+    c = BY_TABLE["order_items"]
+    raw_dir = scratch_path(spark, "raw-rejects")
+    key = F.col("order_id").cast("long")
+    bad = mapping.raw_frames(spark, sf_dir)["order_items"].select(*c.columns).withColumns({
+        "price": F.when(key % 19 == 0, F.concat(F.lit("EUR "), "price")).otherwise(F.col("price")),
+        "freight_value": F.when(key % 7 == 0, "n/a").when(key % 23 == 0, "1e12").otherwise(F.col("freight_value")),
+        "order_item_id": F.when(key % 31 == 0, "first").otherwise(F.col("order_item_id")),
+    })
+    plain, header = [F.coalesce(F.col(x), F.lit("")) for x in c.columns], ",".join(c.columns)
+    lines = bad.select(F.concat_ws(",", *plain, F.when(key % 37 == 0, "surplus")).alias("value"))
+    mapping.write_lines(lines, header, f"{raw_dir}/{c.file_name()}")
+    raw = csv_source.read_contract(spark, raw_dir, c, ordinal=False, surplus=True)
+    return csv_source.rejects_report(raw, c).select(F.lit(c.table).alias("table"), "column", "rejects")
+
+
+def q_t_geolocation(spark, sf_dir):
+    """C6 and C13 through the CSV files, whose order decides which city and state come first."""
+    c = BY_TABLE["geolocation"]
+    raw_dir = scratch_path(spark, "raw-geolocation")
+    mapping.write_raw(mapping.raw_frames(spark, sf_dir)["geolocation"], f"{raw_dir}/{c.file_name()}")
+    df = csv_source.conform(csv_source.read_contract(spark, raw_dir, c), c)
+    return clean.transform_geolocation(df).select(*c.schema.fieldNames())
+
+
 def q_conform_types(spark, sf_dir):
     raw_dir, c = _exported(spark, sf_dir, "order_items")
     df = csv_source.conform(csv_source.read_contract(spark, raw_dir, c, ordinal=False), c)
@@ -163,41 +216,42 @@ def q_conform_types(spark, sf_dir):
 
 
 # --------------------------------------------------------------------------- pipeline
-_RUNS: dict[tuple, dict] = {}
-
-
-def _pipeline_run(spark, sf_dir) -> dict:
-    """One exported raw set + one pipeline run per (session, sf_dir); later keys reuse it."""
-
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _RUNS:
-        base = scratch_path(spark, "pipeline")
-        mapping.export_raw_files(spark, sf_dir, f"{base}/raw")
-        res = pipeline.run_pipeline(spark, f"{base}/raw", f"{base}/warehouse")
-        _RUNS[key] = {"base": base, "result": res}
-    return _RUNS[key]
+def _pipeline_run(spark, sf_dir):
+    """(raw folder, warehouse folder, result) of a run of its own over freshly exported raw files."""
+    base = scratch_path(spark, "pipeline")
+    mapping.export_raw_files(spark, sf_dir, f"{base}/raw")
+    return f"{base}/raw", f"{base}/warehouse", pipeline.run_pipeline(spark, f"{base}/raw", f"{base}/warehouse")
 
 
 def q_reconcile_counts(spark, sf_dir):
-    res = _pipeline_run(spark, sf_dir)["result"]
-    return spark.createDataFrame([tuple(r) for r in res.reconciliation],
+    _, _, result = _pipeline_run(spark, sf_dir)
+    return spark.createDataFrame([tuple(r) for r in result.reconciliation],
                                  "table string, expected long, loaded long, ok boolean")
 
 
+def q_pipeline_row_counts(spark, sf_dir):
+    """Records read and rows published, per table."""
+    _, _, result = _pipeline_run(spark, sf_dir)
+    return spark.createDataFrame([(t, raw, out) for t, (raw, out) in result.row_counts.items()],
+                                 "table string, raw_rows long, published_rows long")
+
+
 def q_pipeline_end_to_end(spark, sf_dir):
-    run = _pipeline_run(spark, sf_dir)
-    return marts.mart_monthly_revenue(pipeline.warehouse(spark, f"{run['base']}/warehouse"))
+    _, out, _ = _pipeline_run(spark, sf_dir)
+    return marts.mart_monthly_revenue(pipeline.warehouse(spark, out))
 
 
 def q_sink_overwrite_idempotent(spark, sf_dir):
-    """Second full run into the same warehouse: every published table must be identical to run one."""
-    run = _pipeline_run(spark, sf_dir)
-    out = f"{run['base']}/warehouse"
-    first_id = run["result"].run_id
-    second = pipeline.run_pipeline(spark, f"{run['base']}/raw", out)
+    """Second full run into the same warehouse, with another number of partitions: every published table
+    must be identical to run one."""
+    raw, out, first = _pipeline_run(spark, sf_dir)
+    other = spark.newSession()
+    other.conf.set("spark.sql.shuffle.partitions", str(int(spark.conf.get("spark.sql.shuffle.partitions")) * 2 + 1))
+    other.conf.set("spark.sql.files.maxPartitionBytes", "256k")
+    second = pipeline.run_pipeline(other, raw, out)
     rows = []
     for t in parquet_sink.read_warehouse(spark, out):
-        a = spark.read.parquet(f"{parquet_sink.run_dir(out, first_id)}/{t}")
+        a = spark.read.parquet(f"{parquet_sink.run_dir(out, first.run_id)}/{t}")
         b = spark.read.parquet(f"{parquet_sink.run_dir(out, second.run_id)}/{t}")
         digest = [F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64(*a.columns).cast("decimal(38,0)")).alias("h")]
         ra, rb = a.agg(*digest).first(), b.agg(*digest).first()
@@ -271,8 +325,8 @@ def q_scalar_subquery_recency(spark, sf_dir):
     """days from each person's last delivered purchase to the latest purchase of any order."""
     t = _t(spark, sf_dir)
     max_ts = t["orders"].select(F.max("order_purchase_timestamp")).scalar()
-    co = marts.customer_orders(t)
-    return co.select("customer_unique_id",
+    people = marts.person_totals(t)
+    return people.select("customer_unique_id",
                      F.datediff(max_ts.cast("date"), F.col("last_purchase").cast("date")).alias("recency_days"))
 
 
@@ -331,11 +385,20 @@ def q_safe_growth_pct(spark, sf_dir):
 
 def q_join_left_dimension(spark, sf_dir):
     """Every product with its label: english, else native, else 'uncategorized'."""
+    return marts.category_labels(_t(spark, sf_dir))
+
+
+def q_top_categories_collated(spark, sf_dir):
+    """M2 under a case-insensitive collation: names in mixed case are one category, translated or not."""
     t = _t(spark, sf_dir)
-    p = t["products"]
-    tr = t["product_category_translation"]
-    label = F.coalesce("product_category_name_english", "product_category_name", F.lit("uncategorized"))
-    return p.join(tr, "product_category_name", "left").select("product_id", label.alias("category"))
+    name = F.col("product_category_name")
+    spelled = F.when(F.col("product_id") % 3 == 0, F.upper(name)).when(F.col("product_id") % 3 == 1, F.lower(name)).otherwise(name)
+    t["products"] = t["products"].withColumn("product_category_name", spelled)
+    rows = t["product_category_translation"].withColumn("_file_order", F.col("product_category_name_english"))
+    twice = rows.unionByName(rows.withColumns({"product_category_name": F.upper("product_category_name"),
+                                               "product_category_name_english": F.lit("later spelling"), "_file_order": F.lit("~")}))
+    t["product_category_translation"] = clean.transform_category_translation(twice, "UTF8_LCASE")
+    return marts.mart_top_categories(t, collation="UTF8_LCASE")
 
 
 QUERIES: dict[str, Query] = {
@@ -352,6 +415,9 @@ QUERIES: dict[str, Query] = {
     "mart_order_histogram": _mart(marts.mart_order_histogram),
     "mart_freight_by_region": _mart(marts.mart_freight_by_region),
     "win_ntile": q_win_ntile,
+    "rfm_scores": q_rfm_scores,
+    "win_dense_rank_hot": q_win_dense_rank_hot,
+    "top_categories_collated": q_top_categories_collated,
     "win_dense_rank": _mart(marts.mart_seller_dense_rank),
     "win_share_of_total": _mart(marts.mart_category_share),
     "having_min_volume": _mart(marts.mart_delivery_by_state, min_orders=180),
@@ -372,12 +438,16 @@ QUERIES: dict[str, Query] = {
     "dedup_keep_latest": q_dedup_keep_latest,
     "dedup_keep_first": q_dedup_keep_first,
     "geo_collapse": q_geo_collapse,
+    "t_geolocation": q_t_geolocation,
     "src_presence": q_src_presence,
     "src_csv_scan": q_src_csv_scan,
     "src_na_tokens": q_src_na_tokens,
     "src_header_check": q_src_header_check,
+    "src_mixed_headers": q_src_mixed_headers,
+    "src_rejects": q_src_rejects,
     "conform_types": q_conform_types,
     "reconcile_counts": q_reconcile_counts,
+    "pipeline_row_counts": q_pipeline_row_counts,
     "pipeline_end_to_end": q_pipeline_end_to_end,
     "sink_overwrite_idempotent": q_sink_overwrite_idempotent,
     "dq_unique": q_dq_unique,

@@ -71,26 +71,33 @@ def m_sellers(spark, sf_dir) -> DataFrame:
     return s.join(n, "seller_zip_code_prefix").select("seller_id", "seller_zip_code_prefix", "seller_state")
 
 
+_CATEGORY = "p_type || ' ' || CAST(p_partkey % 4 AS STRING)"  # more categories than a top list shows
+
+
 def m_products(spark, sf_dir) -> DataFrame:
     p = read_table(spark, sf_dir, "part")
     return p.selectExpr("p_partkey AS product_id",
-                        "CASE WHEN p_partkey % 17 <> 0 THEN p_type END AS product_category_name")
+                        f"CASE WHEN p_partkey % 17 <> 0 THEN {_CATEGORY} END AS product_category_name")
 
 
 def m_translation(spark, sf_dir) -> DataFrame:
-    p = read_table(spark, sf_dir, "part")
-    return (p.where(F.col("p_type") != "PROMO")
-            .select(F.col("p_type").alias("product_category_name"),
-                    F.lower("p_type").alias("product_category_name_english"))
-            .distinct())
+    p = read_table(spark, sf_dir, "part").where("p_type <> 'PROMO'")
+    return p.selectExpr(f"{_CATEGORY} AS product_category_name", f"lower({_CATEGORY}) AS product_category_name_english").distinct()
+
+
+# Sellers 7, 32, ... keep few of their orders and sellers 9, 34, ... only orders without a review; the
+# other items go to the seller before. Sellers 3, 13, ... give everything away: their revenue ties at 0.
+_SELLER = ("CASE WHEN l_suppkey % 25 = 7 AND l_orderkey % 211 <> 0 THEN l_suppkey - 1"
+           " WHEN l_suppkey % 25 = 9 AND l_orderkey % 11 <> 0 THEN l_suppkey - 1 ELSE l_suppkey END")
+_PRICE = "CASE WHEN l_suppkey % 10 = 3 OR l_orderkey % 41 = 0 THEN 0 ELSE l_extendedprice END"
 
 
 def m_items(spark, sf_dir) -> DataFrame:
     li = read_table(spark, sf_dir, "lineitem")
     return li.selectExpr(
         "l_orderkey AS order_id", "l_linenumber AS order_item_id", "l_partkey AS product_id",
-        "l_suppkey AS seller_id", "l_shipdate AS shipping_limit_date",
-        "CAST(l_extendedprice AS DECIMAL(12,2)) AS price",
+        f"{_SELLER} AS seller_id", "l_shipdate AS shipping_limit_date",
+        f"CAST({_PRICE} AS DECIMAL(12,2)) AS price",
         "CAST(l_extendedprice AS DECIMAL(12,2)) * CAST(l_tax AS DECIMAL(4,2)) AS freight_value",
     )
 
@@ -107,9 +114,11 @@ def m_payments(spark, sf_dir) -> DataFrame:
 
 
 def m_reviews(spark, sf_dir) -> DataFrame:
-    o = read_table(spark, sf_dir, "orders")
-    return o.where("o_orderkey % 11 <> 0").selectExpr(
-        "o_orderkey AS review_id", "o_orderkey AS order_id", "CAST(1 + o_orderkey * 3 % 5 AS INT) AS review_score")
+    """One review for most orders, a second one with another score for every fifth order."""
+    o = read_table(spark, sf_dir, "orders").where("o_orderkey % 11 <> 0")
+    return o.selectExpr("o_orderkey", "explode(IF(o_orderkey % 5 = 0, array(0, 1), array(0))) AS nth").selectExpr(
+        "o_orderkey * 2 + nth AS review_id", "o_orderkey AS order_id",
+        "CAST(1 + (o_orderkey * 3 + nth * (1 + o_orderkey div 5)) % 5 AS INT) AS review_score")
 
 
 def m_raw_reviews(spark, sf_dir) -> DataFrame:
@@ -209,7 +218,8 @@ def raw_frames(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         (F.col("c_acctbal") / 100).cast("decimal(12,6)").cast("string").alias("geolocation_lat"),
         (F.col("c_acctbal") / -50).cast("decimal(12,6)").cast("string").alias("geolocation_lng"),
         F.when(F.col("c_custkey") % 5 != 0, _messy(F.col("c_mktsegment"), F.col("c_custkey"))).alias("geolocation_city"),
-        _messy(_state_code(F.col("c_nationkey")), F.col("c_custkey")).alias("geolocation_state"))
+        F.when(F.col("c_custkey") % 7 != 0, _messy(_state_code(F.col("c_nationkey")), F.col("c_custkey"))).alias("geolocation_state"),
+        F.col("c_custkey").alias("_file_order"))
 
     k = F.col("order_id")
     raw_orders = mo.select(
@@ -283,24 +293,37 @@ def raw_frames(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     }
 
 
-def write_csv(df: DataFrame, path: str) -> None:
+def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """RFC 4180 CSV with a header: doubled quotes, quoted newlines, NULL as an empty field."""
-    df.write.mode("overwrite").option("header", True).option("escape", '"').option("quote", '"').csv(path)
+    df.write.mode(mode).option("header", True).option("escape", '"').option("quote", '"').csv(path)
+
+
+def write_lines(df: DataFrame, header: str, path: str, files: int = 4) -> None:
+    """Finished CSV lines (``value``) with a header on top of every file, for lines that a CSV writer would not make."""
+    heads = df.sparkSession.range(files).select(F.lit(header).alias("value"), F.col("id").alias("part"), F.lit(0).alias("place"))
+    lines = df.select("value", F.pmod(F.xxhash64("value"), F.lit(files)).alias("part"), F.lit(1).alias("place"))
+    rows = heads.unionByName(lines).repartition(files, "part").sortWithinPartitions("part", "place")
+    rows.select("value", "part").write.partitionBy("part").text(path)
+
+
+def write_raw(df: DataFrame, path: str) -> None:
+    """One raw file; with ``_file_order`` its records are in that order across ordered part files."""
+    if "_file_order" in df.columns:
+        df = df.repartitionByRange(4, "_file_order").sortWithinPartitions("_file_order").drop("_file_order")
+    write_csv(df, path)
 
 
 def export_raw_files(spark: SparkSession, sf_dir: str, raw_dir: str, prefix: str = "") -> dict[str, str]:
     """Write the nine raw files (one CSV folder each) derived from the driver tables.
 
-    The translation file is written in category-then-key order across ordered part files, so "first
-    in file order" is well defined for the keep-first step.
+    Files with a defined order (translation, geolocation) are written so that "first in file order" is
+    well defined for the keep-first and collapse steps.
     """
     paths = {}
     for table, df in raw_frames(spark, sf_dir).items():
         path = f"{raw_dir.rstrip('/')}/{BY_TABLE[table].file_name(prefix)}"
-        if "_file_order" in df.columns:
-            df = df.repartitionByRange(4, "_file_order").sortWithinPartitions("_file_order").drop("_file_order")
-        elif BY_TABLE[table].multiline:  # whole-file reads: several files keep the scan parallel
+        if BY_TABLE[table].multiline:  # whole-file reads: several files keep the scan parallel
             df = df.repartition(spark.sparkContext.defaultParallelism)
-        write_csv(df, path)
+        write_raw(df, path)
         paths[table] = path
     return paths

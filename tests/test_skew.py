@@ -10,7 +10,7 @@ from tests.conftest import SF_SMALL
 from tools.check_oracles import TABLES, rows_key
 
 HOT_PERSON = "CASE WHEN o_orderkey % 3 = 0 THEN -1 ELSE o_custkey END"
-HOT_SELLER = "CASE WHEN l_orderkey % 3 = 0 THEN 1 ELSE l_suppkey END"
+HOT_SELLER = f"CASE WHEN l_orderkey % 3 = 0 THEN 1 ELSE {oracle.SELLER_OF_ITEM} END"
 
 
 @pytest.fixture(scope="module")
@@ -36,7 +36,7 @@ def con():
 
 def _skew_sql(sql: str) -> str:
     sql = sql.replace("o_custkey AS customer_unique_id", f"{HOT_PERSON} AS customer_unique_id")
-    return sql.replace("l_suppkey AS seller_id", f"{HOT_SELLER} AS seller_id")
+    return sql.replace(f"{oracle.SELLER_OF_ITEM} AS seller_id", f"{HOT_SELLER} AS seller_id")
 
 
 @pytest.mark.parametrize("name, sql", [
