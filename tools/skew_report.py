@@ -12,6 +12,7 @@ import glob
 import json
 import os
 import sys
+import tempfile
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -24,7 +25,7 @@ from shopmarts.session import build_session  # noqa: E402
 
 def main():
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
-    log_dir = sys.argv[2] if len(sys.argv) > 2 else "/tmp/shopmarts-eventlog"
+    log_dir = sys.argv[2] if len(sys.argv) > 2 else tempfile.mkdtemp(prefix="shopmarts-eventlog-")
     os.makedirs(log_dir, exist_ok=True)
     spark = build_session("local[8]", 16, extra={"spark.eventLog.enabled": "true", "spark.eventLog.dir": log_dir, "spark.eventLog.compress": "false",
                                                  "spark.sql.adaptive.coalescePartitions.enabled": "false"})
