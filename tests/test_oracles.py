@@ -5,10 +5,11 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from shopmarts.plans.catalog import QUERIES
 from tests.conftest import SF_SMALL
 from tools.check_oracles import TABLES, rows_key, type_diffs
 
-KEYS = sorted(E.queries())
+KEYS = sorted(QUERIES)
 
 
 @pytest.fixture(scope="module")
