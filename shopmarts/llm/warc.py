@@ -5,7 +5,7 @@ revisits that name it and hold no payload. A record is one row of the text sink,
 blank line pair that ends a WARC record, so archives can be written to any store that Spark can write.
 
 Reading (``spark.read.format("warc")``): one partition per archive file. A reader parses a record's
-headers first, tests record type and headers, and seeks past the payload of a record that is not wanted.
+headers first, tests record type and headers, and passes over the payload of a record that is not wanted.
 Predicates come from the options ``types`` and ``header.<Name>`` or, with the option ``pushdown``, from
 filters on ``record_type``, ``record_id`` and ``target_uri`` (Spark hands them over only if
 ``spark.sql.python.filterPushdown.enabled`` is set, and refuses a reader that asks for them if not; so
@@ -56,8 +56,9 @@ def _urn(page_id: Column) -> Column:
     return F.concat(F.lit("<urn:page:"), F.coalesce(page_id.cast("string"), F.lit("null")), F.lit(">"))
 
 
-def write_archives(pages: DataFrame, path: str, min_bytes: int = 0, records_per_file: int = RECORDS_PER_FILE) -> None:
-    """One WARC record per page, in files below ``path``."""
+def write_archives(pages: DataFrame, path: str, min_bytes: int = 0, records_per_file: int = RECORDS_PER_FILE,
+                   compression: str = "gzip") -> None:
+    """One WARC record per page, in files below ``path``; ``compression`` is the text sink's (none, gzip)."""
     rows = records(pages, min_bytes)
     response = F.col("record_type") == "response"
     http = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8" + END
@@ -72,7 +73,7 @@ def write_archives(pages: DataFrame, path: str, min_bytes: int = 0, records_per_
         line("Content-Length", (F.when(response, F.col("payload_bytes")).otherwise(0) + len(http)).cast("string")), F.lit("\r\n" + http),
     )
     out = rows.select(F.concat(header, F.when(response, F.col("payload")).otherwise("")).alias("value"))
-    out.write.option("lineSep", END).option("maxRecordsPerFile", records_per_file).text(path)
+    out.write.option("lineSep", END).option("maxRecordsPerFile", records_per_file).option("compression", compression).text(path)
 
 
 def _open(path: str):
@@ -112,7 +113,8 @@ class WarcReader(DataSourceReader):
             return
         store, _ = _open(self.path)
         rows, held = [], 0
-        with pa.BufferedInputStream(store.open_input_file(partition.path), 1 << 20) as stream:
+        plain = store.open_input_file(partition.path)
+        with pa.CompressedInputStream(plain, "gzip") if partition.path.endswith(".gz") else pa.BufferedInputStream(plain, 1 << 20) as stream:
             for headers, payload in self._records(stream):
                 refers = headers.get("warc-refers-to")
                 rows.append((headers.get("warc-record-id"), headers.get("warc-type"), headers.get("warc-target-uri"), refers,

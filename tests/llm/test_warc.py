@@ -49,8 +49,9 @@ def test_awkward_round_trip(spark, pages, tmp_dir):
     assert {bytes(r.payload).decode() for r in back} == {h or "" for _, h in rows}
 
 
-def test_predicates_and_skipped_payloads(spark, pages, tmp_dir):
-    warc.write_archives(pages, f"{tmp_dir}/a", records_per_file=2)
+@pytest.mark.parametrize("compression", ["none", "gzip"])
+def test_predicates_and_skipped_payloads(spark, pages, tmp_dir, compression):
+    warc.write_archives(pages, f"{tmp_dir}/a", records_per_file=2, compression=compression)
     assert len(glob.glob(f"{tmp_dir}/a/part-*")) >= 5
     read = lambda **o: warc.read_archives(spark, f"{tmp_dir}/a", **o)
     n = read(types="revisit").count()
