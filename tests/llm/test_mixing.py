@@ -1,8 +1,9 @@
 """The mix against its SQL, and its promises on awkward tables."""
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from shopmarts.llm import mixing
+from shopmarts.llm import mixing, queries
 from tests.llm import brute
 
 
@@ -50,3 +51,11 @@ def test_mix_comes_near_and_is_repeatable(spark):
     for r in one:
         by.setdefault((r.source, r.target), []).append(r.taken)
     assert all(abs(sum(v) - t) <= largest for (_, t), v in by.items())
+
+
+def test_query_matches_its_sql(spark):
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{brute.SF}/documents.parquet')")
+    want = con.execute(queries.ORACLES["op6_source_mixing"]).fetchall()
+    got = [tuple(r) for r in queries.op6_source_mixing(spark, brute.SF).collect()]
+    assert sorted(got) == [(a, b, c, pytest.approx(d), e) for a, b, c, d, e in sorted(want)]
