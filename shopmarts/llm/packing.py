@@ -24,6 +24,7 @@ import re
 import sys
 import types
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -33,9 +34,9 @@ from pyspark.sql import functions as F
 CAPACITY = 2048
 BLOCK_CHARS = 4_000_000
 END_ID = 1
-CACHED_WORDS = 400_000
+CACHED_WORDS = 400_000  # per generation, two of them
 
-_ODD_SPACE = re.compile("[\x1c-\x1f]")  # white space to str.split, but not to the tokenizer
+_ODD_SPACES = "\x1c\x1d\x1e\x1f"  # white space to str.split, but not to the tokenizer
 _PLAIN = re.compile("[!-~À-ÖØ-öø-įĲ-ſ]+")
 _LETTERS = "a-zß-öø-ÿāăąćĉċčďđēĕėęěĝğġģĥħĩīĭįĳĵķĸĺļľŀłńņňŉŋōŏőœŕŗřśŝşšţťŧũūŭůűųŵŷźżžſ"
 _PIECES = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[0-9]|[^{_LETTERS}0-9]+")
@@ -47,8 +48,19 @@ def _worker_store() -> dict:
     return module.__dict__.setdefault("store", {})
 
 
+def _byte_alphabet() -> dict[str, int]:
+    """The byte of each character of the vocabulary: printable bytes are themselves, others follow at 256."""
+    printable = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = [b for b in range(256) if b not in printable]
+    return {chr(b): b for b in printable} | {chr(256 + i): b for i, b in enumerate(others)}
+
+
 class WordEncoder(dict):
-    """Word -> bytes of its token ids (little-endian ``dtype``); at most CACHED_WORDS are remembered."""
+    """Word -> bytes of its token ids (little-endian ``dtype``).
+
+    Words are remembered in two generations: a full dictionary becomes the older one, and words found
+    there move to the new one, so common words stay and rare ones go.
+    """
 
     def __init__(self, path: str):
         import tiktoken
@@ -63,70 +75,66 @@ class WordEncoder(dict):
         self.merge = None
         if spec["model"].get("end_of_word_suffix") == "</w>":
             specials = {t["content"] for t in spec["added_tokens"]}
-            ranks = {self._bytes(t): i for t, i in vocabulary.items() if t not in specials}
+            letters = _byte_alphabet()
+            # a token as bytes, with 0xFF (never in UTF-8) for the end of a word
+            ranks = {bytes(letters[c] for c in t.removesuffix("</w>")) + b"\xff" * t.endswith("</w>"): i
+                     for t, i in vocabulary.items() if t not in specials}
             spare = 1 + max(vocabulary.values())
             for b in range(256):
                 ranks.setdefault(bytes([b]), spare + b)
             self.merge = tiktoken.Encoding("words", pat_str=r"[\s\S]+", mergeable_ranks=ranks, special_tokens={})._core_bpe.encode_single_piece
             self.token = {i: t for t, i in vocabulary.items()}
             self.rules = {tuple(m.split(" ")) if isinstance(m, str) else tuple(m): i for i, m in enumerate(spec["model"]["merges"])}
-        self.sound: dict[tuple[int, int], bool] = {}
-
-    @staticmethod
-    def _alphabet() -> dict[str, int]:
-        """The byte of each character of the vocabulary: printable bytes are themselves, others follow at 256."""
-        printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
-        others = [b for b in range(256) if b not in set(printable)]
-        return {chr(b): b for b in printable} | {chr(256 + i): b for i, b in enumerate(others)}
-
-    def _bytes(self, token: str) -> bytes:
-        """A token as bytes, with 0xFF (never in UTF-8) for the end of a word."""
-        alphabet = self.__dict__.setdefault("_letters", self._alphabet())
-        end = token.endswith("</w>")
-        return bytes(alphabet[c] for c in (token[:-4] if end else token)) + b"\xff" * end
+        self.code = "H" if self.dtype.itemsize == 2 else "I"
+        self.older: dict[str, bytes] = {}
+        self.sound: set[tuple[int, int]] = set()
 
     def _exact(self, word: str) -> list[int]:
         return self.whole.encode(word, add_special_tokens=False).ids
 
     def _apart(self, a: int, b: int) -> bool:
         """Whether the merge rules, applied to the symbols of two neighbouring tokens, end at these two."""
-        good = self.sound.get((a, b))
-        if good is None:
-            left, right = self.token.get(a), self.token.get(b)
-            good = left is not None and right is not None
-            if good:
-                end = right.endswith("</w>")
-                symbols = [*left, *(right[:-4] if end else right)]
-                if end:
-                    symbols[-1] += "</w>"
-                while len(symbols) > 1:
-                    rank, at = min((self.rules.get(pair, len(self.rules)), i) for i, pair in enumerate(zip(symbols, symbols[1:])))
-                    if rank == len(self.rules):
-                        break
-                    symbols[at : at + 2] = [symbols[at] + symbols[at + 1]]
-                good = symbols == [left, right]
-            self.sound[a, b] = good
-        return good
+        left, right = self.token.get(a), self.token.get(b)
+        if left is None or right is None:
+            return False
+        end = right.endswith("</w>")
+        symbols = [*left, *(right[:-4] if end else right)]
+        if end:
+            symbols[-1] += "</w>"
+        while len(symbols) > 1:
+            rank, at = min((self.rules.get(pair, len(self.rules)), i) for i, pair in enumerate(zip(symbols, symbols[1:])))
+            if rank == len(self.rules):
+                break
+            symbols[at : at + 2] = [symbols[at] + symbols[at + 1]]
+        return symbols == [left, right]
 
     def _piece(self, piece: str) -> bytes:
         ids = self.merge(piece.encode() + b"\xff")
-        if not all(self._apart(a, b) for a, b in zip(ids, ids[1:])):
-            ids = self._exact(piece)
-        return np.array(ids, self.dtype).tobytes()
+        if not self.sound.issuperset(pairs := list(zip(ids, ids[1:]))):
+            good = {p for p in set(pairs) - self.sound if self._apart(*p)}
+            self.sound |= good
+            if not self.sound.issuperset(pairs):
+                ids = self._exact(piece)
+        return array(self.code, ids).tobytes()
+
+    def _word(self, word: str) -> bytes:
+        if not self.merge or not _PLAIN.fullmatch(word) or "<|" in word:
+            return array(self.code, self._exact(word)).tobytes()
+        if word.isalpha():
+            return self._piece(word.lower())
+        return b"".join(map(self._piece, _PIECES.findall(word.lower())))
 
     def __missing__(self, word: str) -> bytes:
-        if self.merge and _PLAIN.fullmatch(word) and "<|" not in word:
-            out = b"".join(map(self._piece, _PIECES.findall(word.lower())))
-        else:
-            out = np.array(self._exact(word), self.dtype).tobytes()
+        out = self.older.pop(word, None) or self._word(word)
         if len(self) >= CACHED_WORDS:
+            self.older = dict(self)
             self.clear()
         self[word] = out
         return out
 
     def encode(self, text: str) -> bytes:
-        if _ODD_SPACE.search(text):
-            return np.array(self._exact(text), self.dtype).tobytes()
+        if any(c in text for c in _ODD_SPACES):
+            return array(self.code, self._exact(text)).tobytes()
         return b"".join(map(self.__getitem__, text.split()))
 
 
