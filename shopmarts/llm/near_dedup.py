@@ -3,15 +3,17 @@
 A document is its set of 5-word shingles (64-bit hashes). Register i is the least of the set's i-th
 exponential values, on a logarithmic scale of base ``BASE`` cut to 16 bits: exponentially spaced,
 mergeable by maximum, and two sets agree in it about as often as their Jaccard similarity. Equal sets
-are one class. Classes meet in the buckets of ``BANDS`` bands of ``ROWS`` registers; at the threshold a
-pair misses all of them with probability (1 - 0.75 ** 4) ** 32, about 5 in a million. The joint
-likelihood of the registers estimates the similarity and drops pairs ``MARGIN`` below the threshold
-(five standard deviations); the others are verified on full shingle sets.
+are one class. Classes meet in the buckets of ``BANDS`` bands of ``ROWS`` registers, which are cut from
+several orders of the registers; at the threshold a pair misses all of them with probability
+(1 - 0.75 ** 8) ** 112, about 8 in a million, while texts that only share a common passage (similarity
+0.3) meet in one case of a hundred. The joint likelihood of the registers estimates the similarity and
+drops pairs ``MARGIN`` below the threshold (five standard deviations); the others are verified on full
+shingle sets.
 
 Within a bucket, all members are first compared with its smallest id. Buckets that still hold several
 components go on: members outside the bucket's largest component are compared with all members of other
-components. So every pair of a bucket is either compared or already connected, and no group is expanded
-into all its pairs.
+components. So every pair of a bucket is either compared or already connected; only texts that meet in a
+bucket, are of similar size and stay unconnected cost pairs.
 
 Defined results: null, empty and blank texts have no shingles and link with nothing; 1 to 4 words are
 one shingle; rows that share an id also share the class and its decision; a null id links like any other
@@ -33,13 +35,16 @@ from shopmarts.llm.textblocks import U64, SpanHasher, blocks, gram_hashes, mix64
 
 SHINGLE = 5
 PERCENT = 75
-BANDS, ROWS = 32, 4
-REGISTERS = BANDS * ROWS
+REGISTERS = 256
+BANDS, ROWS = 112, 8
 BASE = 1.001
 SCALE = 64.0
-MARGIN = 0.19
+MARGIN = 0.15
 
 _FACTORS = mix64(np.arange(1, REGISTERS + 1, dtype=np.uint64) * U64(0x9E3779B97F4A7C15)) | U64(1)
+# the registers of each band: whole orders of all registers, one after another, cut into bands
+_ORDERS = np.concatenate([np.random.default_rng(k).permutation(REGISTERS) for k in range(-(-BANDS * ROWS // REGISTERS))])
+_BANDED = _ORDERS[: BANDS * ROWS]
 _SHIFTS = mix64(np.arange(1, REGISTERS + 1, dtype=np.uint64) * U64(0xC2B2AE3D27D4EB4F))
 
 
@@ -95,7 +100,7 @@ def sketches(docs: DataFrame) -> DataFrame:
                 if len(filled):
                     for k, salt in enumerate((0x1B873593CC9E2D51, 0x85EBCA6B0F3C6EF3)):
                         keys[k, filled] = np.add.reduceat(mix64(grams ^ U64(salt)), starts)
-                    for i, r in zip(filled.tolist(), registers(grams, starts)):
+                    for i, r in zip(filled.tolist(), registers(grams, starts).astype("<u2")):
                         sketch[i] = r.tobytes()
                 yield pa.RecordBatch.from_arrays([batch.column(0)[row:end], pa.array(size, pa.int64()), pa.array(keys[0].view(np.int64)),
                                                   pa.array(keys[1].view(np.int64)), pa.array(sketch, pa.binary())], schema=schema)
@@ -170,11 +175,26 @@ def _full_sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
     return texts.mapInArrow(run, "id long, shingles binary").dropDuplicates(["id"])
 
 
-def linked_classes(docs: DataFrame, classes: DataFrame) -> DataFrame | None:
-    """(id, component) of the classes(id, n, registers) that link with another, or None."""
-    spark = docs.sparkSession
-    keys = F.array(*[F.xxhash64(F.lit(b), F.substring("registers", 2 * ROWS * b + 1, 2 * ROWS)) for b in range(BANDS)])
-    banded = classes.select("id", F.explode(keys).alias("key"))
+def _banded(classes: DataFrame) -> DataFrame:
+    """(key, id): the bucket of every band of every class."""
+
+    def run(batches):
+        salt = mix64(np.arange(1, BANDS + 1, dtype=np.uint64) * U64(0x8CB92BA72F3D8DD7))
+        for batch in batches:
+            for k in range(0, batch.num_rows, 512):
+                part = batch.slice(k, 512)
+                words = np.ascontiguousarray(_stack(part.column(1), "<u2")[:, _BANDED]).view("<u8").reshape(part.num_rows, BANDS, ROWS // 4)
+                keys = np.broadcast_to(salt, (part.num_rows, BANDS))
+                for w in range(ROWS // 4):
+                    keys = mix64(keys * U64(0x9FB21C651E98DF25) + words[:, :, w])
+                yield pa.RecordBatch.from_arrays([pa.array(keys.ravel().view(np.int64)), pa.array(np.repeat(part.column(0).to_numpy(), BANDS))], names=["key", "id"])
+
+    return classes.select("id", "registers").mapInArrow(run, "key long, id long")
+
+
+def linked_classes(docs: DataFrame, classes: DataFrame) -> DataFrame:
+    """(id, component) of the classes(id, n, registers) that link with another."""
+    banded = _banded(classes)
     shared = banded.groupBy("key").agg(F.count(F.lit(1)).alias("members"), F.min("id").alias("leader")).where("members > 1")
     members = stored(banded.join(shared.select("key", "leader"), "key"), "near-members")
     ids = members.select("id").distinct()
@@ -187,11 +207,13 @@ def linked_classes(docs: DataFrame, classes: DataFrame) -> DataFrame | None:
     placed = members.join(found, "id", "left").select("key", "id", F.coalesce("component", "id").alias("component"))
     parts = placed.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"))
     largest = parts.groupBy("key").agg(F.count(F.lit(1)).alias("parts"), F.max_by("component", F.struct("n", "component")).alias("main")).where("parts > 1").select("key", "main")
-    mixed = stored(placed.join(largest, "key"), "near-mixed")
-    minor = mixed.where("component <> main").select("key", F.col("id").alias("x"), F.col("component").alias("cx"), "main")
-    other = mixed.select("key", F.col("id").alias("y"), F.col("component").alias("cy"))
+    mixed = stored(placed.join(largest, "key").join(classes.select("id", "n"), "id"), "near-mixed")
+    minor = mixed.where("component <> main").select("key", F.col("id").alias("x"), F.col("component").alias("cx"), "main", F.col("n").alias("nx"))
+    other = mixed.select("key", F.col("id").alias("y"), F.col("component").alias("cy"), F.col("n").alias("ny"))
     # two minor members meet once, from the larger id; a member of the main component meets every minor one
-    rest = minor.join(other, "key").where("cx <> cy and (cy = main or x > y)").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    near_size = f"nx * {PERCENT} <= ny * 100 and ny * {PERCENT} <= nx * 100"
+    rest = minor.join(other, "key").where(f"cx <> cy and (cy = main or x > y) and {near_size}").select(
+        F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
     rest = rest.join(first, ["a", "b"], "left_anti")
     more = stored(_verified(_likely(rest, classes), sets), "near-links")
     if more.isEmpty():
