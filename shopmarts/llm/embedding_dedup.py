@@ -2,13 +2,16 @@
 
 After a random rotation a vector is split into ``PARTS`` parts. Each part has a random code of unit
 vectors, and one code word per part makes a filter direction, so a few dozen code words span a great
-many directions. A vector is decoded to the list of all directions whose inner product with it exceeds
-a bound: part by part, dropping what cannot reach the bound any more. Vectors of one label that share a
-filter are compared in double precision; equal vectors are one class beforehand.
+many directions. A vector is decoded to the list of its ``BEST`` directions, those with the greatest
+inner products: no vector is without filters, whatever the number of directions. Vectors of one label
+that share a filter are compared in double precision; equal vectors are one class beforehand.
 
-The code grows with the number of vectors (``FILTERS_PER_VECTOR`` directions for each), so that a
-filter keeps few of them; ``EXPECTED`` filters per vector set the bound. Members of a filter meet in
-blocks of about ``BLOCK`` vectors, every pair of blocks a group of its own, and only links leave a block.
+A code grows with the number of vectors (``FILTERS_PER_VECTOR`` directions for each), so that a filter
+keeps few of them, and a pair meets in one code less often the larger it is. So independent codes are
+joined until they miss at most ``MISS`` of ``PLANTED`` random pairs at the least cosine; where
+``MOST_CODES`` do not reach that (short vectors in great number), all codes get fewer directions.
+Members of a filter meet in blocks of about ``BLOCK`` vectors, every pair of blocks a group of its own,
+and only links leave a block.
 
 Defined results: a null label, a null or empty vector, null or non-finite components or a zero vector
 link with nothing; vectors of different length never link; rows that share an id are vectors of their
@@ -17,8 +20,9 @@ own that all count as links.
 
 from __future__ import annotations
 
+import itertools
 import math
-from statistics import NormalDist
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -30,42 +34,99 @@ from shopmarts.llm.stored import stored
 
 MIN_COSINE = 0.93
 PARTS = 3
+LEAST_PART = 4
 FILTERS_PER_VECTOR = 4
 LEAST_FILTERS = 4096
-EXPECTED = 64
+MOST_WORDS = 1 << 15
+BEST = 8
+MOST_CODES = 16
+PLANTED = 2000
+MISS = 0.005
 BLOCK = 256
 SEED = 11
 
 
-class ProductCode:
-    """Filter directions for vectors of one length, and the bound that a vector must exceed."""
+class _Code:
+    """Filter directions for vectors of one length."""
 
-    def __init__(self, dimensions: int, n_vectors: int):
-        rng = np.random.default_rng([SEED, dimensions])
-        parts = min(PARTS, dimensions)
+    def __init__(self, dimensions: int, n_filters: int, number: int):
+        rng = np.random.default_rng([SEED, dimensions, number])
+        parts = max(1, min(PARTS, dimensions // LEAST_PART))
         self.rotation = np.linalg.qr(rng.normal(size=(dimensions, dimensions)))[0]
         self.cuts = np.linspace(0, dimensions, parts + 1).astype(int)
-        wanted = max(LEAST_FILTERS, FILTERS_PER_VECTOR * n_vectors)
-        self.words = max(2, math.ceil(wanted ** (1 / parts)))
+        self.words = min(MOST_WORDS, max(BEST, math.ceil(n_filters ** (1 / parts))))
         self.codes = []
         for a, b in zip(self.cuts[:-1], self.cuts[1:]):
             code = rng.normal(size=(self.words, b - a))
             self.codes.append(code / np.linalg.norm(code, axis=1, keepdims=True))
-        # the sum of the parts' inner products is about normal with variance parts / dimensions
-        share = min(0.5, EXPECTED / self.words**parts)
-        self.bound = NormalDist().inv_cdf(1 - share) * math.sqrt(parts / dimensions)
+        # a direction among the BEST has at most BEST - 1 others whose words all rank as high or higher
+        ranks = itertools.product(range(BEST), repeat=parts)
+        self.ranks = np.array([r for r in ranks if math.prod(k + 1 for k in r) <= BEST])
 
-    def decode(self, units: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(row, filter) of every direction above the bound."""
+    def decode(self, units: np.ndarray) -> np.ndarray:
+        """The filters of every vector, one row of BEST for each."""
         turned = units @ self.rotation
-        scores = [turned[:, a:b] @ code.T for (a, b), code in zip(zip(self.cuts[:-1], self.cuts[1:]), self.codes)]
-        ahead = [sum((s.max(axis=1) for s in scores[i + 1 :]), np.zeros(len(units))) for i in range(len(scores))]
-        row, filter_, total = np.arange(len(units)), np.zeros(len(units), np.int64), np.zeros(len(units))
-        for s, rest in zip(scores, ahead):
-            sums = total[:, None] + s[row]
-            at, word = np.nonzero(sums + rest[row][:, None] > self.bound)
-            total, filter_, row = sums[at, word], filter_[at] * self.words + word, row[at]
-        return row, filter_
+        total, filters = np.zeros((len(units), len(self.ranks))), np.zeros((len(units), len(self.ranks)), np.int64)
+        for i, code in enumerate(self.codes):
+            scores = turned[:, self.cuts[i] : self.cuts[i + 1]] @ code.T
+            word = np.argpartition(-scores, BEST - 1, axis=1)[:, :BEST]
+            word = np.take_along_axis(word, np.argsort(-np.take_along_axis(scores, word, axis=1), axis=1, kind="stable"), axis=1)
+            total += np.take_along_axis(scores, word, axis=1)[:, self.ranks[:, i]]
+            filters = filters * self.words + word[:, self.ranks[:, i]]
+        return np.take_along_axis(filters, np.argpartition(-total, BEST - 1, axis=1)[:, :BEST], axis=1)
+
+
+def planted_pairs(dimensions: int, cosine: float, n: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
+    """Random unit vectors and for each another one at this cosine."""
+    x, y = np.random.default_rng([seed, dimensions]).normal(size=(2, n, dimensions))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    if dimensions == 1:
+        return x, x
+    y -= (x * y).sum(axis=1, keepdims=True) * x
+    y /= np.linalg.norm(y, axis=1, keepdims=True)
+    return x, cosine * x + math.sqrt(max(0.0, 1 - cosine * cosine)) * y
+
+
+def _share(dimensions: int, cosine: float) -> float:
+    """The share of all directions that lie within this cosine of one."""
+    angle = np.linspace(0, math.pi, 20001)
+    weight = np.sin(angle) ** max(0, dimensions - 2)
+    return float(weight[np.cos(angle) >= cosine].sum() / weight.sum())
+
+
+class ProductCode:
+    """Independent codes for vectors of one length, as many as pairs at the least cosine need to meet."""
+
+    def __init__(self, dimensions: int, n_vectors: int, min_cosine: float = MIN_COSINE):
+        # no more than leave the BEST of a vector spread as wide as its links
+        n_filters = int(min(max(LEAST_FILTERS, FILTERS_PER_VECTOR * n_vectors), BEST / max(_share(dimensions, min_cosine), 1e-18)))
+        x, y = planted_pairs(dimensions, min_cosine, PLANTED, SEED)
+        while True:
+            self.codes: list[_Code] = []
+            apart, left = np.arange(PLANTED), 1.0
+            # codes miss independently: what all of them would leave apart is known early
+            while len(apart) > MISS * PLANTED and (not self.codes or left ** (MOST_CODES / len(self.codes)) <= MISS) and len(self.codes) < MOST_CODES:
+                code = _Code(dimensions, n_filters, len(self.codes))
+                self.codes.append(code)
+                apart = np.concatenate([k[~self._meet(code, x[k], y[k])] for k in np.array_split(apart, -(-len(apart) // 256))])
+                left = len(apart) / PLANTED
+            if left <= MISS or n_filters <= BEST:
+                return
+            n_filters //= 4
+
+    @staticmethod
+    def _meet(code: _Code, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        return (code.decode(x)[:, :, None] == code.decode(y)[:, None, :]).any(axis=(1, 2))
+
+    def decode(self, units: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(row, filter): the best directions of every vector in every code."""
+        filters = np.concatenate([code.decode(units) * MOST_CODES + k for k, code in enumerate(self.codes)], axis=1)
+        return np.repeat(np.arange(len(units)), filters.shape[1]), filters.ravel()
+
+
+@lru_cache(maxsize=16)
+def _product_code(dimensions: int, n_vectors: int, min_cosine: float) -> ProductCode:
+    return ProductCode(dimensions, n_vectors, min_cosine)
 
 
 def _vectors(embeddings: DataFrame) -> DataFrame:
@@ -100,11 +161,10 @@ def links(classes: DataFrame, n_vectors: int, min_cosine: float = MIN_COSINE) ->
     """(a, b), a < b, of the classes(id, label, length, vector) found with this cosine or more."""
 
     def decode(batches):
-        codes: dict[int, ProductCode] = {}
         for batch in batches:
             sizes = batch.column(2).to_numpy(zero_copy_only=False)
             for d in np.unique(sizes).tolist():
-                code = codes.get(d) or codes.setdefault(d, ProductCode(d, n_vectors))
+                code = _product_code(d, n_vectors, min_cosine)
                 mine = batch.filter(pa.array(sizes == d))
                 for k in range(0, mine.num_rows, 256):
                     part = mine.slice(k, 256)

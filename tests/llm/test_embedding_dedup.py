@@ -64,3 +64,17 @@ def test_awkward_and_crowded(spark):
     got = sorted((r.vec_id, r.n_links, r.component_id) for r in embedding_dedup.near_vectors(df).collect())
     assert got == want
     assert embedding_dedup.near_vectors(df.where("false")).count() == 0
+
+
+def test_planted_pairs_share_a_filter_at_every_size():
+    for n_vectors in (10**3, 10**4, 10**5, 10**6, 10**7, 10**8):
+        code = embedding_dedup.ProductCode(64, n_vectors)
+        for cosine in (0.93, 0.95):
+            met = 0
+            for k in range(4):
+                sides = embedding_dedup.planted_pairs(64, cosine, 250, 100 + k)
+                caught = [code.decode(x) for x in sides]
+                assert all(set(row.tolist()) == set(range(250)) for row, _ in caught)
+                pairs = [set(zip(row.tolist(), filter_.tolist())) for row, filter_ in caught]
+                met += len({row for row, _ in pairs[0] & pairs[1]})
+            assert met >= 0.98 * 1000, (n_vectors, cosine, met)
