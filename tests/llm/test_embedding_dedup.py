@@ -78,3 +78,22 @@ def test_planted_pairs_share_a_filter_at_every_size():
                 pairs = [set(zip(row.tolist(), filter_.tolist())) for row, filter_ in caught]
                 met += len({row for row, _ in pairs[0] & pairs[1]})
             assert met >= 0.98 * 1000, (n_vectors, cosine, met)
+
+
+def test_planted_links_are_found_among_many_vectors(spark):
+    """Recall against brute force over a table that does have links, also with codes made for larger tables."""
+    rng = np.random.default_rng(9)
+    x = rng.normal(size=(3000, 64))
+    for cosine in (0.931, 0.95, 0.98):
+        x = np.concatenate([x, *embedding_dedup.planted_pairs(64, cosine, 200, int(1000 * cosine))])
+    rows = [(i, v.tolist(), 1) for i, v in enumerate(x)]
+    want = reference(rows)
+    assert len(want) >= 600
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    found = sum(r.n_links for r in embedding_dedup.near_vectors(df).collect()) / 2
+    assert 0.98 * len(want) <= found <= len(want)
+    classes = embedding_dedup._vectors(df).withColumnRenamed("vec_id", "id").select("id", "label", "length", "vector").cache()
+    for n_vectors in (10**6, 10**8):
+        got = {(r.a, r.b) for r in embedding_dedup.links(classes, n_vectors).collect()}
+        assert got <= want and len(got) >= 0.98 * len(want), n_vectors
+    classes.unpersist()
