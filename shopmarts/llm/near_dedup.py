@@ -4,9 +4,9 @@ A document is its set of 5-word shingles (64-bit hashes). Register i is the leas
 exponential values, on a logarithmic scale of base ``BASE`` cut to 16 bits: exponentially spaced,
 mergeable by maximum, and two sets agree in it about as often as their Jaccard similarity. Equal sets
 are one class. Classes meet in the buckets of ``BANDS`` bands of ``ROWS`` registers, which are cut from
-several orders of the registers; at the threshold a pair misses all of them with probability
-(1 - 0.75 ** 8) ** 112, about 8 in a million, while texts that only share a common passage (similarity
-0.3) meet in one case of a hundred. The joint likelihood of the registers estimates the similarity and
+several orders of the registers. The bands share registers, so how often a pair misses all of them is
+simulated: once in 1.2 million pairs at 0.75, none at 0.76. Texts that only share a common passage
+(similarity 0.3) meet in about one case of a hundred. The joint likelihood of the registers estimates the similarity and
 drops pairs ``MARGIN`` below the threshold (five standard deviations); the others are verified on full
 shingle sets.
 
@@ -36,7 +36,7 @@ from shopmarts.llm.textblocks import U64, SpanHasher, blocks, gram_hashes, mix64
 SHINGLE = 5
 PERCENT = 75
 REGISTERS = 256
-BANDS, ROWS = 112, 8
+BANDS, ROWS = 192, 8
 BASE = 1.001
 SCALE = 64.0
 MARGIN = 0.15

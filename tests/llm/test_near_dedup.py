@@ -97,3 +97,16 @@ def test_components_of_a_long_chain_and_a_hub(spark):
     got = {r.id: r.component for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert {got[i] for i in range(1, 41)} == {1} and {got[i] for i in range(100, 160)} == {50}
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_bands_miss_few_pairs_at_the_threshold():
+    """The bands share registers, so their miss is simulated: 200,000 pairs that agree in 75 % of them."""
+    rng = np.random.default_rng(1)
+    bands, missed = near_dedup._BANDED.reshape(near_dedup.BANDS, near_dedup.ROWS), 0
+    for _ in range(20):
+        agree = rng.random((10_000, near_dedup.REGISTERS), dtype=np.float32) < 0.75
+        apart = np.arange(len(agree))
+        for band in bands:
+            apart = apart[~agree[apart][:, band].all(axis=1)]
+        missed += len(apart)
+    assert missed <= 5
