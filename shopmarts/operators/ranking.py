@@ -5,7 +5,8 @@
 
 NTILE needs only the last row of each of the first k-1 tiles. A sample of the ordering tuples (those
 with the smallest hash, so it is the same on every run) splits the order into ``RANGES`` ranges; rows
-are counted per range, and only the ranges that hold one of those rows are sorted. Every row then gets
+are counted per range, and the ranges that hold one of those rows are split again, until ``RANGES`` to
+the power of the rounds reaches ``spark.sql.shuffle.partitions``. Only what is left is sorted. Every row then gets
 its tile by comparing its tuple with the k-1 found ones: no join, no full sort, no driver job.
 
 DENSE_RANK numbers the distinct values: Spark's range partitioner sends each range to its own
@@ -29,9 +30,15 @@ def tile_cuts(df: DataFrame, k: int, order_cols: list[str], *, ranges: int | Non
     """Ordering tuples of the last rows of tiles 1..k-1, as one array (a scalar subquery).
 
     ``order_cols`` (ascending, NULLs first) must make the order total. What is sorted by one task is a
-    range: about 1/``ranges`` of the rows, and at most k-1 ranges.
+    range: at most about 1/``spark.sql.shuffle.partitions`` of the rows, and at most k-1 ranges.
     """
-    p = max(2, ranges or RANGES)
+    held, last = _cut_ranges(df, k, order_cols, max(2, ranges or RANGES))
+    numbered = held.withColumn("place", F.row_number().over(Window.partitionBy("range").orderBy("key")))
+    return numbered.join(last, ["range", "place"]).agg(F.collect_list("key")).scalar()
+
+
+def _cut_ranges(df: DataFrame, k: int, order_cols: list[str], p: int) -> tuple[DataFrame, DataFrame]:
+    """(key, range) of the rows in ranges that hold a cut, and (range, place) of the cuts."""
     keys = df.select(F.struct(*order_cols).alias("key"))
     sample = keys.orderBy(F.xxhash64("key"), "key").limit(p * SAMPLE_PER_RANGE)
     nth = F.expr(f"filter(ordered, (x, i) -> i % {SAMPLE_PER_RANGE} = {SAMPLE_PER_RANGE - 1})")
@@ -46,9 +53,27 @@ def tile_cuts(df: DataFrame, k: int, order_cols: list[str], *, ranges: int | Non
     last = (sizes.withColumn("tile", F.explode(F.sequence(F.lit(1), F.lit(k - 1))))
             .withColumn("place", F.col("tile") * whole + F.least("tile", rest) - F.col("before"))
             .where("place between 1 and n").select("range", "place")) if k > 1 else sizes.where("false").select("range", F.lit(1).alias("place"))
-    held = ranged.join(last.select("range").distinct(), "range", "left_semi")
-    numbered = held.withColumn("place", F.row_number().over(Window.partitionBy("range").orderBy("key")))
-    return numbered.join(last, ["range", "place"]).agg(F.collect_list("key")).scalar()
+    held = ranged.select("key", F.col("range").cast("long")).join(last.select("range").distinct(), "range", "left_semi")
+    reached, wanted = p, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    while reached < wanted:
+        held, last = _split_again(held, last, k, p)
+        reached *= p
+    return held, last
+
+
+def _split_again(held: DataFrame, last: DataFrame, k: int, p: int) -> tuple[DataFrame, DataFrame]:
+    """The same with every range split into about ``p`` by a sample of its own."""
+    nth = F.expr(f"filter(ordered, (x, i) -> i % {SAMPLE_PER_RANGE} = {SAMPLE_PER_RANGE - 1})")
+    sample = held.orderBy(F.xxhash64("key"), "key").limit(p * SAMPLE_PER_RANGE * max(1, k - 1))
+    bounds = sample.groupBy("range").agg(F.array_sort(F.collect_list("key")).alias("ordered")).select("range", nth.alias("bounds"))
+    above = F.coalesce(F.size(F.filter("bounds", lambda b: b <= F.col("key"))), F.lit(0))
+    parts = held.join(F.broadcast(bounds), "range", "left").select("key", "range", (F.col("range") * (p * k) + above).alias("part"))
+    in_order = Window.partitionBy("range").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row per part
+    sizes = (parts.groupBy("range", "part").agg(F.count(F.lit(1)).alias("n"))
+             .withColumn("before", F.coalesce(F.sum("n").over(in_order), F.lit(0))))
+    found = (sizes.join(last, "range").withColumn("place", F.col("place") - F.col("before"))
+             .where("place between 1 and n").select(F.col("part").alias("range"), "place"))
+    return parts.select("key", F.col("part").alias("range")).join(found.select("range").distinct(), "range", "left_semi"), found
 
 
 def global_ntile(df: DataFrame, k: int, order_cols: list[str], out: str, *, ranges: int | None = None) -> DataFrame:

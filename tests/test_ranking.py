@@ -22,6 +22,23 @@ def test_global_ntile_equals_window(spark, n, ranges):
     assert sorted(map(tuple, got.select("id", "t").collect())) == sorted(map(tuple, want.select("id", "t").collect()))
 
 
+def test_ranges_that_hold_a_cut_follow_the_shuffle_partitions(spark):
+    df = _frame(spark, 6000, 0.5)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "60")
+        cuts = ranking.tile_cuts(df, 5, ["k", "id"], ranges=8)
+        got = spark.range(1).select(cuts.alias("c")).first().c
+        held, last = ranking._cut_ranges(df, 5, ["k", "id"], 8)
+        largest = max(r["count"] for r in held.groupBy("range").count().collect())
+        assert last.count() == 4
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    rows = sorted(map(tuple, df.select("k", "id").collect()))
+    assert sorted(map(tuple, got)) == [rows[i * 1200 - 1] for i in range(1, 5)]
+    assert largest < 6000 / 20
+
+
 def test_ntile_sizes_differ_by_at_most_one(spark):
     df = _frame(spark, 1003, 0.97)
     sizes = [r[1] for r in ranking.global_ntile(df, 5, ["k", "id"], "t", ranges=6).groupBy("t").count().collect()]
