@@ -105,7 +105,10 @@ class Block:
         ids = order.column("doc_id").to_pylist()
         self.ids = ids
         self.numbers = np.array([LAST_ID if i is None else i for i in ids], np.int64)
-        self.copy = np.array([i in copies for i in ids], bool)
+        # an id may stand on other texts too, so a copy is known by both
+        named = {i for i, _ in copies}
+        self.copy = np.array([i in named and (i, hashlib.sha256(self.data[a:b].tobytes()).hexdigest().encode()) in copies
+                              for i, a, b in zip(ids, self.offsets[:-1].tolist(), self.offsets[1:].tolist())], bool)
         place, prints = anchors(self.data, self.offsets)
         row = np.searchsorted(self.offsets, place, side="right") - 1
         mine = ~self.copy[row]
@@ -155,7 +158,8 @@ _RUNS = pa.schema([("bucket", pa.int64()), ("block", pa.int64()), ("common", pa.
 
 
 def _copies(notes: pa.Table) -> set:
-    return {n for k, n in zip(notes.column("kind").to_pylist(), notes.column("number").to_pylist()) if k == COPY}
+    """(id, digest) of the exact copies."""
+    return {(n, d) for k, n, d in zip(*(notes.column(c).to_pylist() for c in ("kind", "number", "data"))) if k == COPY}
 
 
 def _prints_of_block(bits: int):
@@ -458,7 +462,7 @@ def without_repeats(docs: DataFrame, with_text: bool = False, block_bytes: int =
     first = long_enough.groupBy("digest").agg(F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("copies")).where("copies > 1")
     copies = stored(
         long_enough.join(first, "digest").where("doc_id > first_id")
-        .select(in_block(F.col("doc_id")).alias("block"), F.lit(COPY).alias("kind"), F.col("doc_id").alias("number"), F.lit(None).cast("binary").alias("data")), "suffix-copies")
+        .select(in_block(F.col("doc_id")).alias("block"), F.lit(COPY).alias("kind"), F.col("doc_id").alias("number"), F.col("digest").cast("binary").alias("data")), "suffix-copies")
     dealt = texts.select(in_block(F.xxhash64("text")).alias("block"), "doc_id", "text").groupBy("block")
 
     prints = dealt.cogroup(copies.groupBy("block")).applyInArrow(_prints_of_block(bits), "bucket long, block long, prints binary, twice binary")

@@ -72,6 +72,13 @@ def test_awkward(spark, table):
     assert result(suffix_dedup.without_repeats(docs.where("length(coalesce(text, '')) < 6000"))) == expected(small)
 
 
+def test_an_id_on_a_copy_and_on_a_text_of_its_own(spark):
+    copied, own = "the very same words again and " * 4, "nobody else has written this line, not even 0123456789 in part"
+    rows = [(1, copied), (2, copied), (2, own), (3, own + " but more")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert result(suffix_dedup.without_repeats(df)) == expected(rows)
+
+
 @settings(max_examples=150, deadline=None)
 @given(st.lists(st.lists(st.text("ab\0", max_size=5).map(str.encode), max_size=8), min_size=1, max_size=9))
 def test_loser_tree_merges_front_coded_runs(parts):
