@@ -93,6 +93,16 @@ def remove_path(spark: SparkSession, path: str) -> None:
     store.delete(target, True)
 
 
+def write_bytes(spark: SparkSession, path: str, data: bytes) -> None:
+    """Write one file, made anew."""
+    store, target = _located(spark, path)
+    out = store.create(target, True)
+    try:
+        out.write(bytearray(data))
+    finally:
+        out.close()
+
+
 def release_scratch() -> None:
     """Remove every scratch folder handed out so far; frames that read one cannot be used afterwards."""
     while _SCRATCH:
