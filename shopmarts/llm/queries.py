@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from shopmarts.llm import embedding_dedup, langid, mixing, near_dedup, packing, pii, quality, suffix_dedup, toxicity, warc
+from shopmarts.llm import bpe, embedding_dedup, infilling, langid, mixing, near_dedup, packing, pii, quality, suffix_dedup, toxicity, warc, whitening
 from shopmarts.session import scratch_path
 
 
@@ -61,10 +62,26 @@ def op10_language(spark, sf_dir):
     return langid.languages(_table(spark, sf_dir, "documents"))
 
 
+def op11_infilling(spark, sf_dir):
+    rows = infilling.infilled(_table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+                       F.sha2(infilling.restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"))
+
+
+def op12_whitening(spark, sf_dir):
+    return whitening.whitened(_table(spark, sf_dir, "embeddings"))
+
+
+def op13_bpe(spark, sf_dir):
+    rows = bpe.coded(_table(spark, sf_dir, "documents"), public_tokenizer())
+    return rows.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+                       F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_suffix_dedup, op2_near_duplicates, op3_packing, op4_quality_rules, op5_toxicity, op6_source_mixing, op7_near_embeddings, op8_warc,
-        op9_personal_data, op10_language)
+        op9_personal_data, op10_language, op11_infilling, op12_whitening, op13_bpe)
 }
 
 OP6_SQL = r"""
@@ -105,4 +122,23 @@ SELECT s.doc_id, s.size, d.source_size, d.target, (s.size * (d.passes + d.more))
 FROM sized s JOIN decided d ON s.source IS NOT DISTINCT FROM d.source AND s.h = d.h
 """
 
-ORACLES: dict[str, str] = {"op6_source_mixing": OP6_SQL}
+OP11_SQL = r"""
+WITH cut AS (
+  SELECT doc_id, coalesce(text, '') AS t, length(coalesce(text, ''))::BIGINT AS n, sha256('1:' || coalesce(doc_id::VARCHAR, 'null')) AS h FROM documents
+), dealt AS (
+  SELECT *, least(('0x' || h[1:8])::BIGINT % (n + 1), ('0x' || h[9:16])::BIGINT % (n + 1)) AS a,
+         greatest(('0x' || h[1:8])::BIGINT % (n + 1), ('0x' || h[9:16])::BIGINT % (n + 1)) AS b,
+         CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR ('0x' || h[17:24])::BIGINT % 100 >= 90 THEN 'plain'
+              WHEN ('0x' || h[25:32])::BIGINT % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+  FROM cut
+), parts AS (
+  SELECT *, substring(t, 1, a) AS prefix, substring(t, a + 1, b - a) AS middle, substring(t, b + 1, n - b) AS suffix FROM dealt
+)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars, CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+              ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+       sha256(CASE form WHEN 'plain' THEN t ELSE prefix || middle || suffix END) AS restored_sha256
+FROM parts
+"""
+
+ORACLES: dict[str, str] = {"op6_source_mixing": OP6_SQL, "op11_infilling": OP11_SQL}

@@ -19,6 +19,11 @@ _BASE = 0x9E3779B97F4A7C15
 _BASE_INVERSE = pow(_BASE, -1, 1 << 64)
 
 
+def space_mask(data: np.ndarray) -> np.ndarray:
+    """Marks the bytes that separate words."""
+    return _SPACE[data]
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """A bijective scramble of 64-bit values."""
     x = x ^ (x >> U64(30))
