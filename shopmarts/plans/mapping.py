@@ -322,8 +322,8 @@ def export_raw_files(spark: SparkSession, sf_dir: str, raw_dir: str, prefix: str
     paths = {}
     for table, df in raw_frames(spark, sf_dir).items():
         path = f"{raw_dir.rstrip('/')}/{BY_TABLE[table].file_name(prefix)}"
-        if BY_TABLE[table].multiline:  # whole-file reads: several files keep the scan parallel
-            df = df.repartition(spark.sparkContext.defaultParallelism)
+        if BY_TABLE[table].multiline:  # one file with line breaks in its fields, which many tasks read
+            df = df.repartition(1)
         write_raw(df, path)
         paths[table] = path
     return paths

@@ -86,22 +86,36 @@ def category_labels(t: Tables, collation: str | None = None) -> DataFrame:
     return p.join(tr, "_k", "left").select("product_id", label.alias("category"))
 
 
+def collated_labels(labels: DataFrame, collation: str) -> DataFrame:
+    """category -> its group (the least spelling that the collation holds equal) and its number in it."""
+    spellings = Window.partitionBy(F.collate("category", collation)).orderBy(F.col("category"))
+    return labels.select("category").distinct().select(
+        "category", F.first("category").over(spellings).alias("group"), F.row_number().over(spellings).alias("spelling"))
+
+
 def category_revenue(t: Tables, collation: str | None = None) -> DataFrame:
     """category label -> distinct delivered orders and Σ price (all groups, before any limit).
 
     ``collation`` (e.g. 'UNICODE_CI_AI') compares names as a case-insensitive warehouse would (T15), in
     the translation lookup and in the grouping, which shows the least spelling; the default compares bytes.
+    Facts carry the group and the number of the spelling, so their aggregates stay hash aggregates; the
+    spelling itself is looked up for the finished groups.
     """
     items = t["order_items"].select("order_id", "product_id", "price")
     delivered = delivered_orders(t).select("order_id")
-    group = F.collate("category", collation) if collation else F.col("category")
-    labelled = (items.join(delivered, "order_id", "left_semi")
-                .join(category_labels(t, collation), "product_id")
-                .select("order_id", "price", "category", group.alias("_group")))
+    labels = category_labels(t, collation)
+    keys, least = ["category"], []
+    if collation:
+        spelled = collated_labels(labels, collation)
+        labels = labels.join(spelled, "category").select("product_id", "group", "spelling")
+        keys, least = ["group"], [F.min("spelling").alias("spelling")]
+    labelled = items.join(delivered, "order_id", "left_semi").join(labels, "product_id")
     # distinct (category, order) first: COUNT(DISTINCT order) without an Expand of every item row
-    per_cat_order = labelled.groupBy("_group", "order_id").agg(F.sum("price").alias("price"), F.min("category").alias("category"))
-    return per_cat_order.groupBy("_group").agg(F.min("category").alias("category"), F.count(F.lit(1)).cast("long").alias("orders"),
-                                               F.sum("price").alias("rev")).drop("_group")
+    per_order = labelled.groupBy(*keys, "order_id").agg(F.sum("price").alias("price"), *least)
+    groups = per_order.groupBy(*keys).agg(F.count(F.lit(1)).cast("long").alias("orders"), F.sum("price").alias("rev"), *least)
+    if collation:
+        groups = groups.join(spelled, ["group", "spelling"])
+    return groups.select("category", "orders", "rev")
 
 
 def with_share(df: DataFrame, value: str, out: str, digits: int) -> DataFrame:
@@ -354,9 +368,10 @@ def mart_order_histogram(t: Tables) -> DataFrame:
 def mart_freight_by_region(t: Tables, min_orders: int = 100) -> DataFrame:
     """Per customer state, averages per item; same-state share per item (NULL compares skipped).
 
-    Items meet their order's state on order_id first. Sums go to (customer state, seller), which is
-    small, before sellers are joined for the same-state share; orders are counted from (state, order),
-    which the order_id partitioning already holds together. Seller references hold (the S12 gate).
+    Items collapse to (order, seller) and meet their order's state once. The first seller of each order
+    carries the order, so sums and order counts come out of the same aggregates: by (state, seller), which
+    is small, before sellers are joined for the same-state share, then by state. Seller references hold
+    (the S12 gate).
     """
     items = t["order_items"]
     fs = _scale(items, "freight_value")
@@ -367,16 +382,14 @@ def mart_freight_by_region(t: Tables, min_orders: int = 100) -> DataFrame:
     per_seller = items.groupBy("order_id", "seller_id").agg(
         F.count(F.lit(1)).alias("n_items"), F.count("freight_value").alias("f_n"), F.sum("freight_value").alias("f_sum"),
         F.sum(ratio).alias("r_sum"), F.count(ratio).alias("r_n"))
-    sums = ["n_items", "f_n", "f_sum", "r_sum", "r_n"]
-    joined = per_seller.join(state, "order_id")
+    sums = ["n_items", "f_n", "f_sum", "r_sum", "r_n", "orders"]
+    first = as_int(F.row_number().over(Window.partitionBy("order_id").orderBy("seller_id")) == 1)
+    joined = per_seller.join(state, "order_id").withColumn("orders", first)
     pairs = joined.groupBy("customer_state", "seller_id").agg(*[F.sum(c).alias(c) for c in sums]).join(s, "seller_id")
     same = as_int(F.col("seller_state") == F.col("customer_state"))
-    totals = pairs.groupBy("customer_state").agg(
+    g = pairs.groupBy("customer_state").agg(
         *[F.sum(c).alias(c) for c in sums], F.sum(F.col("n_items") * same).alias("same_n"),
-        F.sum(F.when(same.isNotNull(), F.col("n_items"))).alias("cmp_n"))
-    orders = joined.groupBy("order_id", "customer_state").agg(F.lit(1).alias("one")).groupBy("customer_state").agg(
-        F.sum("one").alias("orders")).select(F.col("customer_state").alias("_state"), "orders")
-    g = totals.join(orders.where(F.col("orders") >= min_orders), F.col("customer_state").eqNullSafe(F.col("_state")))
+        F.sum(F.when(same.isNotNull(), F.col("n_items"))).alias("cmp_n")).where(F.col("orders") >= min_orders)
     return (g.select(
         "customer_state", F.col("orders").cast("long"),
         rounded(dec_div("f_sum", "f_n", fs + 4, num_scale=fs), 2).alias("avg_freight"),

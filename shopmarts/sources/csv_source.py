@@ -3,8 +3,8 @@
 A raw file may be one file or a folder of part files. The header of every part file is checked against
 the contract as a *set* of names; files are read in groups of equal header and united by name, so no
 value is ever bound by position. Rows with more fields than the header and values that do not fit their
-type are counted in the scan, for the pipeline to gate on. Only the free-text review file is read with
-``multiLine`` (quoted newlines), which makes one task of each part file: larger ones are refused.
+type are counted in the scan, for the pipeline to gate on. The free-text review file, whose quoted fields
+hold line breaks, is cut into records by ``quoted_lines``, so one large file is read by many tasks too.
 """
 
 from __future__ import annotations
@@ -21,13 +21,13 @@ from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
 from shopmarts.functions.exprs import na_to_null
+from shopmarts.sources import quoted_lines
 from shopmarts.sources.contracts import CONTRACTS, FileContract
 
 ORDINAL = "_file_order"
 SURPLUS = "_surplus"          # true for a row with more fields than its header
 _RAW_ROW = "_raw_row"
 _MARK = "\u0002end"
-MULTILINE_FILE_BYTES = 4 << 30
 HEADER_THREADS = 16
 
 
@@ -75,17 +75,15 @@ def check_header(name: str, actual: list[str], expected) -> None:
         raise ValueError(f"Header of {name} breaks its contract. Missing: {absent}; unexpected: {strange}; repeated: {twice}")
 
 
-def file_headers(spark: SparkSession, path: str, max_bytes: int | None = None) -> dict[tuple[str, ...], list[str]]:
+def file_headers(spark: SparkSession, path: str) -> dict[tuple[str, ...], list[str]]:
     """Header -> part files that have it. First lines are read through the file system, some at a time;
-    no data is scanned. ``max_bytes`` refuses larger part files."""
+    no data is scanned."""
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     codecs = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf)
 
     def first_line(uri: str) -> tuple[str, tuple[str, ...]]:
         target = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(uri))
         store = target.getFileSystem(conf)
-        if max_bytes is not None and (size := store.getFileStatus(target).getLen()) > max_bytes:
-            raise ValueError(f"{uri} has {size} bytes, but a file with quoted line breaks is read by one task: split it into files of {max_bytes}")
         stream, codec = store.open(target), codecs.getCodec(target)
         try:
             plain = codec.createInputStream(stream) if codec else stream
@@ -115,14 +113,28 @@ def read_text(spark: SparkSession, path, multiline: bool = False, columns=None)
     schema = T.StructType([T.StructField(c, T.StringType()) for c in [*columns, _RAW_ROW]])
     # a pruned parser would not look at the fields that a query leaves out
     df = reader.option("enforceSchema", False).option("columnPruning", False).option("columnNameOfCorruptRecord", _RAW_ROW).schema(schema).csv(path)
-    # only a row whose number of fields is wrong keeps its text; behind it goes a mark, and where the mark
-    # is among the first n + 1 fields the row has n fields at most
-    names = [f"f{i}" for i in range(len(columns) + 1)]
-    again = F.from_csv(F.concat(_RAW_ROW, F.lit(f",{_MARK}")), ", ".join(f"{n} string" for n in names),
-                       {"escape": '"', "multiLine": str(multiline).lower()})
-    short = F.coalesce(F.array_contains(F.array(*[again[n] for n in names]), _MARK), F.lit(False))
-    surplus = F.when(F.col(_RAW_ROW).isNotNull(), ~short).otherwise(False)
-    return df.withColumn(SURPLUS, surplus).drop(_RAW_ROW)
+    # only a row whose number of fields is wrong keeps its text
+    fields = _fields(F.col(_RAW_ROW), len(columns))
+    return df.withColumn(SURPLUS, F.when(F.col(_RAW_ROW).isNotNull(), ~_complete(fields, len(columns))).otherwise(False)).drop(_RAW_ROW)
+
+
+def _fields(record: F.Column, n: int) -> F.Column:
+    """The first n + 1 fields of a record and a mark behind it."""
+    return F.from_csv(F.concat(record, F.lit(f",{_MARK}")), ", ".join(f"f{i} string" for i in range(n + 1)), {"escape": '"', "multiLine": "true"})
+
+
+def _complete(fields: F.Column, n: int) -> F.Column:
+    """Whether the mark is among the n + 1 fields: the record has n fields at most."""
+    return F.coalesce(F.array_contains(F.array(*[fields[f"f{i}"] for i in range(n + 1)]), _MARK), F.lit(False))
+
+
+def read_quoted_text(spark: SparkSession, path, columns) -> DataFrame:
+    """S3 for files with line breaks in quoted fields: as ``read_text`` with ``columns``, read in ranges; also
+    the file, the range and the place in it of each record (``_file``, ``_block``, ``_place``)."""
+    rows = quoted_lines.records(spark, path).where("block > 0 or number > 0")  # without the header
+    rows = rows.select(F.col("file").alias("_file"), F.col("block").alias("_block"), F.col("number").alias("_place"), _fields(F.col("value"), len(columns)).alias("f"))
+    field = lambda i: F.when(F.col(f"f.f{i}") != _MARK, F.col(f"f.f{i}"))
+    return rows.select("_file", "_block", "_place", *[field(i).alias(c) for i, c in enumerate(columns)], (~_complete(F.col("f"), len(columns))).alias(SURPLUS))
 
 
 def read_contract(spark: SparkSession, raw_dir: str, contract: FileContract, prefix: str = "",
@@ -134,20 +146,19 @@ def read_contract(spark: SparkSession, raw_dir: str, contract: FileContract, pre
     ``surplus`` adds the mark of rows with too many fields.
     """
     path = raw_path(raw_dir, contract, prefix)
-    groups = file_headers(spark, path, MULTILINE_FILE_BYTES if contract.multiline else None)
+    groups = file_headers(spark, path)
     if not groups:
         raise FileNotFoundError(f"No raw data at {path}")
     for header in groups:
         check_header(contract.file_name(prefix), list(header), contract.columns)
     cols = [na_to_null(c).alias(c) if na_tokens else F.col(c) for c in contract.columns]
     if ordinal:
-        order = F.struct(F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_block_start").alias("b"),
-                         F.monotonically_increasing_id().alias("r"))
-        cols.append(order.alias(ORDINAL))
+        place = ("_file", "_block", "_place") if contract.multiline else ("_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id())
+        cols.append(F.struct(*[(F.col(c) if isinstance(c, str) else c).alias(n) for c, n in zip(place, "fbr")]).alias(ORDINAL))
     if surplus:
         cols.append(F.col(SURPLUS))
-    parts = [read_text(spark, path if len(groups) == 1 else files, contract.multiline, header).select(*cols)
-             for header, files in sorted(groups.items())]
+    read = read_quoted_text if contract.multiline else read_text
+    parts = [read(spark, path if len(groups) == 1 else files, columns=header).select(*cols) for header, files in sorted(groups.items())]
     return reduce(DataFrame.unionByName, parts)
 
 

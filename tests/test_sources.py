@@ -117,11 +117,3 @@ def test_empty_folder_is_missing(spark, tmp_dir):
     assert not report["orders_dataset.csv"].present and report["orders_dataset.csv"].rows is None
     with pytest.raises(FileNotFoundError):
         csv_source.check_presence(spark, tmp_dir, [BY_TABLE["orders"]])
-
-
-def test_large_file_with_line_breaks_is_refused(spark, tmp_dir, monkeypatch):
-    c = BY_TABLE["order_reviews"]
-    _write(f"{tmp_dir}/{c.file_name()}", ",".join(c.columns) + "\n")
-    monkeypatch.setattr(csv_source, "MULTILINE_FILE_BYTES", 10)
-    with pytest.raises(ValueError, match="split it"):
-        csv_source.read_contract(spark, tmp_dir, c)
