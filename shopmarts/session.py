@@ -10,6 +10,7 @@ import atexit
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
@@ -103,6 +104,34 @@ def write_bytes(spark: SparkSession, path: str, data: bytes) -> None:
         out.close()
 
 
+def create_file(spark: SparkSession, path: str, data: bytes) -> bool:
+    """Create one small file unless it is there; False if another writer has been first.
+
+    Hadoop's local file system looks and creates in two steps, so there the operating system creates;
+    other stores do it in one.
+    """
+    store, target = _located(spark, path)
+    store.mkdirs(target.getParent())
+    if store.getScheme() == "file":
+        try:
+            with open(target.toUri().getPath(), "xb") as f:
+                f.write(data)
+            return True
+        except FileExistsError:
+            return False
+    try:
+        out = store.create(target, False)
+    except Py4JJavaError:
+        if store.exists(target):
+            return False
+        raise
+    try:
+        out.write(bytearray(data))
+    finally:
+        out.close()
+    return True
+
+
 def release_scratch() -> None:
     """Remove every scratch folder handed out so far; frames that read one cannot be used afterwards."""
     while _SCRATCH:

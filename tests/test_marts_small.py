@@ -135,3 +135,42 @@ def test_payment_mix_reads_payments_once(spark, small):
 def test_order_counts_need_no_second_exchange(spark, small):
     plan = marts.orders_per_person(small)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Aggregate") == 1
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.fixture()
+def large_plans(spark):
+    """Plans as for facts that cannot be broadcast."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield spark
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_category_revenue_has_hash_aggregates_only(large_plans):
+    t = mapping.model_tables(large_plans, SF_SMALL)
+    for collation in (None, "UNICODE_CI_AI"):
+        assert "SortAggregate" not in _plan(marts.category_revenue(t, collation))
+
+
+def test_collated_categories_show_the_least_spelling_that_sells(spark):
+    t = {
+        "orders": spark.createDataFrame([(o, "delivered") for o in range(1, 7)], "order_id long, order_status string"),
+        "products": spark.createDataFrame([(1, "toys"), (2, "Toys"), (3, "TOYS"), (4, "books"), (5, None)], "product_id long, product_category_name string"),
+        "product_category_translation": spark.createDataFrame([], "product_category_name string, product_category_name_english string"),
+        "order_items": spark.createDataFrame([(1, 1, 2), (1, 2, 3), (2, 2, 5), (3, 1, 1), (4, 4, 4), (5, 5, 6)], "order_id long, product_id long, price int").selectExpr(
+            "order_id", "product_id", "CAST(price AS DECIMAL(10,2)) AS price"),
+    }
+    rows = {r.category: (r.orders, int(r.rev)) for r in marts.category_revenue(t, "UNICODE_CI_AI").collect()}
+    assert rows == {"Toys": (3, 11), "books": (1, 4), "uncategorized": (1, 6)}  # nothing of TOYS was sold
+    rows = {r.category: (r.orders, int(r.rev)) for r in marts.category_revenue(t).collect()}
+    assert rows == {"toys": (2, 3), "Toys": (2, 8), "books": (1, 4), "uncategorized": (1, 6)}
+
+
+def test_freight_by_region_reads_every_fact_once(large_plans):
+    plan = _plan(marts.mart_freight_by_region(mapping.model_tables(large_plans, SF_SMALL)))
+    assert plan.count("lineitem.parquet") == 1
+    assert plan.count("/orders.parquet") == 2  # orders, and the orders that stand for customer ids in the model
+    assert plan.count("customer.parquet") == plan.count("supplier.parquet") == 1
