@@ -71,6 +71,7 @@ def blocks(column: pa.Array, block_bytes: int = BLOCK_BYTES):
         end = min(max(end, row + 1), n)
         yield row, end, data[offsets[row] : offsets[end]], offsets[row : end + 1] - offsets[row]
         row = end
+    pa.default_memory_pool().release_unused()
 
 
 def word_bounds(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

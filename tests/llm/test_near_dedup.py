@@ -35,9 +35,13 @@ def reference(rows):
         for j in {j for x in s for j in where[x] if j < i}:
             if root(i) != root(j) and 100 * len(s & sets[j]) >= 75 * len(s | sets[j]):
                 parent[root(i)] = root(j)
+    first = {}
+    for i, (doc, _) in enumerate(rows):  # an id is one document
+        if doc is not None and sets[i]:
+            parent[root(i)] = root(first.setdefault(doc, i))
     least = {}
     for i, (doc, _) in enumerate(rows):
-        if doc is not None:
+        if doc is not None and sets[i]:
             least[root(i)] = min(doc, least.get(root(i), doc))
     return [(doc, len(sets[i]), least.get(root(i)) if sets[i] else doc) for i, (doc, _) in enumerate(rows)]
 
@@ -80,6 +84,49 @@ def test_awkward(spark, table):
     assert kept.count() == sum(doc == c for doc, _, c in reference(rows))
 
 
+def test_one_id_with_several_texts(spark):
+    a, b = ([f"{c}{k}" for k in range(60)] for c in "ab")
+    rows = [(1, " ".join(a)), (1, " ".join(b)), (2, " ".join(a + ["x"])), (3, " ".join(b + ["y"])), (5, " ".join(b)), (5, "c " * 9), (4, "c " * 9),
+            (1, None), (7, " ".join(a[:30])), (7, ""), (None, " ".join(b)), (None, "d e f"), (None, "d e f")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = result(near_dedup.near_duplicates(df))
+    assert got == sorted(reference(rows), key=str)
+    assert {c for d, n, c in got if d in (1, 2, 3, 4, 5) and n} == {1}
+    assert sorted(r.doc_id for r in near_dedup.distinct_documents(df).collect() if r.doc_id) == [1, 1, 1, 7, 7]
+
+
+def _classes(sets):
+    """Sets of numbers as the frames that the second round reads."""
+    shingles = [(i, np.array(sorted(x), "<u8").tobytes()) for i, x in enumerate(sets)]
+    return shingles, [(i, len(x), i, i % 3 != 0) for i, x in enumerate(sets)]
+
+
+def test_prefix_index_meets_every_link_and_few_others(spark):
+    rng = random.Random(4)
+    base, sets = list(range(1, 201)), []
+    for k in range(150):  # a family around the threshold, sizes from 150 to 260
+        x = set(rng.sample(base, rng.randrange(150, 200))) | {1000 + 100 * k + j for j in range(rng.randrange(60))}
+        sets.append(x)
+    sets += [set(rng.sample(range(10_000), rng.randrange(1, 40))) for _ in range(60)] + [{1}, {1, 2}, {1, 2, 3, 4}, {1, 2, 3}]
+    shingles, classes = _classes(sets)
+    index = near_dedup._prefix_index(spark.createDataFrame(shingles, "id long, shingles binary"),
+                                     spark.createDataFrame(classes, "id long, n long, component long, minor boolean"))
+    got = {(r.a, r.b) for r in near_dedup._prefix_pairs(index).collect()}
+    pairs = [(a, b) for b in range(len(sets)) for a in range(b) if a % 3 or b % 3]
+    links = {(a, b) for a, b in pairs if 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b])}
+    assert len(links) > 200 and links <= got
+
+
+def test_copies_below_the_threshold_do_not_meet(spark):
+    """Each text of the family differs from the base in a sixth of its shingles: no two of them link or meet."""
+    sets = [set(range(1000)) - set(range(k, 1000, 6)) | {10_000 * (k + 1) + j for j in range(167)} for k in range(6)]
+    sets += [set(range(1000)) - {(7 * k + 6 * j) % 1000 for j in range(167)} | {10_000 * (k + 10) + j for j in range(170)} for k in range(200)]
+    shingles, classes = _classes(sets)
+    index = near_dedup._prefix_index(spark.createDataFrame(shingles, "id long, shingles binary"),
+                                     spark.createDataFrame(classes, "id long, n long, component long, minor boolean"))
+    assert near_dedup._prefix_pairs(index).count() < len(sets)
+
+
 def test_estimate_is_near_the_similarity():
     rng = np.random.default_rng(5)
     for share in (0.3, 0.6, 0.75, 0.9, 1.0):
