@@ -3,9 +3,10 @@
 Byte 2-, 3- and 4-grams of the lower-cased text, with everything but letters as one blank, are hashed
 into ``2 ** BITS`` rows of an embedding; a text is the mean of its rows, and a linear softmax on top
 gives the language. Both layers are trained together by stochastic gradient descent in numpy, on a
-bounded sample: at most ``TRAIN_DOCS`` documents per language and ``TRAIN_BYTES`` of each, with short
-pieces of them as further examples. A fifth of the sample sets the temperature of the scores and the
-score below which a prediction is marked ``rejected``. Whole texts are classified.
+bounded sample: at most ``TRAIN_DOCS`` documents per language, of each a stretch of ``TRAIN_BYTES`` and two
+short ones, from hashed places of the whole text. A fifth of the documents are not trained on; they set
+the temperature of the scores and the score below which a prediction is marked ``rejected``. Whole texts
+are classified.
 
 Defined results: ``und`` with score 0 where a text is null or has no letter, and where no language was
 learned; repeated rows each give a row; a null id is held out.
@@ -13,12 +14,15 @@ learned; repeated rows each give a row; a null id is held out.
 
 from __future__ import annotations
 
+import zlib
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shopmarts.llm.sampling import held_out, labelled_sample, with_texts
+from shopmarts.llm.stored import bounded_batches
 from shopmarts.llm.textblocks import blocks
 
 BITS = 15
@@ -26,9 +30,12 @@ DIMENSIONS = 16
 ORDERS = (2, 3, 4)
 TRAIN_DOCS = 500
 TRAIN_BYTES = 6000
+SHORT_BYTES = (40, 200)
 EPOCHS = 6
 LEARNING_RATE = 0.6
 PRECISION = 0.99
+SLICE_GRAMS = 1 << 17
+SLICE_LANGUAGES = 16
 
 _FOLD = np.full(256, 32, np.uint8)
 _FOLD[97:123] = np.arange(97, 123)
@@ -63,14 +70,16 @@ class LanguageModel:
         self.temperature, self.reject_below = 1.0, 0.0
 
     @classmethod
-    def fit(cls, examples: list[tuple[str, np.ndarray, np.ndarray]]) -> LanguageModel:
+    def fit(cls, examples: list[tuple[str, np.ndarray, np.ndarray]], checked: list[bool] | None = None) -> LanguageModel:
+        """``checked`` marks examples that only calibrate; all pieces of a document go together."""
         languages = sorted({e[0] for e in examples})
         place = {name: i for i, name in enumerate(languages)}
         rng = np.random.default_rng(7)
         embedding = rng.uniform(-1, 1, (1 << BITS, DIMENSIONS)) / DIMENSIONS
         out, bias = np.zeros((DIMENSIONS, len(languages))), np.zeros(len(languages))
-        train = [e for i, e in enumerate(examples) if i % 5]
-        check = [e for i, e in enumerate(examples) if i % 5 == 0] or train
+        checked = checked or [False] * len(examples)
+        train = [e for e, c in zip(examples, checked) if not c] or examples
+        check = [e for e, c in zip(examples, checked) if c] or train
         steps, done = EPOCHS * len(train), 0
         for _ in range(EPOCHS):
             for i in rng.permutation(len(train)):
@@ -109,19 +118,22 @@ class LanguageModel:
         self.reject_below = float(best[order[precise[-1]]]) if len(precise) else 1.0
 
     def predict(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(index of the language, score) of every row of a block."""
-        n = len(offsets) - 1
-        total, count = np.zeros((n, len(self.languages))), np.zeros(n)
+        """(index of the language, score) of every row of a block; scores are gathered for some languages and
+        some grams at a time, so memory is that of a slice, whatever the number of languages or the text's length."""
+        n, wide = len(offsets) - 1, len(self.languages)
+        total, count = np.zeros((n, wide)), np.zeros(n)
         for order, rows in _grams(data).items():
             # grams that start in a row and end in it
             start, end = offsets[:-1], np.maximum(offsets[1:] - order + 1, offsets[:-1])
-            some = np.flatnonzero(end > start)
-            if len(some) == 0:
-                continue
-            cuts = np.stack([start[some], end[some]], axis=1).ravel()
-            values = np.append(self.table[rows], np.zeros((1, len(self.languages)), np.float32), axis=0)
-            total[some] += np.add.reduceat(values, np.minimum(cuts, len(rows)), axis=0)[::2]
-            count[some] += (end - start)[some]
+            count += end - start
+            for a in range(0, len(rows), SLICE_GRAMS):
+                b = min(a + SLICE_GRAMS, len(rows))
+                low, high = np.clip(start, a, b) - a, np.clip(end, a, b) - a
+                some = np.flatnonzero(high > low)
+                cuts = np.stack([low[some], high[some]], axis=1).ravel()
+                for k in range(0, wide if len(some) else 0, SLICE_LANGUAGES):
+                    values = np.append(self.table[rows[a:b], k : k + SLICE_LANGUAGES], np.zeros((1, min(SLICE_LANGUAGES, wide - k)), np.float32), axis=0)
+                    total[some, k : k + SLICE_LANGUAGES] += np.add.reduceat(values, cuts, axis=0)[::2]
         z = (total / np.maximum(count, 1)[:, None] + self.bias) / self.temperature
         z = np.exp(z - z.max(axis=1, keepdims=True))
         z /= z.sum(axis=1, keepdims=True)
@@ -149,24 +161,35 @@ def fit_language_model(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> Languag
             out = []
             for row, end, data, offsets in blocks(batch.column(2)):
                 for k in range(row, end):
-                    text = data[offsets[k - row] : offsets[k - row + 1]][:TRAIN_BYTES]
-                    name = batch.column(1)[k].as_py()
-                    middle = len(text) // 3
-                    for piece in (text, text[middle : middle + 40], text[middle : middle + 200]):
-                        if len(piece) >= 4:
-                            rows, share = _counts(piece)
-                            out.append((name, rows.tobytes(), share.tobytes()))
-            yield pa.RecordBatch.from_arrays([pa.array([o[i] for o in out], t) for i, t in enumerate((pa.string(), pa.binary(), pa.binary()))], names=["lang", "rows", "share"])
-
-    rows = sample.select("doc_id", F.col("label").cast("string"), "text").mapInArrow(examples, "lang string, rows binary, share binary").collect()
-    rows = sorted({(r["lang"], bytes(r["rows"]), bytes(r["share"])) for r in rows}, key=lambda r: (r[1], r[0], r[2]))
+                    text = data[offsets[k - row] : offsets[k - row + 1]]
+                    name, mark = batch.column(1)[k].as_py(), zlib.crc32(text)
+                    for piece in training_pieces(text, mark):
+                        rows, share = _counts(piece)
+                        out.append((name, mark % 5 == 0, rows.tobytes(), share.tobytes()))
+            yield pa.RecordBatch.from_arrays([pa.array([o[i] for o in out], t) for i, t in enumerate((pa.string(), pa.bool_(), pa.binary(), pa.binary()))],
+                                             names=["lang", "checked", "rows", "share"])
+
+    rows = sample.select("doc_id", F.col("label").cast("string"), "text").mapInArrow(examples, "lang string, checked boolean, rows binary, share binary").collect()
+    rows = sorted({(r["lang"], r["checked"], bytes(r["rows"]), bytes(r["share"])) for r in rows}, key=lambda r: (r[2], r[0], r[3], r[1]))
     if not rows:
         return None
-    return LanguageModel.fit([(name, np.frombuffer(a, "<u2").astype(np.int64), np.frombuffer(b, "<f4").astype(float)) for name, a, b in rows])
+    return LanguageModel.fit([(name, np.frombuffer(a, "<u2").astype(np.int64), np.frombuffer(b, "<f4").astype(float)) for name, _, a, b in rows], [c for _, c, _, _ in rows])
+
+
+def training_pieces(text: np.ndarray, mark: int) -> list[np.ndarray]:
+    """A long stretch of the text and short ones, from places that its hash picks; stretches begin at a character."""
+    out = []
+    for turn, size in enumerate((TRAIN_BYTES, *SHORT_BYTES)):
+        at = zlib.crc32(b"%d" % turn, mark) % max(1, len(text) - size + 1)
+        while at and text[at] & 0xC0 == 0x80:
+            at -= 1
+        out.append(text[at : at + size])
+    return [piece for piece in out if len(piece) >= 4]
 
 
 def languages(docs: DataFrame, model: LanguageModel | None = None) -> DataFrame:
     """doc_id, held_out, lang_pred, score and rejected for every row."""
+    bounded_batches(docs.sparkSession)
     model = model or fit_language_model(docs)
     schema = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("lang_pred", pa.string()), ("score", pa.float64()), ("rejected", pa.bool_())])
 

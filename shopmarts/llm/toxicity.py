@@ -8,7 +8,7 @@ explain toxic documents not explained yet, which leaves out words that only come
 An exception phrase (an entry with the word before or after it) that occurs in clean texts only voids
 the matches inside it. A logistic curve on the weight found and on the weight per word gives the score.
 
-Parameters of the fit: ``TRAIN_DOCS`` documents per class, ``CANDIDATES`` entries to choose from. Whole
+Parameter of the fit: ``TRAIN_DOCS`` documents per class, one text of each. Whole
 texts are scored. Defined results: a null or empty text has no match and the score of such; without
 labels of both classes every score is 0; repeated rows each give a row; a null id is held out.
 """
@@ -18,7 +18,9 @@ from __future__ import annotations
 import math
 import re
 import unicodedata
+from bisect import bisect_right
 from collections import Counter, defaultdict
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -26,9 +28,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shopmarts.llm.sampling import held_out, labelled_sample, with_texts
+from shopmarts.llm.stored import bounded_batches
 
 TRAIN_DOCS = 4000
-CANDIDATES = 20000
 SHORTEST, LONGEST = 4, 8
 MIN_SUPPORT = 4
 COVER_DEPTH = 3
@@ -101,7 +103,12 @@ class Lexicon:
                 void.append((at, last))
             elif weight > best.get(at, 0.0):
                 best[at] = weight
-        return {a: w for a, w in best.items() if not any(s <= a < e for s, e in void)} if void else best
+        if not void:
+            return best
+        void.sort()
+        starts = [s for s, _ in void]
+        reach = list(accumulate((e for _, e in void), max))  # how far the phrases that begin up to here go
+        return {a: w for a, w in best.items() if not (k := bisect_right(starts, a)) or a >= reach[k - 1]}
 
     def score(self, weight: float, n_words: int) -> float:
         a, b, c = self.curve
@@ -189,7 +196,7 @@ def fit_lexicon(docs: DataFrame, labels: DataFrame, train_docs: int = TRAIN_DOCS
         distinct.mapInArrow(_unit_counts, "unit string, label int, n long").groupBy("unit")
         .agg(F.sum(F.when(F.col("label") == 1, F.col("n")).otherwise(0)).alias("toxic"), F.sum(F.when(F.col("label") == 0, F.col("n")).otherwise(0)).alias("clean"))
         .where(F.col("toxic") >= MIN_SUPPORT).withColumn("weight", odds).where(F.col("weight") >= MIN_LOG_ODDS)
-        .orderBy(F.desc(F.col("weight")), F.desc("toxic"), "unit").limit(CANDIDATES).collect()
+        .collect()  # all entries of the bounded sample that reach the bounds
     )
     weights = {r["unit"]: r["weight"] for r in candidates}
     clean = {r["unit"]: r["clean"] for r in candidates}
@@ -235,6 +242,7 @@ def fit_lexicon(docs: DataFrame, labels: DataFrame, train_docs: int = TRAIN_DOCS
 
 def toxicity(docs: DataFrame, labels: DataFrame, lexicon: Lexicon | None = None) -> DataFrame:
     """doc_id, held_out, score, predicted and n_matches for every row."""
+    bounded_batches(docs.sparkSession)
     lexicon = lexicon or fit_lexicon(docs, labels)
     schema = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("score", pa.float64()), ("predicted", pa.int32()), ("n_matches", pa.int64())])
 

@@ -1,7 +1,11 @@
 """Held-out accuracy of the fitted models, and their defined results."""
+import random
+
+import numpy as np
+import pyarrow as pa
 import pytest
 
-from shopmarts.llm import langid, queries, toxicity
+from shopmarts.llm import langid, quality, queries, sampling, toxicity
 from tests.llm import brute
 
 SF = "/root/testdata/sf0.1"
@@ -49,3 +53,93 @@ def test_folding_and_exceptions():
     found = lambda t: len(lexicon.found(lexicon.matcher(), toxicity._line(words(t))))
     assert found("you cl0wn and moronic clowns") == 2 and found("a clown fish swims") == 0 and found("clown fish clown") == 1
     assert lexicon.score(5.0, 10) > 0.5 > lexicon.score(0.0, 10)
+
+
+def _labelled(spark, sf="/root/testdata/sf0.01"):
+    return spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
+
+
+def test_planted_boilerplate_lines_are_told_from_the_prose_around(spark):
+    docs, labels = _labelled(spark)
+    field = quality.fit_line_field(docs, labels)
+    marked = docs.join(labels, "doc_id")
+    good = [r.text for r in marked.where("quality = 1").orderBy("doc_id").limit(60).collect() if r.text.count("\n") >= 4]
+    bad = [r.text.split("\n") for r in marked.where("quality = 0").orderBy("doc_id").limit(30).collect()]
+    junk = ["Home | About | Login | Help | Contact", "*** $$$ ### *** &&& %%% ***", "<div> | <a> | </a> | </div>", "BUY!!! NOW!!! $$$ 50% ***"]
+    junk += [line for lines in bad for line in lines if sum(c in "#*$%&|<>" for c in line) >= 4][:20]
+    right = total = mixed = 0
+    for k, text in enumerate(good):
+        lines = [x for x in text.split("\n") if x.strip()]
+        head, foot = [junk[(k + j) % len(junk)] for j in range(3)], [junk[(2 * k + j) % len(junk)] for j in range(2)]
+        whole = "\n".join([*head, *lines, *foot]).encode()
+        m = quality.measure(np.frombuffer(whole, np.uint8), np.array([0, len(whole)]))
+        found = field.decode(m["features"], m["line_row"])
+        expected = np.array([False] * 3 + [True] * len(lines) + [False] * 2)
+        right, total = right + int((found == expected).sum()), total + len(expected)
+        share = quality.judge(pa.array([whole.decode()]), field)["content_share"][0]
+        mixed += 0 < share < 1
+    assert len(good) > 30 and right >= 0.95 * total and mixed >= 0.95 * len(good)
+
+
+def test_stretches_lie_in_the_whole_text():
+    assert quality.stretches(200, 1) == [(0, 200)]
+    starts = {a for mark in range(300) for a, b in quality.stretches(10_000, mark) if b - a == quality.STRETCH_LINES and b <= 10_000}
+    assert min(starts) < 500 and max(starts) > 9500 and len(starts) > 800
+
+
+def test_pieces_of_a_language_lie_in_the_whole_text():
+    text = np.frombuffer(("é" * 30_000).encode(), np.uint8)
+    for mark in range(50):
+        for piece in langid.training_pieces(text, mark):
+            assert piece[0] & 0xC0 != 0x80
+    ends = [langid.training_pieces(np.frombuffer(bytes([97 + k // 1000 for k in range(20_000)]), np.uint8), mark)[1][0] for mark in range(200)]
+    assert min(ends) == 97 and max(ends) >= 97 + 18
+    assert langid.training_pieces(np.frombuffer(b"abc", np.uint8), 1) == []
+
+
+def test_language_scores_do_not_depend_on_slices(monkeypatch):
+    rng = np.random.default_rng(3)
+    model = langid.LanguageModel([f"l{k}" for k in range(37)], rng.normal(size=(1 << langid.BITS, 37)), rng.normal(size=37))
+    texts = [b"", b"a", b"ab", "Straße über".encode(), b"words and more words " * 30, b"xyz"]
+    data, offsets = np.frombuffer(b"".join(texts), np.uint8), np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+
+    def alone(text):
+        """One text: the mean of the rows of its n-grams."""
+        low = bytes(c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or c > 127 else 32 for c in text)
+        rows = [int(langid._grams(np.frombuffer(low[k : k + n], np.uint8))[n][0]) for n in langid.ORDERS for k in range(len(low) - n + 1)]
+        z = (np.mean([model.table[r] for r in rows], axis=0) if rows else 0) + model.bias
+        p = np.exp(z - z.max())
+        return int(p.argmax()), float((p / p.sum()).max())
+
+    for grams, wide in ((1 << 17, 16), (7, 5), (64, 100)):
+        monkeypatch.setattr(langid, "SLICE_GRAMS", grams)
+        monkeypatch.setattr(langid, "SLICE_LANGUAGES", wide)
+        which, score = model.predict(data, offsets)
+        for k, text in enumerate(texts):
+            assert (which[k], round(score[k], 5)) == (alone(text)[0], round(alone(text)[1], 5))
+
+
+def test_sample_is_bounded_for_hot_classes_and_hot_ids(spark):
+    ids = spark.range(60_000).selectExpr("IF(id % 3 = 0, 7, id) AS doc_id", "IF(id % 10 = 0, 'b', 'a') AS label")
+    sample = sampling.labelled_sample(ids, "label", 1500)
+    counts = {r["label"]: r["count"] for r in sample.groupBy("label").count().collect()}
+    assert counts["a"] == counts["b"] == 1500
+    texts = sampling.with_texts(spark.createDataFrame([(7, "a"), (8, "a")], "doc_id long, label string"),
+                                spark.range(100_000).selectExpr("IF(id < 99999, 7, 8) AS doc_id", "concat('text ', id % 5000) AS text"))
+    assert sorted(r.doc_id for r in texts.collect()) == [7, 8]
+
+
+def test_matches_against_every_entry_at_every_word(spark):
+    rng = random.Random(6)
+    words = ["bad", "badly", "ban", "good", "not", "so", "b4d", "BAD", "very", "dab"]
+    lexicon = toxicity.Lexicon({" bad": 2.0, " ban ": 1.5, " dab": 1.0}, {" not bad ", " bad good ", " so dab "}, (1.0, 0.5, -2.0))
+    matcher = lexicon.matcher()
+    for _ in range(400):
+        line = toxicity._line(toxicity.folded_words(" ".join(rng.choices(words, k=rng.randrange(12)))))
+        void = [(k, k + len(p)) for p in lexicon.exceptions for k in range(len(line)) if line.startswith(p, k)]
+        expected = {}
+        for k in range(len(line)):
+            for entry, weight in lexicon.weights.items():
+                if line.startswith(entry, k) and not any(a <= k and k + len(entry) <= b for a, b in void):
+                    expected[k] = max(weight, expected.get(k, 0.0))
+        assert toxicity.Lexicon.found(matcher, line) == expected, line
