@@ -29,7 +29,9 @@ class FileContract:
     tinyint: tuple[str, ...] = ()
     foreign_keys: tuple[tuple[tuple[str, ...], str, tuple[str, ...]], ...] = ()
     renames: dict[str, str] = field(default_factory=dict)    # raw name -> published name
-    multiline: bool = False              # free text with quoted newlines: read whole files
+    multiline: bool = False              # free text with quoted newlines
+    bucket_by: str | None = None         # published in buckets of this column, ...
+    cluster_by: str | None = None        # ... each ordered by this one (default: bucket_by)
 
     def file_name(self, prefix: str = "") -> str:
         return self.file_stem if self.table == "product_category_translation" else prefix + self.file_stem
@@ -88,7 +90,8 @@ CONTRACTS: tuple[FileContract, ...] = (
             ("order_delivered_customer_date", TS), ("order_estimated_delivery_date", TS)),
         key=("order_id",), not_null=("order_id", "customer_id", "order_status", "order_purchase_timestamp"),
         widths={"order_id": 32, "customer_id": 32, "order_status": 20},
-        foreign_keys=((("customer_id",), "customers", ("customer_id",)),)),
+        foreign_keys=((("customer_id",), "customers", ("customer_id",)),),
+        bucket_by="order_id", cluster_by="order_purchase_timestamp"),
     FileContract(
         "order_items", "order_items_dataset.csv",
         ("order_id", "order_item_id", "product_id", "seller_id", "shipping_limit_date", "price", "freight_value"),
@@ -98,7 +101,8 @@ CONTRACTS: tuple[FileContract, ...] = (
         not_null=("order_id", "order_item_id", "product_id", "seller_id", "price", "freight_value"),
         widths={"order_id": 32, "product_id": 32, "seller_id": 32},
         foreign_keys=((("order_id",), "orders", ("order_id",)), (("product_id",), "products", ("product_id",)),
-                      (("seller_id",), "sellers", ("seller_id",)))),
+                      (("seller_id",), "sellers", ("seller_id",))),
+        bucket_by="order_id"),
     FileContract(
         "order_payments", "order_payments_dataset.csv",
         ("order_id", "payment_sequential", "payment_type", "payment_installments", "payment_value"),
@@ -107,7 +111,7 @@ CONTRACTS: tuple[FileContract, ...] = (
         key=("order_id", "payment_sequential"),
         not_null=("order_id", "payment_sequential", "payment_type", "payment_installments", "payment_value"),
         widths={"order_id": 32, "payment_type": 20},
-        foreign_keys=((("order_id",), "orders", ("order_id",)),)),
+        foreign_keys=((("order_id",), "orders", ("order_id",)),), bucket_by="order_id"),
     FileContract(
         "order_reviews", "order_reviews_dataset.csv",
         ("review_id", "order_id", "review_score", "review_comment_title", "review_comment_message",
@@ -116,7 +120,7 @@ CONTRACTS: tuple[FileContract, ...] = (
             ("review_comment_message", S), ("review_creation_date", TS), ("review_answer_timestamp", TS)),
         key=("review_id", "order_id"), not_null=("review_id", "order_id", "review_score"),
         widths={"review_id": 32, "order_id": 32}, tinyint=("review_score",),
-        foreign_keys=((("order_id",), "orders", ("order_id",)),), multiline=True),
+        foreign_keys=((("order_id",), "orders", ("order_id",)),), multiline=True, bucket_by="order_id"),
 )
 
 BY_TABLE: dict[str, FileContract] = {c.table: c for c in CONTRACTS}
