@@ -96,10 +96,11 @@ def source_plan(sized: DataFrame, weights=WEIGHTS, max_repeats: int = MAX_REPEAT
         F.coalesce("cut", F.lit(1 << HASH_BITS)).alias("cut"), F.coalesce("take_cut", F.lit(False)).alias("take_cut"))
 
 
-def times_column(h: Column) -> Column:
-    """How often the mix takes a document, beside the columns of ``source_plan``."""
+def times_column(h: Column, max_repeats: int = MAX_REPEATS) -> Column:
+    """How often the mix takes a document, beside the columns of ``source_plan``; documents without a word
+    weigh nothing and so may lie below any cut, but none is taken more often than allowed."""
     more = (h < F.col("cut")) | ((h == F.col("cut")) & F.col("take_cut"))
-    return F.col("passes") + F.when(more, 1).otherwise(0)
+    return F.least(F.col("passes") + F.when(more, 1).otherwise(0), F.lit(max_repeats))
 
 
 def mixture(docs: DataFrame, weights=WEIGHTS, max_repeats: int = MAX_REPEATS) -> DataFrame:
@@ -108,7 +109,7 @@ def mixture(docs: DataFrame, weights=WEIGHTS, max_repeats: int = MAX_REPEATS) ->
                                 hash_column(F.col("doc_id")).alias("h")), "mixing-sizes")
     plan = stored(source_plan(sized, weights, max_repeats), "mixing-plan").withColumnRenamed("source", "s")
     return sized.join(plan, F.col("source").eqNullSafe(F.col("s"))).select(
-        "doc_id", "source", "size", "source_size", "target", (F.col("size") * times_column(F.col("h"))).alias("taken"))
+        "doc_id", "source", "size", "source_size", "target", (F.col("size") * times_column(F.col("h"), max_repeats)).alias("taken"))
 
 
 def mixed_documents(docs: DataFrame, weights=WEIGHTS, max_repeats: int = MAX_REPEATS) -> DataFrame:
@@ -117,6 +118,6 @@ def mixed_documents(docs: DataFrame, weights=WEIGHTS, max_repeats: int = MAX_REP
                     "mixing-sizes")
     plan = stored(source_plan(sized, weights, max_repeats), "mixing-plan").withColumnRenamed("source", "s")
     rows = docs.select(F.struct(*docs.columns).alias("row"), hash_column(F.col("doc_id")).alias("h"))
-    times = F.array_repeat(F.lit(0), times_column(F.col("h")).cast("int"))
+    times = F.array_repeat(F.lit(0), times_column(F.col("h"), max_repeats).cast("int"))
     joined = rows.join(plan, F.col("row.source").eqNullSafe(F.col("s")))
     return joined.select("row", F.explode(times)).select("row.*")

@@ -38,7 +38,15 @@ def test_mix_awkward(spark, table):
     assert all(0 <= r.taken <= 3 * r.size and r.taken % max(r.size, 1) == 0 for r in rows)
     out = mixing.mixed_documents(docs)
     assert out.columns == docs.columns
-    assert out.count() == sum(r.taken // r.size for r in rows if r.size) + out.where(mixing.size_column(F.col("text")) == 0).count()
+    assert out.where(mixing.size_column(F.col("text")) > 0).count() == sum(r.taken // r.size for r in rows if r.size)
+
+
+def test_documents_without_words_are_not_taken_too_often(spark):
+    """A source far below its target is taken three times; its empty texts must not come a fourth time."""
+    rows = [(k, "a" if k < 400 else "b", "" if k % 4 == 0 else "word " * (1 if k < 400 else 50)) for k in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    counts = {r.doc_id: r["count"] for r in mixing.mixed_documents(docs, weights=(9, 1)).groupBy("doc_id").count().collect()}
+    assert max(counts.values()) == 3 and all(counts[k] == 3 for k in range(400))
 
 
 def test_mix_comes_near_and_is_repeatable(spark):
