@@ -255,11 +255,13 @@ def linked_classes(docs: DataFrame, classes: DataFrame, known: DataFrame) -> Dat
     """(id, component) of the classes(id, n, key1, key2, registers) that link with another; ``known`` are
     links (a, b) that hold anyway."""
     banded = _banded(classes)
-    shared = banded.groupBy("key").agg(F.count(F.lit(1)).alias("members"), F.min("id").alias("leader")).where("members > 1")
-    members = stored(banded.join(shared.select("key", "leader"), "key"), "near-members")
+    # most buckets hold one class: count first, with nothing but the key
+    shared = banded.groupBy("key").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
+    members = stored(banded.join(shared.select("key"), "key"), "near-members")
+    leaders = members.groupBy("key").agg(F.min("id").alias("leader"))
     sets = stored(_full_sets(docs, classes.join(members.select("id").distinct(), "id", "left_semi")), "near-sets")
 
-    first = members.where("id <> leader").select(F.col("leader").alias("a"), F.col("id").alias("b")).distinct()
+    first = members.join(leaders, "key").where("id <> leader").select(F.col("leader").alias("a"), F.col("id").alias("b")).distinct()
     links = stored(_verified(_likely(first, classes), sets).unionByName(known), "near-links")
     found = components(links)
 
