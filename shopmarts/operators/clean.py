@@ -7,7 +7,8 @@ Order-dependent pandas semantics are made explicit:
 
 Dedup and collapse are aggregates (``max``/``min_by`` over structs), not windows: they combine
 map-side, so a key that holds a third of all rows is reduced before the shuffle instead of being
-sorted in one task.
+sorted in one task. Book columns (``contracts.BOOK``) are summed over the rows that become one, so what
+a step drops is known exactly, also where a stage runs twice.
 """
 
 from __future__ import annotations
@@ -16,13 +17,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shopmarts.functions.exprs import DEFAULT_TS_FORMAT, clean_code, clean_text, to_datetime
-from shopmarts.sources.contracts import BY_TABLE
+from shopmarts.sources.contracts import BOOK_GONE, BY_TABLE, book_columns
 
 ORDINAL = "_file_order"
 MEAN_SCALE = 8
 
 
 # --------------------------------------------------------------------------- building blocks
+def _book_sums(df: DataFrame) -> list:
+    return [F.sum(c).alias(c) for c in book_columns(df.columns)]
+
+
 def parse_datetimes(df: DataFrame, cols, fmt: str | None = DEFAULT_TS_FORMAT) -> DataFrame:
     """Text -> timestamp_ntz, unparsable -> NULL."""
     return df.withColumns({c: to_datetime(c, fmt) for c in cols})
@@ -57,11 +62,12 @@ def keep_latest(df: DataFrame, keys, ts: str, nulls: str = "newest", ignore=(ORD
     Ties on the time are broken by the remaining columns (greatest wins), so the result is total.
     """
     keys = list(keys)
-    rest = [c for c in df.columns if c not in keys and c != ts and c not in ignore]
+    books = book_columns(df.columns)
+    rest = [c for c in df.columns if c not in keys and c != ts and c not in ignore and c not in books]
     flag = F.col(ts).isNull() if nulls == "newest" else F.col(ts).isNotNull()
     best = F.max(F.struct(flag.alias("_flag"), F.col(ts).alias(ts), *[F.col(c) for c in rest])).alias("_best")
-    out = df.groupBy(*keys).agg(best)
-    return out.select(*keys, *[F.col(f"_best.{c}").alias(c) for c in [ts, *rest]]).select(
+    out = df.groupBy(*keys).agg(best, *_book_sums(df))
+    return out.select(*keys, *[F.col(f"_best.{c}").alias(c) for c in [ts, *rest]], *books).select(
         *[c for c in df.columns if c not in ignore])
 
 
@@ -72,10 +78,11 @@ def keep_first(df: DataFrame, keys, order_col: str = ORDINAL, collation: str | N
     row's own spelling is kept.
     """
     keys = list(keys)
-    kept = [c for c in df.columns if c != order_col]
+    books = book_columns(df.columns)
+    kept = [c for c in df.columns if c != order_col and c not in books]
     groups = [F.collate(c, collation).alias(f"_k{i}") if collation else F.col(c).alias(f"_k{i}") for i, c in enumerate(keys)]
     first = F.min_by(F.struct(*[F.col(c) for c in kept]), F.col(order_col)).alias("_first")
-    return df.groupBy(*groups).agg(first).select(*keys_first(keys, kept))
+    return df.groupBy(*groups).agg(first, *_book_sums(df)).select(*keys_first(keys, kept), *books)
 
 
 def keys_first(keys, kept) -> list:
@@ -89,14 +96,17 @@ def first_non_null(col: str, order_col: str) -> F.Column:
 
 
 def collapse_by_key(df: DataFrame, key: str, means=(), firsts=(), order_col: str = ORDINAL) -> DataFrame:
-    """One row per key: mean of ``means``, first non-NULL of ``firsts``; NULL keys dropped (T4).
+    """One row per key: mean of ``means``, first non-NULL of ``firsts``; NULL keys dropped (T4). With book
+    columns the NULL key stays as one row marked ``BOOK_GONE``, for its records to be counted.
 
     Means are taken over DECIMAL values of ``MEAN_SCALE`` digits and cast to double once, so they do
     not depend on how rows are partitioned (T5).
     """
     aggs = [F.avg(F.col(c).cast(f"decimal(28,{MEAN_SCALE})")).cast("double").alias(c) for c in means]
     aggs += [first_non_null(c, order_col).alias(c) for c in firsts]
-    return df.where(F.col(key).isNotNull()).groupBy(key).agg(*aggs)
+    if not book_columns(df.columns):
+        return df.where(F.col(key).isNotNull()).groupBy(key).agg(*aggs)
+    return df.groupBy(key).agg(*aggs, *_book_sums(df)).withColumn(BOOK_GONE, F.col(key).isNull().cast("long"))
 
 
 # --------------------------------------------------------------------------- one transform per table
@@ -165,5 +175,5 @@ def transform_all(raw: dict[str, DataFrame], collation: str | None = None) -> di
     for table, fn in TRANSFORMS.items():
         cleaned = fn(raw[table], collation=collation) if table == "product_category_translation" else fn(raw[table])
         names = BY_TABLE[table].schema.fieldNames()
-        out[table] = cleaned.select(*names)
+        out[table] = cleaned.select(*names, *book_columns(cleaned.columns))
     return out

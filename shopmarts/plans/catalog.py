@@ -6,6 +6,7 @@ Every key reads the driver tables (through ``mapping``) so its work grows with t
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -185,8 +186,8 @@ def q_src_mixed_headers(spark, sf_dir):
     return _money_as_double(clean.transform_payments(df).select(*c.schema.fieldNames()))
 
 
-def q_src_rejects(spark, sf_dir):
-    """Items with values that do not fit their type, by column, and rows with a field too many."""
+def _bad_items(spark, sf_dir) -> tuple[str, object]:
+    """Items file with values that do not fit their type and rows with a field too many."""
     c = BY_TABLE["order_items"]
     raw_dir = scratch_path(spark, "raw-rejects")
     key = F.col("order_id").cast("long")
@@ -198,10 +199,25 @@ def q_src_rejects(spark, sf_dir):
     plain, header = [F.coalesce(F.col(x), F.lit("")) for x in c.columns], ",".join(c.columns)
     lines = bad.select(F.concat_ws(",", *plain, F.when(key % 37 == 0, "surplus")).alias("value"))
     mapping.write_lines(lines, header, f"{raw_dir}/{c.file_name()}")
+    return raw_dir, c
+
+
+def q_src_rejects(spark, sf_dir):
+    """Items with values that do not fit their type, by column, and rows with a field too many."""
+    raw_dir, c = _bad_items(spark, sf_dir)
     raw = csv_source.read_contract(spark, raw_dir, c, ordinal=False, surplus=True)
     return csv_source.rejects_report(raw, c).select(F.lit(c.table).alias("table"), "column", "rejects")
 
 
+def q_src_quarantine(spark, sf_dir):
+    """Every value and record that a run would not take as it is, one row each."""
+    raw_dir, c = _bad_items(spark, sf_dir)
+    rows = csv_source.quarantined(csv_source.read_contract(spark, raw_dir, c, surplus=True), c)
+    field = lambda name: F.get_json_object("record", f"$.{name}")
+    return rows.select("table", "column", "reason", "value", field("order_id").alias("order_id"), field("product_id").alias("product_id"),
+                       field("seller_id").alias("seller_id"), F.col("place").isNotNull().alias("placed"))
+
+
 def q_t_geolocation(spark, sf_dir):
     """C6 and C13 through the CSV files, whose order decides which city and state come first."""
     c = BY_TABLE["geolocation"]
@@ -232,10 +248,32 @@ def q_reconcile_counts(spark, sf_dir):
 
 
 def q_pipeline_row_counts(spark, sf_dir):
-    """Records read and rows published, per table."""
+    """Records read, rows published and records dropped by deduplicating steps, per table."""
+    _, _, result = _pipeline_run(spark, sf_dir)
+    return spark.createDataFrame([(t, *counts) for t, counts in result.row_counts.items()],
+                                 "table string, raw_rows long, published_rows long, dropped_rows long")
+
+
+def q_sink_empty_table(spark, sf_dir):
+    """A run whose review file has a header and no records publishes the table with its contract's columns."""
+    base = scratch_path(spark, "pipeline")
+    mapping.export_raw_files(spark, sf_dir, f"{base}/raw", without=("order_reviews",))
+    pipeline.run_pipeline(spark, f"{base}/raw", f"{base}/warehouse")
+    parts = []
+    for table, df in pipeline.warehouse(spark, f"{base}/warehouse").items():
+        same = [(f.name, f.dataType) for f in df.schema.fields] == [(f.name, f.dataType) for f in BY_TABLE[table].schema.fields]
+        parts.append(df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(table).alias("table"), F.lit(len(df.columns)).cast("long").alias("columns"),
+                                                                   F.lit(same).alias("as_declared"), "rows"))
+    return reduce(DataFrame.unionAll, parts)
+
+
+def q_load_order(spark, sf_dir):
+    """The order in which a run takes its tables; every referenced table comes before those that refer to it."""
     _, _, result = _pipeline_run(spark, sf_dir)
-    return spark.createDataFrame([(t, raw, out) for t, (raw, out) in result.row_counts.items()],
-                                 "table string, raw_rows long, published_rows long")
+    order = list(result.row_counts)
+    rows = [(place, t, all(order.index(parent) < place for _, parent, _ in BY_TABLE[t].foreign_keys), len(BY_TABLE[t].foreign_keys), result.row_counts[t][1])
+            for place, t in enumerate(order)]
+    return spark.createDataFrame(rows, "position long, table string, after_its_references boolean, references long, rows long")
 
 
 def q_pipeline_end_to_end(spark, sf_dir):
@@ -447,9 +485,12 @@ QUERIES: dict[str, Query] = {
     "src_header_check": q_src_header_check,
     "src_mixed_headers": q_src_mixed_headers,
     "src_rejects": q_src_rejects,
+    "src_quarantine": q_src_quarantine,
     "conform_types": q_conform_types,
     "reconcile_counts": q_reconcile_counts,
     "pipeline_row_counts": q_pipeline_row_counts,
+    "sink_empty_table": q_sink_empty_table,
+    "load_order": q_load_order,
     "pipeline_end_to_end": q_pipeline_end_to_end,
     "sink_overwrite_idempotent": q_sink_overwrite_idempotent,
     "dq_unique": q_dq_unique,

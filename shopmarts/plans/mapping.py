@@ -313,8 +313,9 @@ def write_raw(df: DataFrame, path: str) -> None:
     write_csv(df, path)
 
 
-def export_raw_files(spark: SparkSession, sf_dir: str, raw_dir: str, prefix: str = "") -> dict[str, str]:
-    """Write the nine raw files (one CSV folder each) derived from the driver tables.
+def export_raw_files(spark: SparkSession, sf_dir: str, raw_dir: str, prefix: str = "", without=()) -> dict[str, str]:
+    """Write the nine raw files (one CSV folder each) derived from the driver tables; those of the tables
+    ``without`` have a header only.
 
     Files with a defined order (translation, geolocation) are written so that "first in file order" is
     well defined for the keep-first and collapse steps.
@@ -322,6 +323,10 @@ def export_raw_files(spark: SparkSession, sf_dir: str, raw_dir: str, prefix: str
     paths = {}
     for table, df in raw_frames(spark, sf_dir).items():
         path = f"{raw_dir.rstrip('/')}/{BY_TABLE[table].file_name(prefix)}"
+        if table in without:
+            write_lines(df.where("false").select(F.lit("").alias("value")), ",".join(BY_TABLE[table].columns), path, files=1)
+            paths[table] = path
+            continue
         if BY_TABLE[table].multiline:  # one file with line breaks in its fields, which many tasks read
             df = df.repartition(1)
         write_raw(df, path)

@@ -604,7 +604,22 @@ SELECT "table", n AS published, CASE "table" WHEN 'geolocation' THEN (SELECT COU
 FROM ({_TABLE_COUNTS}) t"""
 
 PIPELINE_ROW_COUNTS = f"""
-SELECT "table", CAST(raw AS BIGINT) AS raw_rows, CAST(published AS BIGINT) AS published_rows FROM ({_RAW_COUNTS}) c"""
+SELECT "table", CAST(raw AS BIGINT) AS raw_rows, CAST(published AS BIGINT) AS published_rows,
+  CAST(raw - published AS BIGINT) AS dropped_rows FROM ({_RAW_COUNTS}) c"""
+
+# Columns of the nine published tables.
+SINK_EMPTY_TABLE = f"""
+SELECT t."table", CAST(c.columns AS BIGINT) AS columns, TRUE AS as_declared, CAST(CASE WHEN t."table" = 'order_reviews' THEN 0 ELSE t.n END AS BIGINT) AS rows
+FROM ({_TABLE_COUNTS}) t JOIN (VALUES ('geolocation', 5), ('customers', 5), ('sellers', 4), ('product_category_translation', 2), ('products', 9),
+  ('orders', 8), ('order_items', 7), ('order_payments', 5), ('order_reviews', 7)) c("table", columns) ON t."table" = c."table"
+"""
+
+# The nine tables, parents first, and how many references each has.
+LOAD_ORDER = f"""
+SELECT CAST(o.position AS BIGINT) AS position, t."table", TRUE AS after_its_references, CAST(o.refs AS BIGINT) AS "references", CAST(t.n AS BIGINT) AS rows
+FROM ({_TABLE_COUNTS}) t JOIN (VALUES (0, 'geolocation', 0), (1, 'customers', 0), (2, 'sellers', 0), (3, 'product_category_translation', 0), (4, 'products', 0),
+  (5, 'orders', 1), (6, 'order_items', 3), (7, 'order_payments', 1), (8, 'order_reviews', 1)) o(position, "table", refs) ON t."table" = o."table"
+"""
 
 SRC_PRESENCE = f"""
 SELECT CASE "table" WHEN 'product_category_translation' THEN 'product_category_name_translation.csv' ELSE "table" || '_dataset.csv' END
@@ -617,6 +632,15 @@ SELECT 'order_items' AS "table", "column", CAST(COALESCE(n, 0) AS BIGINT) AS rej
   UNION ALL SELECT 'freight_value', COUNT(*) FILTER (WHERE l_orderkey % 23 = 0 AND l_orderkey % 7 <> 0) FROM lineitem
   UNION ALL SELECT '*', COUNT(*) FILTER (WHERE l_orderkey % 37 = 0) FROM lineitem) r"""
 
+_BAD_ITEMS = (("order_item_id", "not int", "'first'", "l_orderkey % 31 = 0"),
+              ("price", "not decimal(10,2)", "'EUR ' || CAST(CAST(l_extendedprice AS DECIMAL(12,2)) AS VARCHAR)", "l_orderkey % 19 = 0"),
+              ("freight_value", "not decimal(10,2)", "'1e12'", "l_orderkey % 23 = 0 AND l_orderkey % 7 <> 0"),
+              ("*", "surplus fields", "CAST(NULL AS VARCHAR)", "l_orderkey % 37 = 0"))
+SRC_QUARANTINE = " UNION ALL ".join(f"""
+SELECT 'order_items' AS "table", '{column}' AS "column", '{reason}' AS reason, {value} AS value, CAST(l_orderkey AS VARCHAR) AS order_id,
+  CAST(l_partkey AS VARCHAR) AS product_id, CAST(l_suppkey AS VARCHAR) AS seller_id, TRUE AS placed
+FROM lineitem WHERE {condition}""" for column, reason, value, condition in _BAD_ITEMS)
+
 _LAT, _LNG = (f"CAST(c_acctbal / {d} AS DECIMAL(12,6))" for d in (100, -50))
 T_GEOLOCATION = f"""
 WITH raw AS (
@@ -683,6 +707,7 @@ ORACLES.update({
     "src_na_tokens": SRC_NA_TOKENS, "src_header_check": SRC_HEADER_CHECK, "conform_types": CONFORM_TYPES,
     "reconcile_counts": RECONCILE_COUNTS, "sink_overwrite_idempotent": SINK_OVERWRITE_IDEMPOTENT,
     "pipeline_row_counts": PIPELINE_ROW_COUNTS, "src_presence": SRC_PRESENCE, "src_rejects": SRC_REJECTS,
+    "src_quarantine": SRC_QUARANTINE, "sink_empty_table": SINK_EMPTY_TABLE, "load_order": LOAD_ORDER,
     "src_mixed_headers": T_PAYMENTS, "t_geolocation": T_GEOLOCATION,
     "pipeline_end_to_end": PIPELINE_END_TO_END, "dq_unique": DQ_UNIQUE, "dq_foreign_key": DQ_FOREIGN_KEY,
     "dq_not_null": DQ_NOT_NULL, "dq_domain": DQ_DOMAIN,

@@ -123,6 +123,17 @@ CONTRACTS: tuple[FileContract, ...] = (
         foreign_keys=((("order_id",), "orders", ("order_id",)),), multiline=True, bucket_by="order_id"),
 )
 
+# Columns of this prefix travel with the rows through the cleaning steps and are summed where rows merge;
+# the sink counts them in the write's own stage and leaves them out of the table.
+BOOK = "_book_"
+BOOK_ROWS = f"{BOOK}rows"             # raw records that the row stands for
+BOOK_GONE = f"{BOOK}gone"             # 1 for a row that is counted but not published
+
+
+def book_columns(columns) -> list[str]:
+    return [c for c in columns if c.startswith(BOOK)]
+
+
 BY_TABLE: dict[str, FileContract] = {c.table: c for c in CONTRACTS}
 
 # Parents before children: the order the foreign-key checks and the report follow.

@@ -22,10 +22,11 @@ from pyspark.sql.utils import AnalysisException
 
 from shopmarts.functions.exprs import na_to_null
 from shopmarts.sources import quoted_lines
-from shopmarts.sources.contracts import CONTRACTS, FileContract
+from shopmarts.sources.contracts import BOOK, BOOK_ROWS, CONTRACTS, FileContract
 
 ORDINAL = "_file_order"
 SURPLUS = "_surplus"          # true for a row with more fields than its header
+BOOK_SURPLUS, BOOK_REJECT = f"{BOOK}surplus", f"{BOOK}reject_"
 _RAW_ROW = "_raw_row"
 _MARK = "\u0002end"
 HEADER_THREADS = 16
@@ -186,14 +187,35 @@ def _cast_targets(contract: FileContract, keep_text=(T.TimestampNTZType,)):
             yield raw, dtype
 
 
-def reject_exprs(contract: FileContract) -> list:
-    """Per cast column: values non-NULL as text but NULL after the cast (aggregate expressions).
+def _rejected(raw: str, dtype: T.DataType) -> str:
+    """SQL: the text is there and does not fit the type."""
+    return f"(try_cast(`{raw}` AS {dtype.simpleString()}) IS NULL AND `{raw}` IS NOT NULL)"
 
-    Attach them with ``raw.observe(Observation(), *reject_exprs(c))`` so they are counted in the
-    same pass as the write, not in an extra scan.
-    """
-    return [F.expr(f"sum(CAST(try_cast(`{raw}` AS {dtype.simpleString()}) IS NULL AND `{raw}` IS NOT NULL"
-                   f" AS BIGINT)) AS `{raw}`") for raw, dtype in _cast_targets(contract)]
+
+def booked(raw: DataFrame, contract: FileContract) -> DataFrame:
+    """The rows with their book columns instead of the ``SURPLUS`` mark: one record each, whether it has
+    surplus fields, and which values do not fit their type."""
+    books = {BOOK_ROWS: F.lit(1).cast("long"), BOOK_SURPLUS: F.col(SURPLUS).cast("long")}
+    books |= {f"{BOOK_REJECT}{column}": F.expr(_rejected(column, dtype)).cast("long") for column, dtype in _cast_targets(contract)}
+    return raw.withColumns(books).drop(SURPLUS)
+
+
+def quarantined(raw: DataFrame, contract: FileContract) -> DataFrame:
+    """(table, file, block, place, column, reason, value, record): one row for each value that does not fit its
+    type and each record with surplus fields, and where it stands: its file, the range of the file and the place
+    in it. ``raw`` has the ordinal and the ``SURPLUS`` mark; ``record`` holds all its fields as JSON."""
+    found = [F.struct(F.lit("*").alias("column"), F.lit("surplus fields").alias("reason"), F.lit(None).cast("string").alias("value"), F.col(SURPLUS).alias("bad"))]
+    found += [F.struct(F.lit(column).alias("column"), F.lit(f"not {dtype.simpleString()}").alias("reason"), F.col(column).alias("value"),
+                       F.expr(_rejected(column, dtype)).alias("bad")) for column, dtype in _cast_targets(contract)]
+    bad = F.filter(F.array(*found), lambda x: x["bad"])
+    place = [F.col(f"{ORDINAL}.{f}").alias(n) for f, n in zip("fbr", ("file", "block", "place"))]
+    rows = raw.select(F.lit(contract.table).alias("table"), *place, F.to_json(F.struct(*contract.columns)).alias("record"), F.explode(bad).alias("bad"))
+    return rows.select("table", "file", "block", "place", "bad.column", "bad.reason", "bad.value", "record")
+
+
+def reject_exprs(contract: FileContract) -> list:
+    """Per cast column: values non-NULL as text but NULL after the cast (aggregate expressions)."""
+    return [F.expr(f"sum(CAST({_rejected(raw, dtype)} AS BIGINT)) AS `{raw}`") for raw, dtype in _cast_targets(contract)]
 
 
 def rejects_report(df: DataFrame, contract: FileContract) -> DataFrame:

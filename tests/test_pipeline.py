@@ -3,6 +3,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from shopmarts.operators import clean
 from shopmarts.operators.quality import QualityError
 from shopmarts.plans import mapping, pipeline
 from shopmarts.sources import parquet_sink
@@ -52,9 +53,10 @@ def test_row_counts_before_after(spark, tmp_dir):
     raw, out = f"{tmp_dir}/raw", f"{tmp_dir}/wh"
     mapping.export_raw_files(spark, SF_SMALL, raw)
     res = pipeline.run_pipeline(spark, raw, out)
-    before, after = res.row_counts["order_reviews"]
+    before, after, dropped = res.row_counts["order_reviews"]
     assert before == spark.read.parquet(f"{SF_SMALL}/lineitem.parquet").count() and after < before
-    g_before, g_after = res.row_counts["geolocation"]
+    assert all(read == kept + gone for read, kept, gone in res.row_counts.values()) and dropped == before - after
+    g_before, g_after, _ = res.row_counts["geolocation"]
     assert g_after == 25 and g_before > g_after
     assert res.rejects["order_items"] == {"order_item_id": 0, "price": 0, "freight_value": 0}
 
@@ -129,7 +131,7 @@ def test_a_crash_before_the_marker_leaves_the_old_run(spark, tmp_dir, monkeypatc
     mapping.export_raw_files(spark, SF_SMALL, raw)
     first = pipeline.run_pipeline(spark, raw, out)
     with monkeypatch.context() as m:
-        m.setattr(parquet_sink, "publish", lambda *a: (_ for _ in ()).throw(KeyboardInterrupt()))
+        m.setattr(parquet_sink, "publish", lambda *a, **_: (_ for _ in ()).throw(KeyboardInterrupt()))
         with pytest.raises(KeyboardInterrupt):
             pipeline.run_pipeline(spark, raw, out)
     assert parquet_sink.current_run(spark, out) == first.run_id
@@ -149,3 +151,63 @@ def test_rerun_with_other_partitions_is_bit_equal(spark, tmp_dir):
     for t in BY_TABLE:
         assert _digest(spark.read.parquet(f"{parquet_sink.run_dir(out, one.run_id)}/{t}")) == _digest(
             spark.read.parquet(f"{parquet_sink.run_dir(out, two.run_id)}/{t}")), t
+
+
+def test_a_scan_that_counted_twice_is_counted_again(spark, tmp_dir, monkeypatch):
+    """An executor that is lost after its map stage makes the stage run, and its scan count, again."""
+    raw = f"{tmp_dir}/raw"
+    mapping.export_raw_files(spark, SF_SMALL, raw)
+    once = pipeline.scanned_rows
+    monkeypatch.setattr(pipeline, "scanned_rows", lambda o: {t: 2 * n for t, n in once(o).items()})
+    res = pipeline.run_pipeline(spark, raw, f"{tmp_dir}/wh")
+    assert not any(r.violations for r in res.quality)
+    assert res.row_counts["order_reviews"][0] == spark.read.parquet(f"{SF_SMALL}/lineitem.parquet").count()
+
+
+@pytest.mark.parametrize("table", ["geolocation", "order_reviews", "customers"])
+def test_a_lost_record_is_found_in_every_table(spark, tmp_dir, monkeypatch, table):
+    raw = f"{tmp_dir}/raw"
+    mapping.export_raw_files(spark, SF_SMALL, raw)
+    key = BY_TABLE[table].key[0]
+    whole = clean.transform_all
+
+    def lossy(frames, collation=None):
+        some = frames[table].where(F.col(key).cast("long") % 7 != 0)
+        return whole({**frames, table: some}, collation)
+
+    monkeypatch.setattr(clean, "transform_all", lossy)
+    with pytest.raises(QualityError, match=f"{table}.* rows_kept"):
+        pipeline.run_pipeline(spark, raw, f"{tmp_dir}/wh")
+
+
+def test_rows_without_a_key_are_dropped_and_booked(spark, tmp_dir):
+    raw = _raw_with(spark, tmp_dir, "geolocation", "nokey", lambda df, path: mapping.write_csv(
+        df.unionByName(df.limit(9).withColumn("geolocation_zip_code_prefix", F.lit(None).cast("string"))), path))
+    before = spark.read.parquet(f"{SF_SMALL}/customer.parquet").count()
+    res = pipeline.run_pipeline(spark, raw, f"{tmp_dir}/wh")
+    assert res.row_counts["geolocation"] == (before + 9, 25, before + 9 - 25)
+    assert pipeline.warehouse(spark, f"{tmp_dir}/wh")["geolocation"].where("geolocation_zip_code_prefix is null").isEmpty()
+
+
+def test_books_are_counted_behind_the_last_exchange(spark, tmp_dir):
+    """What is booked is summed in the write's own stage, whose updates count once however often it is tried."""
+    from pyspark.sql import Observation
+
+    df = spark.range(100).selectExpr("id % 7 AS order_id", "id AS x", "1L AS _book_rows")
+    rows = parquet_sink._closed_books(clean.keep_latest(df, ["order_id"], "x").repartition(3, "order_id"), Observation("o"))
+    plan = rows._jdf.queryExecution().sparkPlan().toString()
+    assert plan.index("CollectMetrics") < plan.index("Exchange") and "_book_rows" not in rows.columns
+
+
+def test_quarantine_names_value_and_place(spark, tmp_dir):
+    first = F.col("product_id") == "1"
+    raw = _raw_with(spark, tmp_dir, "products", "bad", lambda df, path: mapping.write_csv(
+        df.withColumn("product_weight_g", F.when(first, "heavy").otherwise(F.col("product_weight_g"))), path))
+    res = pipeline.run_pipeline(spark, raw, f"{tmp_dir}/wh", allow_rejects=True)
+    assert set(res.quarantine) == {"products"}
+    row = spark.read.parquet(res.quarantine["products"]).first()
+    assert (row.table, row.column, row.reason, row.value) == ("products", "product_weight_g", "not double", "heavy")
+    assert '"product_id":"1"' in row.record and row.file.endswith(".csv") and row.block == 0 and row.place >= 0
+    with pytest.raises(QualityError):
+        pipeline.run_pipeline(spark, raw, f"{tmp_dir}/failed")
+    assert len(os.listdir(f"{tmp_dir}/failed/quarantine")) == 1  # stays for a look, though the run's files are gone
