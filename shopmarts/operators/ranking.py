@@ -11,7 +11,8 @@ its tile by comparing its tuple with the k-1 found ones: no join, no full sort,
 
 DENSE_RANK numbers the distinct values: Spark's range partitioner sends each range to its own
 partition, ``monotonically_increasing_id`` numbers the rows inside (upper bits: partition, lower 33
-bits: place), and the rows before each range come from a frame of one row per range.
+bits: place), and the rows before each range come from a frame of one row per range. Rows of the few
+values that very many rows share are ranked in place; the others are joined with their value's rank.
 """
 
 from __future__ import annotations
@@ -23,6 +24,7 @@ from shopmarts.session import cut_lineage
 
 RANGES = 128
 SAMPLE_PER_RANGE = 8
+HEAVY_VALUES = 64
 _LOW33 = (1 << 33) - 1
 
 
@@ -114,15 +116,24 @@ def global_dense_rank(df: DataFrame, value_col: str, out: str, *, descending: bo
                       ranges: int | None = None) -> DataFrame:
     """``dense_rank() OVER (ORDER BY value_col [DESC])`` for values of any ordered type.
 
-    The distinct values (NULL is one: last in DESC, first in ASC) are numbered by position and joined
-    back. The frame is read twice: checkpoint it first if it is costly. A value that most rows share is
-    split by AQE on the rows' side; the other side has one row per value.
+    The distinct values (NULL is one: last in DESC, first in ASC) are numbered by position. Values that more
+    than one row in ``HEAVY_VALUES`` has are so few (``HEAVY_VALUES`` at most) that they travel as one array: their
+    rows are ranked where they lie and meet no join and no shuffle. All other rows are joined with their value's
+    rank, and of none of those values is there much. The frame is read three times: checkpoint it first if it
+    is costly.
     """
-    values = df.select(F.col(value_col).alias("_value")).distinct()
+    value = F.col(value_col)
+    values = df.groupBy(value.alias("_value")).agg(F.count(F.lit(1)).alias("_rows"))
     order = F.col("_value").desc_nulls_last() if descending else F.col("_value").asc_nulls_first()
     numbered = global_position(values, [order], "_pos", ranges=ranges)
-    ranked = numbered.select("_value", (F.col("_pos") + 1).cast("int").alias(out))
-    return df.join(ranked, F.col(value_col).eqNullSafe(F.col("_value"))).drop("_value")
+    ranked = numbered.select("_value", (F.col("_pos") + 1).cast("int").alias(out), "_rows")
+    heavy = ranked.withColumn("_all", ranked.agg(F.sum("_rows")).scalar()).where(F.col("_rows") * HEAVY_VALUES > F.col("_all"))
+    table = heavy.agg(F.collect_list(F.struct("_value", out))).scalar()
+    marked = df.withColumn("_heavy", table).withColumn("_heavy", F.filter("_heavy", lambda h: h["_value"].eqNullSafe(value)))
+    here = marked.where(F.size("_heavy") > 0).select(*df.columns, F.col("_heavy")[0][out].alias(out))
+    rest = marked.where(F.size("_heavy") == 0).select(*df.columns)
+    joined = rest.join(ranked.select("_value", out), value.eqNullSafe(F.col("_value"))).select(*df.columns, out)
+    return here.unionByName(joined)
 
 
 def top_dense_rank(df: DataFrame, value_col: str, tie_col: str, limit: int, out: str) -> DataFrame:

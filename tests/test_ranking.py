@@ -144,3 +144,25 @@ def test_cut_lineage_releases_its_cache(spark):
     out = cut_lineage(df)
     assert not df.is_cached  # the cache only bridges the two checkpoint jobs
     assert out.agg(F.sum("x")).first()[0] == sum(2 * i for i in range(1000))
+
+
+@pytest.mark.parametrize("descending", [True, False])
+def test_dense_rank_of_heavy_values_meets_no_join(spark, descending):
+    """Half of all rows on one value, a fifth on NULL: both are ranked where they lie."""
+    df = spark.range(5000).selectExpr("id", "CASE WHEN id % 2 = 0 THEN 7 WHEN id % 10 < 4 THEN NULL ELSE CAST(id % 997 AS INT) END AS v")
+    got = ranking.global_dense_rank(df, "v", "r", descending=descending, ranges=6)
+    order = F.col("v").desc_nulls_last() if descending else F.col("v").asc_nulls_first()
+    want = df.withColumn("r", F.dense_rank().over(Window.orderBy(order)))
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
+
+    def names(plan):  # without the plans of scalar subqueries, which read one row a value
+        below = plan.children()
+        return [plan.nodeName()] + [n for i in range(below.size()) for n in names(below.apply(i))]
+
+    heavy, others = (names(got._jdf.queryExecution().optimizedPlan().children().apply(i)) for i in (0, 1))
+    assert not {"Join", "Aggregate", "Sort", "Repartition"} & set(heavy) and others.count("Join") >= 1
+
+
+def test_dense_rank_without_rows(spark):
+    assert ranking.global_dense_rank(spark.range(0), "id", "r").collect() == []
+
