@@ -63,6 +63,9 @@ def _slide(values: np.ndarray, n: int, pick) -> np.ndarray:
     return pick(out[:-rest], out[rest:]) if rest else out
 
 
+PRINT_SALT = U64(0xA0761D6478BD642F)
+
+
 def anchors(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(position, fingerprint) of all anchors of the texts in a block, in slices of bounded size."""
     n, places, prints = len(data), [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
@@ -92,7 +95,8 @@ def anchors(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
         at = np.flatnonzero((best == rank) & (best > 0))
         at = at[(at + low >= begin) & (at + low < begin + SLICE)]
         places.append(at + low)
-        prints.append(h[at])
+        # an anchor has the least of many ranks, so fingerprints are scrambled anew: buckets take their top bits
+        prints.append(mix64(h[at] ^ PRINT_SALT))
     return np.concatenate(places), np.concatenate(prints)
 
 

@@ -2,11 +2,14 @@
 import hashlib
 import random
 
+import numpy as np
+import pyarrow.parquet as pq
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from shopmarts.llm import queries, suffix_dedup
+from shopmarts.llm.textblocks import text_arrays
 from tests.llm import brute
 
 N = suffix_dedup.LENGTH
@@ -120,3 +123,12 @@ def test_few_and_many_agree():
         group.append(x)
         before = text
     assert suffix_dedup._windows_of_few(group) == suffix_dedup._windows_of_many(group)
+
+
+def test_buckets_are_even():
+    """Anchors are chosen by small ranks; their buckets must not show it."""
+    table = pq.read_table("/root/testdata/sf0.01/documents.parquet", columns=["text"])
+    data, offsets = text_arrays(table.column("text"))
+    _, prints = suffix_dedup.anchors(data, offsets)
+    sizes = np.bincount((np.unique(prints) >> np.uint64(58)).astype(np.int64), minlength=64)
+    assert sizes.sum() > 10_000 and sizes.max() <= 2 * sizes.mean() and sizes.min() >= sizes.mean() / 2
