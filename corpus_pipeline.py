@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from shopmarts.llm import mixing, near_dedup, packing, pii, quality
 from shopmarts.llm.queries import public_tokenizer
-from shopmarts.llm.stored import stored
+from shopmarts.session import release_scratch, remove_path, scratch_mark, scratch_path
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -52,7 +52,16 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """All stages; the tables of a stage and its input are removed once its output is written."""
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), ()
     for name, stage in STAGES:
-        docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        mark = scratch_mark()
+        path = scratch_path(spark, f"pipeline-{name}")
+        out = stage(spark, docs, sf_dir)
+        out.write.parquet(path)
+        docs = spark.read.schema(out.schema).parquet(path)
+        release_scratch(mark, keep=(path,))
+        for folder in before:
+            remove_path(spark, folder)
+        before = (path,)
     return docs

@@ -132,10 +132,19 @@ def create_file(spark: SparkSession, path: str, data: bytes) -> bool:
     return True
 
 
-def release_scratch() -> None:
-    """Remove every scratch folder handed out so far; frames that read one cannot be used afterwards."""
-    while _SCRATCH:
-        spark, path = _SCRATCH.pop()
+def scratch_mark() -> int:
+    """How many scratch folders have been handed out: a mark for ``release_scratch``."""
+    return len(_SCRATCH)
+
+
+def release_scratch(since: int = 0, keep: tuple[str, ...] = ()) -> None:
+    """Remove the scratch folders handed out since the mark (all by default) but those to keep; frames that
+    read a removed one cannot be used afterwards."""
+    kept = [(spark, path) for spark, path in _SCRATCH[since:] if path in keep]
+    gone = [(spark, path) for spark, path in _SCRATCH[since:] if path not in keep]
+    _SCRATCH[since:] = kept
+    while gone:
+        spark, path = gone.pop()
         try:
             if spark.sparkContext._jsc is not None:
                 remove_path(spark, path)
