@@ -14,7 +14,7 @@ def held_out(doc_id: Column) -> Column:
 
 
 SLACK = 4  # rows of a class that reach the exact cut, as a multiple of those it keeps
-BROADCAST_ROWS = 200_000  # up to so many sampled ids (a few MB) are broadcast, more are joined by shuffle
+BROADCAST_ROWS = 200_000  # up to so many sampled ids or classes (a few MB) are broadcast, more are joined by shuffle
 
 
 def labelled_sample(labelled: DataFrame, label: str, per_class: int) -> DataFrame:
@@ -27,7 +27,9 @@ def labelled_sample(labelled: DataFrame, label: str, per_class: int) -> DataFram
     ids = ids.groupBy("doc_id").agg(F.max("label").alias("label")).withColumn("place", F.xxhash64("doc_id"))
     share = F.least(F.lit(1.0), F.lit(SLACK * per_class) / F.count(F.lit(1)))
     # hashes are even over the range of a long
-    bounds = ids.groupBy("label").agg((F.lit(-(2.0**63)) + share * 2.0**64).alias("bound"))
+    bounds = stored(ids.groupBy("label").agg((F.lit(-(2.0**63)) + share * 2.0**64).alias("bound")), "sample-bounds")
+    # a join dealt by label would bring a whole class into one task before the bound is looked at
+    bounds = F.broadcast(bounds) if bounds.count() <= BROADCAST_ROWS else bounds
     near = ids.join(bounds, "label").where(F.col("place").cast("double") <= F.col("bound"))
     order = Window.partitionBy("label").orderBy("place", "doc_id")
     return near.withColumn("turn", F.row_number().over(order)).where(F.col("turn") <= per_class).select("doc_id", "label")
