@@ -8,6 +8,7 @@ cleaning and pipeline operators consume.
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -298,12 +299,17 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).option("header", True).option("escape", '"').option("quote", '"').csv(path)
 
 
-def write_lines(df: DataFrame, header: str, path: str, files: int = 4) -> None:
-    """Finished CSV lines (``value``) with a header on top of every file, for lines that a CSV writer would not make."""
-    heads = df.sparkSession.range(files).select(F.lit(header).alias("value"), F.col("id").alias("part"), F.lit(0).alias("place"))
-    lines = df.select("value", F.pmod(F.xxhash64("value"), F.lit(files)).alias("part"), F.lit(1).alias("place"))
-    rows = heads.unionByName(lines).repartition(files, "part").sortWithinPartitions("part", "place")
-    rows.select("value", "part").write.partitionBy("part").text(path)
+def write_lines(df: DataFrame, header: str, path: str) -> None:
+    """Finished CSV lines (``value``) with a header on top of every file, for lines that a CSV writer would not make.
+    Each partition is a file; one more holds the header only, so that lines of no partition have a file too."""
+
+    def headed(batches):
+        yield pa.RecordBatch.from_arrays([pa.array([header], pa.string())], names=["value"])
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column(0)], names=["value"])
+
+    empty = df.sparkSession.range(0, 1, 1, 1).where("id < 0").select(F.lit("").alias("value"))
+    df.select("value").unionByName(empty).mapInArrow(headed, "value string").write.text(path)
 
 
 def write_raw(df: DataFrame, path: str) -> None:
@@ -324,7 +330,7 @@ def export_raw_files(spark: SparkSession, sf_dir: str, raw_dir: str, prefix: str
     for table, df in raw_frames(spark, sf_dir).items():
         path = f"{raw_dir.rstrip('/')}/{BY_TABLE[table].file_name(prefix)}"
         if table in without:
-            write_lines(df.where("false").select(F.lit("").alias("value")), ",".join(BY_TABLE[table].columns), path, files=1)
+            write_lines(df.where("false").select(F.lit("").alias("value")), ",".join(BY_TABLE[table].columns), path)
             paths[table] = path
             continue
         write_raw(df, path)

@@ -131,3 +131,15 @@ def test_raw_files_are_written_by_as_many_tasks_as_their_rows_come_from(spark, t
         read = csv_source.read_contract(spark, folder, c, ordinal=False)
         assert len(read.select(c.columns[0]).inputFiles()) == 6
         assert sorted(map(tuple, read.collect())) == sorted(map(tuple, rows.collect()))
+
+
+def test_finished_lines_are_written_where_they_are(spark, tmp_dir):
+    lines = spark.range(0, 100, 1, 9).select(F.concat_ws(",", "id", F.lit("x")).alias("value"))
+    mapping.write_lines(lines, "k,v", f"{tmp_dir}/lines")
+    heads = csv_source.file_headers(spark, f"{tmp_dir}/lines")
+    assert list(heads) == [("k", "v")] and len(heads["k", "v"]) == 10  # one of them for the header alone
+    read = csv_source.read_text(spark, f"{tmp_dir}/lines", columns=("k", "v"))
+    assert sorted(int(r.k) for r in read.collect()) == list(range(100))
+    mapping.write_lines(lines.where("false"), "k,v", f"{tmp_dir}/none")
+    assert list(csv_source.file_headers(spark, f"{tmp_dir}/none")) == [("k", "v")]
+    assert csv_source.read_text(spark, f"{tmp_dir}/none", columns=("k", "v")).count() == 0
