@@ -28,6 +28,7 @@ from array import array
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -35,6 +36,7 @@ CAPACITY = 2048
 BLOCK_CHARS = 4_000_000
 END_ID = 1
 CACHED_WORDS = 400_000  # per generation, two of them
+SLICE_BYTES = 16_000_000  # of text, whose distinct words are looked up together
 
 _ODD_SPACES = "\x1c\x1d\x1e\x1f"  # white space to str.split, but not to the tokenizer
 _PLAIN = re.compile("[!-~À-ÖØ-öø-įĲ-ſ]+")
@@ -137,6 +139,33 @@ class WordEncoder(dict):
             return array(self.code, self._exact(text)).tobytes()
         return b"".join(map(self.__getitem__, text.split()))
 
+    def encode_all(self, texts: pa.Array, end_id: int) -> pa.Array:
+        """Bytes of the token ids of each text and the end token: every distinct word is looked up once."""
+        end, width = np.array([end_id], self.dtype).tobytes(), self.dtype.itemsize
+        if pc.any(pc.match_substring_regex(texts, f"[{_ODD_SPACES}]")).as_py():
+            return pa.array([self.encode(t) + end for t in texts.to_pylist()], pa.binary())
+        words = pc.utf8_split_whitespace(texts)  # as str.split, but for empty words at the ends
+        found = words.values.dictionary_encode()
+        known = [*map(self.__getitem__, found.dictionary.to_pylist()), end]
+        ids = np.frombuffer(b"".join(known), self.dtype)
+        lengths = np.fromiter(map(len, known), np.int64, len(known)) // width
+        begins = np.cumsum(lengths) - lengths
+        offsets = words.offsets.to_numpy()
+        # the end token is a word behind each text
+        order = np.insert(found.indices.to_numpy(), offsets[1:], len(known) - 1)
+        lengths, begins = lengths[order], begins[order]
+        ends = np.cumsum(lengths)
+        data = ids[np.repeat(begins - ends + lengths, lengths) + np.arange(ends[-1])]
+        cuts = np.concatenate([[0], ends[offsets[1:] + np.arange(len(texts))]]) * width
+        return pa.Array.from_buffers(pa.binary(), len(texts), [None, pa.py_buffer(cuts.astype(np.int32)), pa.py_buffer(data)])
+
+
+def slices(batch: pa.RecordBatch):
+    """Parts of a batch (block, doc_id, text) of about ``SLICE_BYTES`` of text; none of an empty one."""
+    sizes = np.cumsum(pc.binary_length(batch.column(2)).to_numpy(zero_copy_only=False), dtype=np.int64)
+    cuts = [0, *(np.flatnonzero(np.diff(sizes // SLICE_BYTES)) + 1).tolist(), batch.num_rows]
+    return [batch[a:b] for a, b in zip(cuts, cuts[1:]) if b > a]
+
 
 def encoder(path: str) -> WordEncoder:
     """The worker's encoder of this file."""
@@ -202,11 +231,11 @@ def packed(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: in
 
     def encode(batches):
         words = encoder(tokenizer)
-        end = np.array([end_id], words.dtype).tobytes()
         for batch in batches:
-            ids = [words.encode(t.as_py()) + end for t in batch.column(2)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(ids, pa.binary()),
-                                              pa.array([words.dtype.itemsize] * len(ids), pa.int32())], names=["block", "doc_id", "ids", "width"])
+            for part in slices(batch):
+                ids = words.encode_all(part.column(2), end_id)
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), ids,
+                                                  pa.array([words.dtype.itemsize] * len(ids), pa.int32())], names=["block", "doc_id", "ids", "width"])
 
     def pack_block(table: pa.Table) -> pa.Table:
         table = table.sort_by([("doc_id", "ascending"), ("ids", "ascending")])

@@ -3,6 +3,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -78,3 +79,23 @@ def test_costs_are_balanced():
     full = [c for c, n in zip(cost, sizes) if n == 2048 and c < 4096]
     assert max(full) - min(full) < 0.35 * sum(full) / len(full)
     assert len(pieces) < len(lengths) + 1.2 * len(sizes)
+
+
+def test_a_column_is_encoded_word_by_distinct_word(monkeypatch):
+    words = packing.WordEncoder(PATH)
+    end = np.array([1], words.dtype).tobytes()
+    texts = ["", "  a b\ta \n", "x\u3000y\u2028z a", "one\x1ctwo", "naïve 漢字 <|endoftext|>", "a" * 50, "b a " * 30]
+    for some in (texts, [t for t in texts if "\x1c" not in t], texts[:1], texts[3:4]):
+        assert words.encode_all(pa.array(some), 1).to_pylist() == [words.encode(t) + end for t in some]
+    looked_up = []
+    monkeypatch.setattr(packing.WordEncoder, "__getitem__", lambda self, w: looked_up.append(w) or dict.__getitem__(self, w), raising=False)
+    words.encode_all(pa.array(["b a " * 30, "a b"]), 1)
+    assert sorted(w for w in looked_up if w) == ["a", "b"]
+
+
+def test_slices_hold_every_row(monkeypatch):
+    monkeypatch.setattr(packing, "SLICE_BYTES", 10)
+    batch = pa.record_batch([pa.array(range(6)), pa.array(range(6)), pa.array(["", "x" * 35, "ab", "", "y" * 9, "z"])], names=["block", "doc_id", "text"])
+    parts = packing.slices(batch)
+    assert len(parts) > 1 and pa.Table.from_batches(parts).to_pylist() == batch.to_pylist()
+    assert packing.slices(batch[:0]) == []
