@@ -211,3 +211,27 @@ def test_quarantine_names_value_and_place(spark, tmp_dir):
     with pytest.raises(QualityError):
         pipeline.run_pipeline(spark, raw, f"{tmp_dir}/failed")
     assert len(os.listdir(f"{tmp_dir}/failed/quarantine")) == 1  # stays for a look, though the run's files are gone
+
+
+def test_the_second_run_has_other_splits_but_not_ever_more(spark, tmp_dir, monkeypatch):
+    """One split for every 256 KB made tens of thousands of tasks of a few GB."""
+    from shopmarts.plans import catalog
+
+    class Seen(Exception):
+        pass
+
+    def second(session, *_):
+        seen.append(session)
+        raise Seen
+
+    seen = []
+    monkeypatch.setattr(catalog, "_pipeline_run", lambda *_: ("raw", "out", None))
+    monkeypatch.setattr(catalog.pipeline, "run_pipeline", second)
+    with pytest.raises(Seen):
+        catalog.q_sink_overwrite_idempotent(spark, SF_SMALL)
+    with open(f"{tmp_dir}/lines.txt", "w") as f:
+        f.write(("x" * 1023 + "\n") * (24 << 10))
+    splits = [s.read.text(f"{tmp_dir}/lines.txt").rdd.getNumPartitions() for s in (spark, seen[0])]
+    cores = spark.sparkContext.defaultParallelism
+    assert splits[0] < splits[1] <= 3 * cores + 2
+    assert seen[0].conf.get("spark.sql.shuffle.partitions") != spark.conf.get("spark.sql.shuffle.partitions")
