@@ -81,3 +81,21 @@ def test_name_and_column_forms_agree(spark):
     assert [x["a"] for x in r] == [x["b"] for x in r]
     assert [x["c"] for x in r] == [x["d"] for x in r] == ["2017-10-02 10:56:33", "bad", None,
                                                           "2017-02-30 00:00:00", None, None, " x ", None]
+
+
+def test_to_datetime_takes_what_its_parts_make(spark):
+    values = ["2020-02-29 23:59:59", "2021-02-29 00:00:00", "2020-01-01 12:00:60", "2020-01-01 24:00:00", "0000-01-01 00:00:00",
+              "9999-12-31 23:59:59", "2020-01-01 00:00:00\n", " 2020-01-01 00:00:00", "2020-13-01 00:00:00", "2020-01-01T00:00:00", None]
+    df = spark.createDataFrame([(v,) for v in values], "s string")
+    part = lambda at, n: f"try_cast(substring(s, {at}, {n}) AS INT)"
+    made = F.expr(f"try_make_timestamp_ntz({part(1, 4)}, {part(6, 2)}, {part(9, 2)}, {part(12, 2)}, {part(15, 2)}, {part(18, 2)})")
+    made = F.when(F.col("s").rlike(exprs._TS_SHAPE), made).cast("string")
+    for row in df.select("s", made.alias("made"), exprs.to_datetime("s").cast("string").alias("a"), exprs.to_datetime(F.col("s")).cast("string").alias("b")).collect():
+        assert row.a == row.made and row.b == row.made, row
+
+
+def test_strip_takes_every_kind_of_whitespace(spark):
+    spaces = [chr(c) for c in range(0x3100) if chr(c).isspace()]
+    values = [f"{c}a{c} b{c}{c}" for c in spaces] + ["".join(spaces), "\u200ba\u200b", "\x1fé\u3000", "a\x00 ", "\ufeffa "]
+    df = spark.createDataFrame([(v,) for v in values], "s string")
+    assert [r[0] for r in df.select(exprs.strip_ws("s")).collect()] == [v.strip() for v in values]

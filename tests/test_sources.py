@@ -143,3 +143,13 @@ def test_finished_lines_are_written_where_they_are(spark, tmp_dir):
     mapping.write_lines(lines.where("false"), "k,v", f"{tmp_dir}/none")
     assert list(csv_source.file_headers(spark, f"{tmp_dir}/none")) == [("k", "v")]
     assert csv_source.read_text(spark, f"{tmp_dir}/none", columns=("k", "v")).count() == 0
+
+
+def test_raw_files_are_exported_side_by_side(spark, tmp_dir, monkeypatch):
+    import threading
+
+    both = threading.Barrier(2, timeout=20)
+    monkeypatch.setattr(mapping, "raw_frames", lambda *_: {"orders": None, "customers": None})
+    monkeypatch.setattr(mapping, "write_raw", lambda df, path: both.wait())
+    paths = mapping.export_raw_files(spark, "", f"{tmp_dir}/all")
+    assert paths == {t: f"{tmp_dir}/all/{BY_TABLE[t].file_name()}" for t in ("orders", "customers")}
