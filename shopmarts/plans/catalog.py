@@ -242,15 +242,22 @@ def _pipeline_run(spark, sf_dir, gzipped=_ROW_BY_ROW):
     return f"{base}/raw", f"{base}/warehouse", pipeline.run_pipeline(spark, f"{base}/raw", f"{base}/warehouse")
 
 
+def _only_run(spark, sf_dir):
+    """(warehouse folder, result) of a run whose raw files are read no more: they go when it is done."""
+    raw, out, result = _pipeline_run(spark, sf_dir, (*_ROW_BY_ROW, "order_reviews"))
+    remove_path(spark, raw)
+    return out, result
+
+
 def q_reconcile_counts(spark, sf_dir):
-    _, _, result = _pipeline_run(spark, sf_dir)
+    _, result = _only_run(spark, sf_dir)
     return spark.createDataFrame([tuple(r) for r in result.reconciliation],
                                  "table string, expected long, loaded long, ok boolean")
 
 
 def q_pipeline_row_counts(spark, sf_dir):
     """Records read, rows published and records dropped by deduplicating steps, per table."""
-    _, _, result = _pipeline_run(spark, sf_dir)
+    _, result = _only_run(spark, sf_dir)
     return spark.createDataFrame([(t, *counts) for t, counts in result.row_counts.items()],
                                  "table string, raw_rows long, published_rows long, dropped_rows long")
 
@@ -270,7 +277,7 @@ def q_sink_empty_table(spark, sf_dir):
 
 def q_load_order(spark, sf_dir):
     """The order in which a run takes its tables; every referenced table comes before those that refer to it."""
-    _, _, result = _pipeline_run(spark, sf_dir)
+    _, result = _only_run(spark, sf_dir)
     order = list(result.row_counts)
     rows = [(place, t, all(order.index(parent) < place for _, parent, _ in BY_TABLE[t].foreign_keys), len(BY_TABLE[t].foreign_keys), result.row_counts[t][1])
             for place, t in enumerate(order)]
@@ -278,7 +285,7 @@ def q_load_order(spark, sf_dir):
 
 
 def q_pipeline_end_to_end(spark, sf_dir):
-    _, out, _ = _pipeline_run(spark, sf_dir)
+    out, _ = _only_run(spark, sf_dir)
     return marts.mart_monthly_revenue(pipeline.warehouse(spark, out))
 
 
