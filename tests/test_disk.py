@@ -86,7 +86,7 @@ def _run_in(monkeypatch, base):
     return seen
 
 
-@pytest.mark.parametrize("name", ["pipeline_row_counts", "reconcile_counts", "pipeline_end_to_end"])
+@pytest.mark.parametrize("name", ["pipeline_row_counts", "reconcile_counts", "pipeline_end_to_end", "load_order"])
 def test_raw_files_go_when_their_only_run_is_done(spark, tmp_dir, monkeypatch, name):
     seen = _run_in(monkeypatch, tmp_dir)
     assert catalog.QUERIES[name](spark, SF_SMALL).count() > 8
